@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .minhash import OP6_SQL, op6_minhash
+from .ogg import op2_ogg_media
 from .records import op1_token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
+    "op2_ogg_media": op2_ogg_media,
+    "op6_minhash": op6_minhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_minhash": OP6_SQL,
+}
