@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .minhash import OP6_SQL, op6_minhash
 from .ogg import op2_ogg_media
+from .pii import OP8_SQL, op8_pii
 from .records import op1_token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_ogg_media": op2_ogg_media,
     "op6_minhash": op6_minhash,
+    "op8_pii": op8_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_minhash": OP6_SQL,
+    "op8_pii": OP8_SQL,
 }
