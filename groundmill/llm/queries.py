@@ -6,19 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .mixing import OP3_SQL, op3_mixing
 from .minhash import OP6_SQL, op6_minhash
 from .ogg import op2_ogg_media
+from .packing import op10_packing
 from .pii import OP8_SQL, op8_pii
 from .records import op1_token_records
+from .toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_ogg_media": op2_ogg_media,
+    "op3_mixing": op3_mixing,
     "op6_minhash": op6_minhash,
+    "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_mixing": OP3_SQL,
     "op6_minhash": OP6_SQL,
     "op8_pii": OP8_SQL,
 }
