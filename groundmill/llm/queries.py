@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .ann import op9_ann
+from .extraction import op4_extraction
 from .mixing import OP3_SQL, op3_mixing
+from .licences import op5_licences
 from .minhash import OP6_SQL, op6_minhash
 from .ogg import op2_ogg_media
 from .packing import op10_packing
@@ -18,9 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_ogg_media": op2_ogg_media,
     "op3_mixing": op3_mixing,
+    "op4_extraction": op4_extraction,
+    "op5_licences": op5_licences,
     "op6_minhash": op6_minhash,
     "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
+    "op9_ann": op9_ann,
     "op10_packing": op10_packing,
 }
 
