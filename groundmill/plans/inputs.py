@@ -37,7 +37,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = user.join(answer, ["conv_id", "turn"]).join(chunk, "conv_id").join(labels, "conv_id", "left")
     n = F.col("conv_id") * 7 + F.col("turn")
     line = F.substring_index("answer", "\n", 1)
-    quote = F.when(n % 7 == 3, F.concat(F.lit("Wholly foreign words stand here and "), F.substring(line, 1, 12))).when(n % 5 == 2, F.upper(line)).otherwise(line)
+    quote = F.when(n % 7 == 3, F.concat(F.lit("Wholly foreign words stand here and "), F.substring(line, 1, 12))).when(n % 5 == 2, F.upper(F.replace(line, F.lit("ß"), F.lit("s")))).otherwise(line)
     verdict = F.when(F.col("toxic") == 1, "NOT_SUPPORTED").when((F.col("quality") == 0) | (n % 11 == 5), "PARTIAL").when(F.col("toxic").isNotNull() | (n % 3 > 0), "SUPPORTED")
     question = F.when(n % 3 == 0, F.concat(F.lit("What is the "), F.substring("asked", 1, 9))).otherwise(F.col("asked"))
     return pairs.select(
@@ -54,7 +54,7 @@ CANDIDATES = f"""cand0 AS (
   LEFT JOIN (SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY doc_id) l ON l.doc_id = u.conv_id
 ), cand AS (
   SELECT conv_id AS doc_id, 0 AS chunk_ord, turn AS pair_idx, CASE WHEN n % 3 = 0 THEN 'What is the ' || substr(asked, 1, 9) ELSE asked END AS question, answer,
-    CASE WHEN n % 7 = 3 THEN 'Wholly foreign words stand here and ' || substr(line, 1, 12) WHEN n % 5 = 2 THEN upper(line) ELSE line END AS source_passage, chunk_text,
+    CASE WHEN n % 7 = 3 THEN 'Wholly foreign words stand here and ' || substr(line, 1, 12) WHEN n % 5 = 2 THEN upper(replace(line, 'ß', 's')) ELSE line END AS source_passage, chunk_text,
     {sql_pick(TYPES, "n")} AS question_type, {sql_pick(LEVELS, "n")} AS difficulty,
     CASE WHEN toxic = 1 THEN 'NOT_SUPPORTED' WHEN quality = 0 OR n % 11 = 5 THEN 'PARTIAL' WHEN toxic IS NOT NULL OR n % 3 > 0 THEN 'SUPPORTED' END AS verdict,
     (n * 5 % 65) / 64 AS confidence, 'note ' || n AS reasoning, 'c' || conv_id AS chunk_id, (conv_id % 5)::VARCHAR AS section_item, 'Section ' || (conv_id % 5) AS section_name
