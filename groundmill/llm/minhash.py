@@ -7,8 +7,9 @@ the full sets. The work is linear in the documents, however large a group of cop
 
 * equal sets are one node, so exact copies make no pairs;
 * in a band's bucket each member meets only a few hubs, chosen by minima that are summed before the shuffle;
-* when the components of confirmed links are known, members of one bucket that still lie in different
-  components are all compared with each other, so that no link that joins components is lost to the hubs.
+* members outside the largest component of their bucket meet hubs of that component;
+* those that are still apart are compared with all members of the bucket in blocks, and only confirmed
+  links leave a block. So no link that joins components is lost to the choice of hubs.
 """
 
 from __future__ import annotations
@@ -172,6 +173,90 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return both.mapInArrow(run, "a long, b long")
 
 
+def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
+    """``components`` (id, component) after ``links`` between ids; components are the nodes, so this is small."""
+    if links.isEmpty():
+        return components
+    joined = links.join(components.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left").join(components.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
+    merged = connected_components(joined.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    merged = cut(merged.select(F.col("id").alias("component"), F.col("component").alias("merged")), "merged")
+    alone = merged.join(components.select("id"), F.col("component") == F.col("id"), "left_anti").select(F.col("component").alias("id"), F.col("merged").alias("component"))
+    return cut(components.join(merged, "component", "left").select("id", F.coalesce("merged", "component").alias("component")).unionByName(alone), "components")
+
+
+def _apart(crowded: DataFrame, components: DataFrame) -> DataFrame:
+    """(bucket, doc_id, component) of buckets with several components; ``top`` is the largest, h1 to h4 some of its members."""
+    placed = crowded.select("bucket", "doc_id").join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    placed = cut(placed, "placed")
+    hubs = [F.min_by("doc_id", F.xxhash64("doc_id", F.lit(i))).alias(f"h{i}") for i in range(1, 5)]
+    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"), *hubs)
+    tops = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("members"), F.max_by(F.struct("component", "h1", "h2", "h3", "h4"), "n").alias("t")).where("parts > 1")
+    tops = cut(tops.select("bucket", "members", F.col("t.component").alias("top"), "t.h1", "t.h2", "t.h3", "t.h4"), "tops")
+    return cut(placed.join(tops, "bucket"), "apart")
+
+
+BLOCK = 256
+
+
+def _block_links(left: DataFrame, sketch: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Confirmed links between members of one bucket that lie in different components.
+
+    Members of a bucket are dealt into blocks; those outside the largest component are sent to each block.
+    A pair that shares several buckets is compared in the first of its bands only.
+    """
+    blocks = F.expr(f"cast(ceil(members / {BLOCK}) as int)")
+    base = left.select("bucket", "doc_id", "component", (F.col("component") == F.col("top")).alias("inside"), blocks.alias("blocks"))
+    targets = base.select("bucket", "doc_id", "component", F.expr("pmod(xxhash64(doc_id), blocks)").cast("int").alias("block"), F.lit(False).alias("asks"))
+    queries = base.where("NOT inside").select("bucket", "doc_id", "component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"))
+    keys = sketch.join(left.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.first("bands").alias("bands"))
+    known = cut(texts.join(keys, "doc_id"), "known")
+    rows = targets.unionByName(queries).join(known, "doc_id")
+    rows = rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "asks").select("bucket", "block", "asks", "doc_id", "component", "bands", "text")
+
+    def compare(group: list[tuple]) -> tuple[list[int], list[int]]:
+        bucket = group[0][0]
+        targets, queries = [r for r in group if not r[2]], [r for r in group if r[2]]
+        out: tuple[list[int], list[int]] = ([], [])
+        if not targets or not queries:
+            return out
+        sets = dict(zip([r[3] for r in group], shingle_sets([r[6] for r in group], width), strict=True))
+        ids = np.array([r[3] for r in targets], np.int64)
+        parts = np.array([r[4] for r in targets], np.int64)
+        bands = np.array([r[5] for r in targets], np.int64)
+        sizes = np.array([len(sets[i]) for i in ids.tolist()], np.int64)
+        band = int(np.argmax(bands[0] == bucket))
+        for _, _, _, q, part, key, _ in queries:
+            s = sets[q]
+            near = np.minimum(sizes, len(s)) * 100 >= percent * np.maximum(sizes, len(s))
+            pick = np.flatnonzero(near & (parts != part))
+            if len(pick):
+                pick = pick[np.argmax(bands[pick] == np.array(key), axis=1) == band]
+            for k in pick.tolist():
+                t = sets[int(ids[k])]
+                shared = int(np.isin(t, s, assume_unique=True).sum())
+                if 100 * shared >= percent * (len(t) + len(s) - shared):
+                    out[0].append(min(q, int(ids[k])))
+                    out[1].append(max(q, int(ids[k])))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            for row in zip(*columns, strict=True):
+                if group and group[0][:2] != row[:2]:
+                    a, b = compare(group)
+                    if a:
+                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                    group = []
+                group.append(row)
+        if group:
+            a, b = compare(group)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``.
 
@@ -181,53 +266,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     a group are null, ``component_id`` is null and ``kept`` true. Other columns of ``docs`` are not read.
     """
     sketch = cut(sketches(docs, key, text, width), "sketches")
-    nodes = cut(sketch.where("n_shingles > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("node")), "nodes")
-    named = nodes.where("node IS NOT NULL")
+    nodes = cut(sketch.where("n_shingles > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "nodes")
     # the node's own row gives its bands; repeated rows of an id give the same node
-    bands = cut(
-        sketch.where("n_shingles > 0")
-        .join(named, (F.col("doc_id") == F.col("node")) & sketch["f1"].eqNullSafe(named["f1"]) & sketch["f2"].eqNullSafe(named["f2"]), "left_semi")
-        .select("doc_id", "n_shingles", F.explode("bands").alias("bucket")),
-        "bands",
-    )
+    own = sketch.where("n_shingles > 0").join(nodes.where("node IS NOT NULL").select(F.col("node").alias("doc_id"), "f1", "f2", "copies"), ["doc_id", "f1", "f2"])
+    bands = cut(own.select("doc_id", "copies", F.explode("bands").alias("bucket")), "bands")
     turned = F.xxhash64("doc_id")
-    hubs = cut(
-        bands.groupBy("bucket")
-        .agg(F.min("doc_id").alias("h1"), F.max("doc_id").alias("h2"), F.min_by("doc_id", turned).alias("h3"), F.max_by("doc_id", turned).alias("h4"))
-        .where("h1 < h2"),
-        "hubs",
-    )
-    crowded = cut(bands.join(hubs, "bucket").select("bucket", "doc_id", "n_shingles", "h1", "h2", "h3", "h4"), "crowded")
+    hubs = bands.groupBy("bucket").agg(F.min("doc_id").alias("h1"), F.max("doc_id").alias("h2"), F.min_by("doc_id", turned).alias("h3"), F.max_by("doc_id", "copies").alias("h4")).where("h1 < h2")
+    crowded = cut(bands.select("bucket", "doc_id").join(cut(hubs, "hubs"), "bucket"), "crowded")
     first = crowded.select("doc_id", F.explode(F.array_distinct(F.array("h1", "h2", "h3", "h4"))).alias("hub")).where("doc_id <> hub")
     first = cut(first.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct(), "pairs")
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    wanted = crowded.select("doc_id").distinct()
-    texts = cut(rows.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")), "texts")
-    links = cut(verified(first, texts, width, percent), "links")
-    components = cut(connected_components(links), "components")
+    texts = rows.join(crowded.select("doc_id").distinct(), "doc_id", "left_semi")
+    texts = cut(texts.groupBy("doc_id").agg(F.max("text").alias("text")), "texts")
+    components = cut(connected_components(cut(verified(first, texts, width, percent), "links")), "components")
+
+    left = _apart(crowded, components)
+    second = left.where("component <> top").select("doc_id", F.explode(F.array_distinct(F.array("h1", "h2", "h3", "h4"))).alias("hub"))
+    second = second.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    components = _merged(components, cut(verified(cut(second, "pairs"), texts, width, percent), "links"))
+    left = _apart(crowded, components)
+    components = _merged(components, cut(_block_links(left, sketch, texts, percent, width), "links"))
 
-    # members of a bucket that are still apart
-    placed = crowded.join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("bucket", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
-    placed = cut(placed, "placed")
-    apart = cut(placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket"), "apart")
-    left = cut(placed.join(apart, "bucket"), "left")
-    right = left.select("bucket", F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"))
-    smaller, larger = F.least("n_shingles", "n_b"), F.greatest("n_shingles", "n_b")
-    more = (
-        left.join(right, "bucket")
-        .where((F.col("doc_id") < F.col("b")) & (F.col("component") != F.col("c_b")) & (smaller * 100 >= larger * percent))
-        .select(F.col("doc_id").alias("a"), "b")
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    more = cut(verified(cut(more, "pairs"), texts, width, percent), "links")
-    if not more.isEmpty():
-        joined = more.join(components.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left").join(components.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
-        # components are nodes now; their links are few
-        merged = connected_components(joined.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-        merged = cut(merged.select(F.col("id").alias("component"), F.col("component").alias("merged")), "merged")
-        alone = merged.join(components.select("id"), F.col("component") == F.col("id"), "left_anti").select(F.col("component").alias("id"), F.col("merged").alias("component"))
-        components = components.join(merged, "component", "left").select("id", F.coalesce("merged", "component").alias("component")).unionByName(alone)
     groups = cut(nodes.join(components.withColumnRenamed("id", "node"), "node", "left").select("f1", "f2", F.coalesce("component", "node").alias("component_id")), "groups")
     found = sketch.where("n_shingles > 0").select("doc_id", "n_shingles", "f1", "f2").join(groups, ["f1", "f2"], "left").select("doc_id", "n_shingles", "component_id")
     found = found.unionByName(sketch.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
