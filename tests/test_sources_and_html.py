@@ -1,0 +1,104 @@
+import json
+
+import pytest
+
+from groundmill.config import Config
+from groundmill.operators import html as H
+from groundmill.operators.extensions import agreed, cosine
+from groundmill.sources import files, registry
+from groundmill.streaming.drops import chunk_stream, event_rates
+
+from .conftest import DATA
+
+
+def parsed(spark, *pages):
+    t = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")
+    return [(r["text"], r["n_tables"]) for r in H.parse_html(t).orderBy("page_id").collect()]
+
+
+def test_table_rows_get_bars(spark):
+    assert parsed(spark, "<table><tr><td>Lamps</td><td> </td><td>$5</td></tr><tr><td></td></tr></table>") == [("Lamps | $5", 1)]
+
+
+def test_nested_table_repeats_inside_the_outer_one(spark):
+    page = "<table><tr><td>a<table><tr><td>b</td></tr></table></td></tr></table><table></table>"
+    assert parsed(spark, page) == [("a b | b\nb", 2)]
+
+
+def test_blocks_breaks_entities_and_dropped_parts(spark):
+    page = "<head><title>t</title></head><h1>Head</h1><p>one &amp; two<br>three<p>four<script>var t='</p>'</script><ul><li>x<li>y</ul><!-- no --><noscript>z</noscript>"
+    assert parsed(spark, page, None, "") == [("Head\n\none & two\nthree\nfour\nx\ny", 0), (None, 0), ("", 0)]
+
+
+def test_decoding_falls_back(spark):
+    t = spark.createDataFrame([(0, bytearray("é–", "utf-8")), (1, bytearray("é–", "cp1252")), (2, bytearray(b"\x81\xe9")), (3, None)], "i long, content binary")
+    assert [r["text"] for r in H.decode(t).orderBy("i").collect()] == ["é–", "é–", "\x81é", None]
+
+
+def test_registry(spark):
+    index = spark.createDataFrame([("LMP", 77, 0), ("lmp", 78, 1), ("X", 5, 2)], "ticker string, cik long, pos long")
+    assert registry.resolve_one(index, " lmp ") == "0000000077"
+    with pytest.raises(registry.NotFound):
+        registry.resolve_one(index, "none")
+    sub = spark.createDataFrame([("1", "L", ["10-K", "10-K/A", "10-K"], ["a", "b", "c"], ["d"] * 3, ["f"] * 3, ["p"] * 3)], "cik string, company string, form array<string>, accession array<string>, document array<string>, filed array<string>, period array<string>")
+    assert registry.nth_latest(registry.explode_history(sub), "10-K", 1).first()["accession"] == "c"
+
+
+def test_fetch_tries_again(spark, tmp_path):
+    marks = tmp_path
+
+    def get(url):
+        flag = marks / url
+        if not flag.exists():
+            flag.write_text("")
+            raise OSError("busy")
+        return url.encode()
+
+    got = registry.fetch(spark.createDataFrame([("a",), ("b",)], "url string"), get, 0.0, 1)
+    assert sorted((r["url"], bytes(r["content"])) for r in got.collect()) == [("a", b"a"), ("b", b"b")]
+
+
+def test_captures_and_raw_captures(spark, tmp_path):
+    def put(name, value):
+        (tmp_path / name).write_text(value if isinstance(value, str) else json.dumps(value, indent=1))
+
+    pair = {"question": "q", "answer": "a", "source_passage": "s", "question_type": "comparison", "difficulty": "easy"}
+    put("gen_a.json", {"chunk_id": "zzz", "generation": {"qa_pairs": [pair]}})
+    put("gen_b.json", "{ broken")
+    put("verify_a.json", "{ broken")
+    put("verify_c.json", {"verifications": []})
+    gen, ver = files.read_raw_captures(spark, str(tmp_path))
+    assert [r["chunk_id"] for r in gen.collect()] == ["a"]
+    assert sorted((r["chunk_id"], r["verifications"]) for r in ver.collect()) == [("a", None), ("c", [])]
+    done = tmp_path / "done"
+    done.mkdir()
+    for name, n in (("1.json", 1), ("2.json", 2)):
+        (done / name).write_text(json.dumps({"chunk_id": "c", "generation": {"qa_pairs": [pair] * n}}, indent=1))
+    r = files.read_captures(spark, str(done)).first()
+    assert len(r["qa_pairs"]) == 2 and r["verifications"] == []
+
+
+def test_stream_chunks_each_drop_once(spark, tmp_path):
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    source = tmp_path / "in"
+    spark.read.parquet(f"{DATA}/pages.parquet").write.parquet(str(source))
+    cfg = Config(min_chunk_chars=10)
+    for _ in range(2):
+        chunk_stream(spark, str(source), out, state, cfg).awaitTermination()
+    n = spark.read.parquet(out).select("doc_id").distinct().count()
+    spark.read.parquet(f"{DATA}/pages.parquet").selectExpr("page_id + 1000 AS page_id", "url", "html").write.mode("append").parquet(str(source))
+    chunk_stream(spark, str(source), out, state, cfg).awaitTermination()
+    assert n > 40 and spark.read.parquet(out).select("doc_id").distinct().count() == 2 * n
+
+
+def test_event_rates(spark):
+    events = spark.read.parquet(f"{DATA}/events.parquet").selectExpr("cast(ts AS timestamp) AS ts", "event_type", "value")
+    assert event_rates(events).agg({"n": "sum"}).first()[0] == events.count()
+
+
+def test_agreement_and_cosine(spark):
+    t = spark.createDataFrame([(1, "SUPPORTED"), (1, "PARTIAL"), (1, "SUPPORTED"), (2, "SUPPORTED")], "k long, verdict string")
+    assert {r["k"]: r["agreed"] for r in agreed(t, ["k"]).collect()} == {1: False, 2: True}
+    assert {r["k"]: r["agreed"] for r in agreed(t, ["k"], unanimous=False).collect()} == {1: True, 2: True}
+    v = spark.createDataFrame([([1.0, 0.0], [1.0, 1.0])], "a array<float>, b array<float>")
+    assert abs(v.select(cosine(v.a, v.b)).first()[0] - 0.5**0.5) < 1e-12
