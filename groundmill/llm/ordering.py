@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 BITS = 60
 #: Rows of a group that one slice of the hash range holds on average, and the most slices as a power of two.
-SLICE_ROWS, MOST_BITS = 4096, 14
+SLICE_ROWS, MOST_BITS = 512, 14
 
 
 def seeded_hash(*parts: Column | str) -> Column:
