@@ -1,16 +1,20 @@
-"""Command line: one report from a local file, with captured completions."""
+"""Command line: one report, from a local file or the registry, with captured completions."""
 
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from groundmill.config import Config
+from groundmill.operators.judging import stats
 from groundmill.operators.merge import merge_captures, merge_summary
 from groundmill.plans.dataset import chunks_from_html, run_replay
 from groundmill.sources.files import read_captures, read_raw_captures, read_reports
+from groundmill.sources.registry import fetch, find_report, http_get, patient
 from groundmill.sources.sinks import write_captures, write_outputs
 
 
@@ -18,7 +22,9 @@ def parse(args: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="groundmill", description=__doc__)
     sub = p.add_subparsers(dest="command", required=True)
     run = sub.add_parser("run", help="verified pairs from a report")
-    run.add_argument("--html", required=True, help="the report's file")
+    run.add_argument("--html", help="the report's file; without it the registry is asked")
+    run.add_argument("--cik")
+    run.add_argument("--skip", type=int, default=0, help="0 is the latest report, 1 the one before")
     run.add_argument("--captures", required=True, help="folder of captured runs")
     for name in ("company", "ticker", "fiscal-year", "accession", "period"):
         run.add_argument(f"--{name}", default="")
@@ -43,9 +49,22 @@ def main(args: list[str] | None = None) -> None:
         return
     given = {"run_name": a.run_name, "output_dir": a.out, "max_chunks": a.max_chunks, "questions_per_chunk": a.questions_per_chunk, "target_pairs": a.target}
     cfg = Config.from_env(**{k: v for k, v in given.items() if v is not None})
-    meta = {"company": a.company or "Unknown", "ticker": a.ticker or None, "fiscal_year": a.fiscal_year or a.period[:4], "accession": a.accession, "form": "10-K", "period": a.period}
-    files = read_reports(spark, a.html).select(F.lit(0).cast("long").alias("doc_id"), "content")
+    if a.html:
+        meta = {"company": a.company or "Unknown", "ticker": a.ticker or None, "fiscal_year": a.fiscal_year or a.period[:4], "accession": a.accession, "form": "10-K", "period": a.period}
+        files = read_reports(spark, a.html).select(F.lit(0).cast("long").alias("doc_id"), "content")
+    else:
+        get = partial(http_get, user_agent=cfg.user_agent)
+        found = find_report(patient(get, cfg.pause_seconds), a.ticker or None, a.cik, skip=a.skip)
+        meta = {k: found[k] for k in ("company", "fiscal_year", "accession", "form", "period")} | {"ticker": a.ticker or None}
+        files = fetch(spark.createDataFrame([(found["url"],)], "url string"), get, cfg.pause_seconds, 1).select(F.lit(0).cast("long").alias("doc_id"), "content")
+        files.write.mode("overwrite").parquet(f"{cfg.data_dir}/raw/{found['accession']}")
+        files = spark.read.parquet(f"{cfg.data_dir}/raw/{found['accession']}")
+        if not a.run_name:
+            cfg = replace(cfg, run_name=f"{a.ticker or a.cik}_{found['fiscal_year']}".lower())
     result = run_replay(chunks_from_html(files, cfg, meta), read_captures(spark, a.captures), cfg)
+    record = stats(result.accepted, result.rejected).first()
+    print(f"accepted {record['n_accepted']}, rejected {record['n_rejected']}, rate {record['acceptance_rate']}")
+    print(f"by type {record['by_question_type']}, by difficulty {record['by_difficulty']}")
     paths = write_outputs(result.accepted, result.decided, cfg.output_dir, cfg.run_name, meta)
     for kind, path in paths.items():
         print(f"{kind}: {path}")

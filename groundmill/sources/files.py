@@ -16,8 +16,13 @@ def read_reports(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_captures(spark: SparkSession, path: str) -> DataFrame:
-    """(chunk_id, qa_pairs, verifications) of captured runs; of several files of a chunk the last by name counts."""
-    raw = spark.read.schema(CAPTURE).option("multiLine", True).json(path).withColumn("_file", F.col("_metadata.file_name"))
+    """(chunk_id, qa_pairs, verifications) of captured runs; of several files of a chunk the last by name counts.
+
+    Files hold one run each, however it is laid out; those that Spark wrote hold one run per line.
+    """
+    named = lambda r: r.json(path).withColumn("_file", F.col("_metadata.file_name"))
+    single = named(spark.read.schema(CAPTURE).option("multiLine", True)).where("NOT startswith(_file, 'part-')")
+    raw = single.unionByName(named(spark.read.schema(CAPTURE)).where("startswith(_file, 'part-')"))
     last = raw.withColumn("_n", F.row_number().over(Window.partitionBy("chunk_id").orderBy(F.desc("_file")))).where("_n = 1")
     pairs = F.coalesce("generation.qa_pairs", F.expr(f"cast(array() as array<{PAIR}>)"))
     return last.select("chunk_id", pairs.alias("qa_pairs"), F.coalesce("verifications", F.expr(f"cast(array() as array<{VERDICT}>)")).alias("verifications"))

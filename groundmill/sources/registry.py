@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 import urllib.request
 from collections.abc import Callable, Iterator
@@ -59,24 +60,53 @@ def http_get(url: str, user_agent: str, timeout: float = 60) -> bytes:
         return r.read()
 
 
-def fetch(addresses: DataFrame, get: Callable[[str], bytes], pause: float, tasks: int, attempts: int = 4) -> DataFrame:
-    """(url, content) for addresses (url). At most ``tasks`` run at once, and each waits so long that all of them keep to one request per ``pause`` seconds.
+def find_report(get: Callable[[str], bytes], ticker: str | None = None, cik: str | None = None, form: str = "10-K", skip: int = 0) -> dict:
+    """One company's report: the number, given or looked up by ticker, then the ``skip``-th of this form in its history.
 
-    A request is tried again after growing waits from 1 to 20 seconds; the last failure ends the task.
+    Two small documents of the registry are read; for many companies use the tables' functions.
     """
+    if not ticker and not cik:
+        raise ValueError("a ticker or a company number is needed")
+    if not cik:
+        wanted = ticker.upper().strip()
+        cik = next((str(r["cik_str"]) for r in json.loads(get(TICKERS_URL)).values() if r["ticker"].upper() == wanted), None)
+        if cik is None:
+            raise NotFound(f"ticker {ticker!r} is not in the index")
+    cik = str(cik).zfill(10)
+    history = json.loads(get(SUBMISSIONS_URL.format(cik=cik)))
+    recent = history["filings"]["recent"]
+    places = [i for i, f in enumerate(recent["form"]) if f == form]
+    if skip >= len(places):
+        raise NotFound(f"company {cik} has {len(places)} reports of form {form}; number {skip} was asked for")
+    i = places[skip]
+    accession, document = recent["accessionNumber"][i], recent["primaryDocument"][i]
+    url = ARCHIVE_URL.format(cik=int(cik), accession=accession.replace("-", ""), document=document)
+    return {"company": history.get("name", "Unknown"), "cik": cik, "form": form, "filed": recent["filingDate"][i], "period": recent["reportDate"][i], "accession": accession, "document": document, "url": url, "fiscal_year": recent["reportDate"][i][:4]}
+
+
+def patient(get: Callable[[str], bytes], pause: float, attempts: int = 4) -> Callable[[str], bytes]:
+    """``get`` after a pause, tried again after growing waits from 1 to 20 seconds; the last failure is raised."""
+
+    def slow(url: str) -> bytes:
+        for k in range(attempts):
+            time.sleep(pause)
+            try:
+                return get(url)
+            except Exception:
+                if k + 1 == attempts:
+                    raise
+                time.sleep(min(20, 2**k))
+
+    return slow
+
+
+def fetch(addresses: DataFrame, get: Callable[[str], bytes], pause: float, tasks: int, attempts: int = 4) -> DataFrame:
+    """(url, content) for addresses (url). At most ``tasks`` run at once, and each waits so long that all of them keep to one request per ``pause`` seconds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slow = patient(get, pause * tasks, attempts)
         for b in batches:
             for url in b.column(0).to_pylist():
-                for k in range(attempts):
-                    time.sleep(pause * tasks)
-                    try:
-                        content = get(url)
-                        break
-                    except Exception:
-                        if k + 1 == attempts:
-                            raise
-                        time.sleep(min(20, 2**k))
-                yield pa.RecordBatch.from_arrays([pa.array([url]), pa.array([content], pa.binary())], ["url", "content"])
+                yield pa.RecordBatch.from_arrays([pa.array([url]), pa.array([slow(url)], pa.binary())], ["url", "content"])
 
     return addresses.select("url").repartition(tasks).mapInArrow(run, "url string, content binary")

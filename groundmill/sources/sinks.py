@@ -48,4 +48,4 @@ def write_outputs(accepted: DataFrame, decided: DataFrame, out_dir: str, run_nam
 
 def write_captures(merged: DataFrame, path: str) -> None:
     """Merged captures as one table of JSON lines instead of a file per chunk."""
-    write_jsonl(merged.drop("missing"), path)
+    write_jsonl(merged.select("chunk_id", F.struct("qa_pairs").alias("generation"), "verifications"), path)

@@ -102,3 +102,38 @@ def test_agreement_and_cosine(spark):
     assert {r["k"]: r["agreed"] for r in agreed(t, ["k"], unanimous=False).collect()} == {1: True, 2: True}
     v = spark.createDataFrame([([1.0, 0.0], [1.0, 1.0])], "a array<float>, b array<float>")
     assert abs(v.select(cosine(v.a, v.b)).first()[0] - 0.5**0.5) < 1e-12
+
+
+def test_find_report():
+    held = {
+        registry.TICKERS_URL: json.dumps({"0": {"ticker": "lmp", "cik_str": 77}}),
+        registry.SUBMISSIONS_URL.format(cik="0000000077"): json.dumps({"name": "Lamp Works", "filings": {"recent": {"form": ["10-K/A", "10-K", "10-K"], "accessionNumber": ["a-0", "b-1-2", "c"], "primaryDocument": ["x", "y.htm", "z"], "filingDate": ["1", "2", "3"], "reportDate": ["2024-12-31", "2024-09-30", "2023-09-30"]}}}),
+    }
+    found = registry.find_report(held.__getitem__, ticker=" LMP ")
+    assert found["url"].endswith("/77/b12/y.htm") and found["fiscal_year"] == "2024" and found["cik"] == "0000000077"
+    assert registry.find_report(held.__getitem__, cik="77", skip=1)["accession"] == "c"
+    for given in ({"ticker": "none"}, {"cik": "77", "skip": 2}):
+        with pytest.raises(registry.NotFound):
+            registry.find_report(held.__getitem__, **given)
+    with pytest.raises(ValueError):
+        registry.find_report(held.__getitem__)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from groundmill.__main__ import main
+    from groundmill.operators.chunks import chunk_documents
+
+    html = "<body><p>Item 1. Business</p><p>" + "We sell lamps in many towns. " * 30 + "</p></body>"
+    (tmp_path / "r.htm").write_text(html)
+    text = H.parse_html(spark.createDataFrame([(0, html)], "doc_id long, html string")).select("doc_id", "text")
+    chunk = chunk_documents(text, Config()).first()["chunk_id"]
+    pair = {"question": "What is sold?", "answer": "lamps", "source_passage": "We sell lamps in many towns.", "question_type": "fact_extraction", "difficulty": "easy"}
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / f"gen_{chunk}.json").write_text(json.dumps({"generation": {"qa_pairs": [pair]}}))
+    (raw / f"verify_{chunk}.json").write_text(json.dumps({"verifications": [{"verdict": "SUPPORTED", "confidence": 0.9, "reasoning": "fits"}]}))
+    main(["merge", "--raw", str(raw), "--out", str(tmp_path / "merged")])
+    main(["run", "--html", str(tmp_path / "r.htm"), "--captures", str(tmp_path / "merged"), "--company", "Lamp Works", "--fiscal-year", "2024", "--out", str(tmp_path / "out"), "--run-name", "t"])
+    said = capsys.readouterr().out
+    assert "'total_pairs': 1" in said and "accepted 1, rejected 0" in said
+    assert spark.read.parquet(str(tmp_path / "out/t_dataset.parquet")).first()["company"] == "Lamp Works"
