@@ -294,15 +294,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates; columns stay as they are.
+    """``docs`` with one row of each group of near duplicates, the one with the smallest id; columns stay as they are.
 
-    Rows without words are kept, each once per id; a row with a null id is kept only where nothing is kept for
-    its group.
+    Rows without words are kept, each once per id. Rows without an id get one from their text that is larger
+    than all others (ids of 2^62 and more are taken for such), so they stay only where their group has no id.
     """
-    kept = near_duplicates(docs, key, text, width, percent).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, F.col(key).cast("long") == F.col("_kept"), "left_semi")
-    one = named.withColumn("_row", F.row_number().over(Window.partitionBy(key).orderBy(F.desc_nulls_last(text)))).where("_row = 1").drop("_row")
-    return one.unionByName(docs.where(F.col(key).isNull()).dropDuplicates([text]))
+    made = F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 62))
+    keyed = docs.withColumn("_key", F.coalesce(F.col(key).cast("long"), made))
+    kept = near_duplicates(keyed, "_key", text, width, percent).where("kept").select(F.col("doc_id").alias("_key")).distinct()
+    one = Window.partitionBy("_key").orderBy(F.desc_nulls_last(text))
+    return keyed.join(kept, "_key", "left_semi").withColumn("_row", F.row_number().over(one)).where("_row = 1").select(*docs.columns)
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

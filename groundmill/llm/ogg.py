@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .checksums import ogg_crc_many
-from .shared import documents
+from .shared import documents, map_column
 
 #: Header packet of the sample stream: magic, sample rate, channels; of the side stream: magic, length.
 SAMPLES, NOTE = b"GMPCM8\x00\x01", b"GMNOTE\x00\x01"
@@ -180,24 +180,6 @@ def demux(media: list[bytes]) -> list[list[Stream]]:
     return [list(x.values()) for x in streams]
 
 
-def _mapped(df: DataFrame, column: str, name: str, kind: str, make) -> DataFrame:
-    """``df`` with ``name`` made from ``column`` a batch at a time; no other column changes."""
-    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
-
-    schema = StructType([f for f in df.schema.fields if f.name != name] + [StructField(name, _parse_datatype_string(kind))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [i for i, n in enumerate(batch.schema.names) if n != name]
-            source = batch.column(batch.schema.get_field_index(column))
-            step = max(1, min(1024, int(len(batch) * (16 << 20) / max(1, source.nbytes))))
-            for i in range(0, len(batch), step):
-                part = batch.slice(i, step)
-                yield pa.RecordBatch.from_arrays([part.column(j) for j in keep] + [make(source.slice(i, step))], [batch.schema.names[j] for j in keep] + [name])
-
-    return df.mapInArrow(run, schema)
-
-
 def mux_column(df: DataFrame, text: str, media: str = "media") -> DataFrame:
     """Add ``media``: the UTF-8 bytes of ``text``, padded with zeros to a positive multiple of 64, as an Ogg stream.
 
@@ -209,7 +191,7 @@ def mux_column(df: DataFrame, text: str, media: str = "media") -> DataFrame:
         raw = [x.encode() if isinstance(x, str) else x or b"" for x in texts.to_pylist()]
         return pa.array(mux([x.ljust(max(64, -(-len(x) // 64) * 64), b"\0") for x in raw], [len(x) for x in raw]), pa.binary())
 
-    return _mapped(df, text, media, "binary", make)
+    return map_column(df, text, media, "binary", make)
 
 
 def demux_column(df: DataFrame, media: str, streams: str = "streams") -> DataFrame:
@@ -225,7 +207,7 @@ def demux_column(df: DataFrame, media: str, streams: str = "streams") -> DataFra
     def make(data: pa.Array) -> pa.Array:
         return pa.array([[s.row() for s in x] for x in demux([b or b"" for b in data.to_pylist()])], kind)
 
-    return _mapped(df, media, streams, DEMUX_SCHEMA, make)
+    return map_column(df, media, streams, DEMUX_SCHEMA, make)
 
 
 def sample_features(df: DataFrame, payload: str, feature: str = "feature") -> DataFrame:
@@ -242,7 +224,7 @@ def sample_features(df: DataFrame, payload: str, feature: str = "feature") -> Da
             out.append(f"rms={level:.4f};peak={int(np.abs(x).max())};crossings={int(np.count_nonzero((x[1:] < 0) != (x[:-1] < 0)))}")
         return pa.array(out, pa.string())
 
-    return _mapped(df, payload, feature, "string", make)
+    return map_column(df, payload, feature, "string", make)
 
 
 def op2_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:

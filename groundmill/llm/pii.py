@@ -88,12 +88,12 @@ def find_entities(docs: DataFrame, text: str, spans: str = "base") -> DataFrame:
 
 
 def _terms(text: Column) -> Column:
-    """Distinct lower-case words outside mail addresses, and the classes of words that share their first letters."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.regexp_replace(text, EMAIL, " ")), F.lit(WORD), F.lit(0)))
-    return words
+    """Distinct lower-case words outside mail addresses."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(F.regexp_replace(text, EMAIL, " ")), F.lit(WORD), F.lit(0)))
 
 
 def _with_classes(words: Column) -> Column:
+    """Words, and the classes of words that share their first letters."""
     return F.concat(words, F.array_distinct(F.transform(words, lambda w: F.concat(F.substring(w, 1, STEM), F.lit("*")))))
 
 

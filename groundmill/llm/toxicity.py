@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import cut, documents
+from .shared import cut, documents, map_column
 
 #: Rows of each label that the grammar is fitted on, at most; the ones with the smallest hashes of their ids.
 SAMPLE = 6_000
@@ -316,13 +316,11 @@ def _cover(held: list[list[int]], names: list[str], odds: np.ndarray, need: int)
 
 def score_toxicity(docs: DataFrame, model: str, text: str = "text", score: str = "score") -> DataFrame:
     """Add ``score`` (0 to 1) to every row; null and empty texts get the score of a text without matches. A column of that name is replaced."""
-    from .ogg import _mapped
-
     def make(texts: pa.Array) -> pa.Array:
         g = grammar(model)
         return pa.array([g.score(t) for t in texts.to_pylist()], pa.float64())
 
-    return _mapped(docs, text, score, "double", make)
+    return map_column(docs, text, score, "double", make)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
