@@ -53,6 +53,8 @@ def snap(pairs: DataFrame, fuzzy: bool = True) -> DataFrame:
     exact = marked.where("_at > 0").withColumn("_span", strip(F.substring(c, F.col("_at"), F.length(p))))
     rest = marked.where("_at = 0")
     if fuzzy:
+        # few rows, each of them slow: adaptive execution would put them into one task
+        rest = rest.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         rest = rest.withColumn("_h", F.when(strip(p) != "", _hull_column()(norm_punct(p), norm_punct(c))))
         rest = rest.withColumn("_span", strip(F.substring(c, F.col("_h")[0] + 1, F.col("_h")[1] - F.col("_h")[0]))).drop("_h")
     else:
