@@ -258,6 +258,21 @@ def text_folds(spark, sf_dir):
     return d.select("doc_id", T.squash(F.col("text")).alias("text"), T.fold(F.col("text")).alias("folded"), F.length("text").alias("n_chars"), T.token_estimate(F.col("text")).alias("n_tokens"))
 
 
+@query(f"SELECT doc_id, {sq_squash('text')} AS text FROM documents")
+def squash(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", T.squash(F.col("text")).alias("text"))
+
+
+@query(f"SELECT doc_id, {sq_fold(chr(39) + '  “' + chr(39) + ' || text')} AS folded FROM documents")
+def fold(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", T.fold(F.concat(F.lit("  “"), "text")).alias("folded"))
+
+
+@query("SELECT doc_id, greatest(1, length(text) // 4) AS n_tokens FROM documents")
+def token_estimate(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", T.token_estimate(F.col("text")).alias("n_tokens"))
+
+
 _CURLED = "replace(replace(replace(text, 'th', '’“'), 'en', '—'), ' a', chr(160) || '„')"
 
 
@@ -460,6 +475,18 @@ def grounding_pairs(spark, sf_dir):
     return g.select("doc_id", "pair_idx", "exact", "token_overlap", "passage_in_chunk", "numbers_supported", F.array_join("missing_numbers", " ").alias("missing_numbers"), "passed")
 
 
+@query(f"WITH {CANDIDATES}, {GROUNDED} SELECT doc_id, pair_idx, token_overlap, passage_in_chunk FROM grounded")
+def passage_gate(spark, sf_dir):
+    return grounding.ground(candidates(spark, sf_dir), CFG).select("doc_id", "pair_idx", "token_overlap", "passage_in_chunk")
+
+
+@query(f"WITH {CANDIDATES}, {GROUNDED} SELECT doc_id, pair_idx, array_to_string(missing_numbers, ' ') AS missing_numbers FROM grounded WHERE len(missing_numbers) > 0")
+def missing_numbers(spark, sf_dir):
+    found = grounding.missing_numbers(*[F.coalesce(c, F.lit("")) for c in ("answer", "chunk_text", "source_passage")])
+    c = candidates(spark, sf_dir).select("doc_id", "pair_idx", found.alias("missing_numbers"))
+    return c.where(F.size("missing_numbers") > 0).withColumn("missing_numbers", F.array_join("missing_numbers", " "))
+
+
 _ORDERED = "SELECT o_orderkey AS doc_id, 0 AS chunk_ord, 0 AS pair_idx, 'q' AS question, '$' || o_totalprice || ' and ' || (o_orderkey * 3) AS answer, 'paid ' || o_totalprice AS source_passage, 'Order ' || o_orderkey || ' paid ' || o_totalprice || ' by ' || o_custkey AS chunk_text, CASE WHEN o_orderkey % 4 = 1 THEN 'numeric_calculation' ELSE 'comparison' END AS question_type, 'easy' AS difficulty, 'SUPPORTED' AS verdict, 0.5 AS confidence, 'r' AS reasoning, 'c' AS chunk_id FROM orders"
 
 
@@ -504,7 +531,7 @@ def snap_exact(spark, sf_dir):
 
 @query()
 def snap_fuzzy(spark, sf_dir):
-    """Quotes with words left out, marks changed or bars dropped, aligned by the sequence matcher."""
+    """Quotes with words left out, marks changed or bars dropped, aligned by the block matcher."""
     c = candidates(spark, sf_dir)
     bent = F.regexp_replace(F.replace("source_passage", F.lit(" the "), F.lit(" ")), r"\. ", "; ")
     return snap.snap(c.withColumn("source_passage", bent)).select("doc_id", "pair_idx", "snapped_passage", "snapped")
@@ -575,6 +602,16 @@ def acceptance_rate(spark, sf_dir):
     return s.select("n_accepted", "n_rejected", "acceptance_rate", "mean_verifier_confidence", "pct_exact_passage_match")
 
 
+@query(f"WITH {CANDIDATES}, {GROUNDED} SELECT round(coalesce(avg(verifier_confidence), 0), 3) AS mean_verifier_confidence FROM kept")
+def mean_confidence(spark, sf_dir):
+    return judging.dedupe(accepted(spark, sf_dir), dataset.ORDER).agg(F.round(F.coalesce(F.avg("verifier_confidence"), F.lit(0.0)), 3).alias("mean_verifier_confidence"))
+
+
+@query(f"WITH {CANDIDATES}, {GROUNDED} SELECT round(100 * coalesce(avg(contains(fc, fp)::INT), 0), 1)::DOUBLE AS pct_exact_passage_match FROM kept")
+def pct_exact(spark, sf_dir):
+    return judging.dedupe(accepted(spark, sf_dir), dataset.ORDER).agg(F.round(100 * F.coalesce(F.avg(F.col("source_verbatim").cast("int")), F.lit(0.0)), 1).alias("pct_exact_passage_match"))
+
+
 def _map_of(column: str) -> str:
     return f"(SELECT string_agg({column} || '=' || n, ',' ORDER BY {column}) FROM (SELECT {column}, count(*) AS n FROM kept GROUP BY 1))"
 

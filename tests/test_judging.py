@@ -1,4 +1,6 @@
 import json
+import random
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +75,17 @@ def test_snapping(spark):
     assert snapped(spark, "quite another matter") == ("quite another matter", False)
 
 
+def test_blocks_equal_those_of_the_standard_library(monkeypatch):
+    r = random.Random(5)
+    for letters in ["ab", "abcd ", "abcdefgh é😀"] * 150:
+        chunk, passage = ("".join(r.choices(letters, k=r.randint(0, n))) for n in (70, 40))
+        at = r.randint(0, len(chunk))
+        passage += chunk[at : at + r.randint(0, 30)]
+        monkeypatch.setattr(snap, "PLACES", r.choice([3, 40, 1 << 21]))
+        want = [tuple(b) for b in SequenceMatcher(None, chunk, passage, autojunk=False).get_matching_blocks() if b.size >= snap.LEAST_BLOCK]
+        assert snap._blocks(chunk, passage) == want
+
+
 def test_both_legs_of_snapping_agree(spark):
     words = CHUNK.split()
     rows = [(" ".join(words[i:j]), CHUNK) for i in range(0, len(words), 3) for j in range(i + 2, len(words), 4)]
