@@ -7,8 +7,12 @@ whole corpus, a term t tells about entity c the pointwise mutual information
     PMI(c; t) = ln(n_ct * N / (n_c * n_t)),    at most IC(c) = ln(N / n_c).
 
 Where PMI reaches ``disclosure`` of IC, whoever sees t knows most of what c itself would tell, so t is
-generalised to its first letters if that class of terms stays below the threshold, else removed. A pair
-counts only with ``support`` different texts behind it: copies of one text are one observation.
+generalised to its first letters if that class of terms stays below the threshold, else removed. Copies of one
+text are one observation. ``SMOOTHING`` is added to n_c and n_t, so that a word of few texts needs a larger corpus
+to count as evidence; entities of any number of texts take part.
+
+The statement of ``op8_pii`` counts documents instead and asks for ``SUPPORT`` different texts behind a pair; that
+query keeps to it by ``supported_terms``.
 """
 
 from __future__ import annotations
@@ -26,9 +30,12 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
 RANK = {k: i for i, k in enumerate([*KINDS, "term"])}
-WORD = r"\p{L}{4,}"
+LONG = r"\p{L}{4,}"
+#: Long words, and short ones that begin with a capital or are of a script without case.
+WORD = LONG + r"|(?<!\p{L})(?:\p{Lu}\p{L}{1,2}|\p{Lo}{1,3})(?!\p{L})"
 STEM = 3
 SUPPORT = 3
+SMOOTHING = 0.5
 DISCLOSURE = 0.9
 SPAN = "array<struct<start: int, rank: int, kind: string, end: int, value: string>>"
 
@@ -87,9 +94,14 @@ def find_entities(docs: DataFrame, text: str, spans: str = "base") -> DataFrame:
     return out.withColumn(spans, F.array_sort(found)).drop(*[f"_{x}_{k}" for k in KINDS for x in "mg"])
 
 
+def _long_terms(text: Column) -> Column:
+    """Distinct lower-case long words outside mail addresses."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(F.regexp_replace(text, EMAIL, " ")), F.lit(LONG), F.lit(0)))
+
+
 def _terms(text: Column) -> Column:
-    """Distinct lower-case words outside mail addresses."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(F.regexp_replace(text, EMAIL, " ")), F.lit(WORD), F.lit(0)))
+    """Distinct words outside mail addresses, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(F.regexp_replace(text, EMAIL, " "), F.lit(WORD), F.lit(0)), F.lower))
 
 
 def _with_classes(words: Column) -> Column:
@@ -97,21 +109,57 @@ def _with_classes(words: Column) -> Column:
     return F.concat(words, F.array_distinct(F.transform(words, lambda w: F.concat(F.substring(w, 1, STEM), F.lit("*")))))
 
 
-def disclosing_terms(found: DataFrame, key: str, text: str, spans: str, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def disclosing_terms(found: DataFrame, key: str, text: str, spans: str, disclosure: float = DISCLOSURE) -> DataFrame:
     """(doc_id, terms: map of term to what stands for it) for documents in which terms give an entity away.
 
-    Counts run over all documents with an id; a document counts once for a term.
+    Counts run over the different texts of all documents with an id; a text counts once for a term.
     """
     rows = found.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(spans).alias("spans"))
+    rows = rows.withColumn("copy", F.xxhash64("text"))
+    copies = cut(rows.groupBy("copy").agg(F.count("*").alias("rows")), "copies")
+    size = copies.agg(F.count("*").cast("double").alias("n"))
+    holders = rows.where(F.size("spans") > 0)
+    entities = holders.select("copy", F.explode(F.transform("spans", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"])))).alias("entity"))
+    entities = cut(entities.distinct(), "entities")
+    known = entities.groupBy("entity").agg(F.count("*").alias("n_c"))
+    # entities of one text have the same counts with all its words, so that the text stands for them
+    held = entities.join(known, "entity").select("copy", "n_c", F.when(F.col("n_c") == 1, F.concat(F.lit("text:"), F.col("copy"))).otherwise(F.col("entity")).alias("entity")).distinct()
+    words = holders.select("copy", _terms(F.col("text")).alias("words")).groupBy("copy").agg(F.first("words").alias("words"))
+    told = cut(held.join(words, "copy"), "holders")
+    pairs = told.select("entity", "n_c", F.explode(_with_classes(F.col("words"))).alias("term")).groupBy("entity", "n_c", "term").agg(F.count("*").alias("n_ct"))
+    share = rows.select("copy", "text").join(copies.where("rows > 1"), "copy", "left").select(F.explode(_with_classes(_terms(F.col("text")))).alias("term"), (1 / F.coalesce("rows", F.lit(1))).alias("share"))
+    corpus = share.groupBy("term").agg(F.round(F.sum("share")).alias("n_t"))
+    n_c, n_t = F.col("n_c") + SMOOTHING, F.col("n_t") + SMOOTHING
+    ic = F.log(F.col("n") / n_c)
+    pmi = F.log(F.col("n_ct") * F.col("n") / (n_c * n_t))
+    scored = cut(pairs.join(corpus, "term").join(F.broadcast(size)).select("entity", "term", ((ic > 0) & (pmi >= disclosure * ic)).alias("tells")), "scored")
+    words = scored.where("tells AND NOT endswith(term, '*')").select("entity", "term", F.concat(F.substring("term", 1, STEM), F.lit("*")).alias("class"))
+    classes = scored.where("NOT tells AND endswith(term, '*')").select("entity", F.col("term").alias("class"), F.lit(True).alias("safe"))
+    hides = F.col("safe") & (F.length("term") > STEM)
+    risky = cut(words.join(classes, ["entity", "class"], "left").select("entity", "term", F.when(hides, F.col("class")).otherwise("[TERM]").alias("label")), "risky")
+    by_text = told.select("entity", "copy", F.explode("words").alias("term")).join(risky, ["entity", "term"]).groupBy("copy", "term").agg(F.max("label").alias("label"))
+    by_text = cut(by_text.groupBy("copy").agg(F.collect_list(F.struct("term", "label")).alias("terms")), "texts")
+    return (
+        holders.select("doc_id", "copy").join(by_text, "copy").select("doc_id", F.explode("terms").alias("t"))
+        .groupBy("doc_id", F.col("t.term").alias("term"))
+        .agg(F.max("t.label").alias("label"))
+        .groupBy("doc_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "label"))).alias("terms"))
+    )
+
+
+def supported_terms(found: DataFrame, key: str, text: str, spans: str, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+    """What ``disclosing_terms`` gives, by the counts of ``OP8_SQL``: documents, and only pairs with ``support`` texts."""
+    rows = found.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(spans).alias("spans"))
     holders = rows.where(F.size("spans") > 0).select("doc_id", "text", F.explode(F.array_distinct(F.transform("spans", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))).alias("entity"))
     holders = holders.withColumn("copy", F.xxhash64("text"))
     known = holders.groupBy("entity").agg(F.countDistinct("doc_id").alias("n_c"), F.countDistinct("copy").alias("texts")).where(F.col("texts") >= support)
     known = cut(known.select("entity", "n_c"), "entities")
-    told = cut(holders.join(known, "entity").select("entity", "n_c", "doc_id", "copy", _terms(F.col("text")).alias("words")), "holders")
+    told = cut(holders.join(known, "entity").select("entity", "n_c", "doc_id", "copy", _long_terms(F.col("text")).alias("words")), "holders")
     pairs = told.select("entity", "n_c", "doc_id", "copy", F.explode(_with_classes(F.col("words"))).alias("term"))
     pairs = pairs.groupBy("entity", "n_c", "term").agg(F.countDistinct("doc_id").alias("n_ct"), F.countDistinct("copy").alias("texts")).where(F.col("texts") >= support)
     pairs = cut(pairs.select("entity", "n_c", "term", "n_ct"), "pairs")
-    corpus = rows.select("doc_id", F.explode(_with_classes(_terms(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    corpus = rows.select("doc_id", F.explode(_with_classes(_long_terms(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     size = rows.agg(F.count("*").cast("double").alias("n"))
     ic = F.log(F.col("n") / F.col("n_c"))
     pmi = F.log(F.col("n_ct") * F.col("n") / (F.col("n_c") * F.col("n_t")))
@@ -129,7 +177,7 @@ def disclosing_terms(found: DataFrame, key: str, text: str, spans: str, support:
     )
 
 
-def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, find_terms=disclosing_terms) -> DataFrame:
     """``docs`` with ``base``, ``spans`` and ``sanitised``.
 
     ``base`` are the entities, ``spans`` those and the disclosing terms (kind "term"; none inside an entity), and
@@ -140,7 +188,7 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", support:
     """
     clean = docs.drop("base", "spans", "sanitised", "_terms", "_id")
     found = find_entities(clean, text)
-    told = cut(disclosing_terms(found, key, text, "base", support, disclosure), "terms")
+    told = cut(find_terms(found, key, text, "base", disclosure), "terms")
     joined = found.join(told.select(F.col("doc_id").alias("_id"), F.col("terms").alias("_terms")), F.col(key).cast("long") == F.col("_id"), "left").drop("_id")
     filled = F.coalesce(F.col(text), F.lit(""))
     none = F.expr("cast(array() as array<string>)")
@@ -163,13 +211,21 @@ def _listed(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in every text of ``documents``: counts by kind, digest of the entities, all spans."""
-    found = sanitise(documents(spark, sf_dir).select("doc_id", "text"))
+def _spans_listed(found: DataFrame) -> DataFrame:
     counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text of ``documents``: counts by kind, digest of the entities, all spans; terms by the statement's counts."""
+    return _spans_listed(sanitise(documents(spark, sf_dir).select("doc_id", "text"), find_terms=supported_terms))
+
+
+def op8_pii_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op8_pii`` with the terms that the pipeline replaces, of entities in any number of texts."""
+    return _spans_listed(sanitise(documents(spark, sf_dir).select("doc_id", "text")))
+
+
 def _sql_spans(kind: str, pattern: str, test: str) -> str:
     """Matches of one kind with offsets: what stands before a match is what the pattern leaves of the text."""
     return f"""

@@ -13,7 +13,7 @@ from .licences import op5_licences
 from .minhash import OP6_SQL, op6_minhash
 from .ogg import op2_ogg_media
 from .packing import op10_packing
-from .pii import OP8_SQL, op8_pii
+from .pii import OP8_SQL, op8_pii, op8_pii_terms
 from .records import op1_token_records
 from .toxicity import op7_toxicity
 
@@ -26,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_minhash": op6_minhash,
     "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
+    "op8_pii_terms": op8_pii_terms,
     "op9_ann": op9_ann,
     "op10_packing": op10_packing,
 }

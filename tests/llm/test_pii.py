@@ -83,6 +83,50 @@ def test_terms_are_generalised_where_their_class_is_common(spark):
     assert "mar*" in got[0] and "[EMAIL]" in got[0] and got[20] == rows[20][1]
 
 
+def test_entities_of_one_text_have_terms(spark):
+    rows = [(i, f"Zorvex alone wrote with Ono to ann{i}@b.org" if i < 1 else f"people wrote with matter to nobody {i}") for i in range(400)]
+    rows += [(1000 + i, "quillon met people by bob@b.org") for i in range(5)] + [(2000 + i, f"vexilla {'abc'[i] * 5} by two@b.org wrote") for i in range(2)]
+    got = {r["doc_id"]: r["sanitised"] for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == "[TERM] [TERM] wrote with [TERM] to [EMAIL]"
+    assert {got[1000 + i] for i in range(5)} == {"[TERM] met people by [EMAIL]"}  # copies count once
+    assert [got[2000 + i] for i in range(2)] == ["[TERM] [TERM] by [EMAIL] wrote"] * 2
+    assert all(got[i] == rows[i][1] for i in range(1, 400))
+
+
+def test_terms_equal_a_loop(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()]
+    texts = {t or "" for _, t in docs}
+    found = {t: {f"{k}:{t[int(a):int(b)].lower()}" for k, a, b in (x.split(":") for x in brute(t))} for t in texts}
+    pattern = re.compile(r"[^\W\d_]+")
+
+    def words(t):
+        out = set()
+        for w in pattern.findall(re.sub(PATTERNS["email"], " ", t)):
+            if len(w) >= 4 or (len(w) > 1 and w[0].isupper()):
+                out.add(w.lower())
+        return out
+
+    own = {t: words(t) for t in texts}
+    n_t, n_c, n = {}, {}, len(texts)
+    for t in texts:
+        for w in own[t]:
+            n_t[w] = n_t.get(w, 0) + 1
+        for e in found[t]:
+            n_c[e] = n_c.get(e, 0) + 1
+    tells = {}
+    for t in texts:
+        for e in found[t]:
+            for w in own[t]:
+                n_ct = sum(e in found[x] and w in own[x] for x in texts if found[x])
+                if n_ct / (n_t[w] + 0.5) >= ((n_c[e] + 0.5) / n) ** (1 - pii.DISCLOSURE):
+                    tells.setdefault(t, set()).add(w)
+    got = {r["doc_id"]: {r["text"][s["start"] : s["end"]].lower() for s in r["spans"] if s["kind"] == "term"} for r in pii.sanitise(spark.createDataFrame(docs, "doc_id long, text string")).where("text IS NOT NULL").collect()}
+    assert sum(map(len, got.values())) > 0
+    for i, t in docs:
+        if t:
+            assert got[i] <= tells.get(t, set()) and all(w in got[i] or any(w in e for e in found[t]) for w in tells.get(t, ()))
+
+
 def test_odd_rows(spark):
     t = pii.sanitise(odd(spark))
     assert set(t.columns) == {*odd(spark).columns, "base", "spans", "sanitised"} and t.count() == len(odd_rows())
