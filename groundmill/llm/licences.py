@@ -26,6 +26,7 @@ SEED = 5
 EXAMPLES = 140  # altered notices per family for training; other text gets eight times as many
 MIN_PROBABILITY, MIN_SHARED = 0.6, 0.6
 WINDOW, STRIDE = 80, 40  # words of a paragraph that are scored together
+GAP = 3  # words that a copy of a notice may put between two of its word pairs
 #: Short notices by family.
 TEMPLATES: dict[str, list[str]] = {
     "MIT": [
@@ -96,6 +97,13 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def _places(text: str) -> list[tuple[str, int, int]]:
+    """Words with start and end in the text, whose lower case can be longer than itself."""
+    lower = text.lower()
+    at = range(len(text) + 1) if len(lower) == len(text) else [i for i, c in enumerate(text) for _ in c.lower()] + [len(text)]
+    return [(m[0], at[m.start()], at[m.end() - 1] + 1) for m in _WORD.finditer(lower)]
+
+
 def ngrams(words: list[str]) -> Iterator[str]:
     """Runs of one to three words that hold a word outside the stop list."""
     for n in (1, 2, 3):
@@ -182,6 +190,22 @@ def shared_pairs(family: str, words: list[str]) -> float:
     return max((len(own & t) / min(len(own), len(t)) for t in _pairs()[family] if own and t and len(own & t) > 1), default=0.0)
 
 
+def stretch(family: str, words: list[str]) -> tuple[int, int]:
+    """The longest run of words that one template's word pairs cover, with gaps of at most GAP words; all words if there is none."""
+    best = (0, 0)
+    for pairs in _pairs()[family]:
+        start = end = None
+        seen: set[tuple[str, str]] = set()
+        for i, pair in enumerate(zip(words, words[1:], strict=False)):
+            if pair in pairs:
+                if end is None or i - end > GAP or pair in seen:  # a pair that comes again begins another notice
+                    start, seen = i, set()
+                seen.add(pair)
+                end = i + 2
+                best = max(best, (start, end), key=lambda r: r[1] - r[0])
+    return best if best[1] - best[0] > 2 else (0, len(words))
+
+
 class Scanner:
     def __init__(self, model: tuple) -> None:
         import ahocorasick
@@ -192,22 +216,54 @@ class Scanner:
             self.triggers.add_word(word, len(word))
         self.triggers.make_automaton()
 
+    def chances(self, words: list[str]) -> np.ndarray | None:
+        hits = vector(self.index, words)
+        return _softmax((self.w[hits].sum(0) + self.b) / self.heat) if hits else None
+
+    def families(self, words: list[str], at: int) -> Iterator[tuple[int, int, str, float, float]]:
+        """(first word, word after the last, family, probability, shared pairs) of all families in one window.
+
+        The stretch that a template of the surest family covers is set apart, and what stands on either side of it
+        is scored by itself, so that no family hides another.
+        """
+        p = self.chances(words)
+        if p is None or 1 - p[0] < MIN_PROBABILITY:
+            return
+        k = int(np.argmax(p[1:])) + 1
+        i, j = stretch(CLASSES[k], words)
+        own = p
+        if p[k] < MIN_PROBABILITY:  # families share the window's probability
+            own = self.chances(words[i:j])
+            k = 0 if own is None else int(np.argmax(own))
+        if k and own[k] >= MIN_PROBABILITY:
+            part = words if own is p else words[i:j]
+            yield at + i, at + j, CLASSES[k], float(own[k]), shared_pairs(CLASSES[k], part)
+        if j - i < len(words):
+            for x, y in ((0, i), (j, len(words))):
+                for found in self.families(words[x:y], at + x):
+                    if found[4] >= MIN_SHARED:
+                        yield found
+
+    def spans(self, words: list[str]) -> list[tuple[int, int, str, float, float, bool]]:
+        """(first word, word after the last, family, probability, shared pairs, confirmed); neighbours of one family are one span."""
+        found = [f for i in range(0, max(1, len(words) - WINDOW + STRIDE), STRIDE) for f in self.families(words[i : i + WINDOW], i)]
+        out: list[list] = []
+        last: dict[str, list] = {}
+        for i, j, family, p, shared in sorted(found):
+            open_ = last.get(family)
+            if open_ and i <= open_[1] + STRIDE:
+                open_[1], open_[3], open_[4] = max(open_[1], j), max(open_[3], p), max(open_[4], shared)
+            else:
+                last[family] = [i, j, family, p, shared]
+                out.append(last[family])
+        return [(*s, s[4] >= MIN_SHARED) for s in out]
+
     def paragraph(self, text: str) -> tuple[str, float, float, bool] | None:
-        """(family, probability, shared pairs, confirmed) of the window in which a family is surest; None if all are unknown."""
-        words, best = words_of(text), None
-        for i in range(0, max(1, len(words) - WINDOW + STRIDE), STRIDE):
-            part = words[i : i + WINDOW]
-            hits = vector(self.index, part)
-            if hits:
-                p = _softmax((self.w[hits].sum(0) + self.b) / self.heat)
-                k = int(np.argmax(p))
-                if k and p[k] >= MIN_PROBABILITY and (best is None or p[k] > best[1]):
-                    shared = shared_pairs(CLASSES[k], part)
-                    best = (CLASSES[k], float(p[k]), shared, shared >= MIN_SHARED)
-        return best
+        """(family, probability, shared pairs, confirmed) of the surest family, a confirmed one first; None if all are unknown."""
+        return max((s[2:] for s in self.spans(words_of(text))), key=lambda s: (s[3], s[1]), default=None)
 
     def scan(self, text: str | None) -> Iterator[tuple[int, int, int, str, float, float, bool]]:
-        """Paragraphs with a licence: number, start and end in code points, then what ``paragraph`` gives.
+        """Licences: paragraph, start and end of the span in code points, then family, probability, shared pairs, confirmed.
 
         Every n-gram that weighs anything holds a trigger word, so only paragraphs with one are scored.
         """
@@ -225,13 +281,13 @@ class Scanner:
             marked = sorted({bisect.bisect_right(starts, e) - 1 for e in whole})
         for k in marked:
             end = starts[k + 1] - 1 if k + 1 < len(starts) else len(text)
-            found = self.paragraph(text[starts[k] : end])
-            if found:
-                yield (k, starts[k], end, *found)
+            places = _places(text[starts[k] : end])
+            for i, j, *found in self.spans([w for w, _, _ in places]):
+                yield (k, starts[k] + places[i][1], starts[k] + places[j - 1][2], *found)
 
 
 def scan_licences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per paragraph of ``docs`` (a line) that a licence family was found in.
+    """One row per licence family and span of a paragraph of ``docs`` (a line).
 
     Columns: doc_id, paragraph, start, end, family, probability, shared, confirmed. Null and empty texts have none.
     Other columns are not read; rows that repeat an id each give their own.

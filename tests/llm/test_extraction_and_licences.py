@@ -139,5 +139,39 @@ def test_long_paragraphs_are_read_in_windows():
     assert scanner.paragraph(text)[0] == "Apache"
 
 
+def test_one_line_with_two_licences():
+    scanner, noise = licences.Scanner(licences.trained()), licences._noise(random.Random(3), 300)
+    mit, apache = licences.TEMPLATES["MIT"][2], "Licensed under the Apache License, Version 2.0."
+    for between in (f". {noise} ", ". ", " "):
+        for one, two in ((mit, apache), (apache, "Released under the MIT License.")):
+            text = f"İx {one}{between}{two}"
+            got = {f: text[s:e] for _, s, e, f, _, _, sure in scanner.scan(text) if sure}
+            assert set(got) == {"MIT", "Apache"}, (between, got)
+            assert "Apache License" in got["Apache"] and ("MIT" if two != apache else "free of charge") in got["MIT"]
+            assert "Apache" not in got["MIT"]
+
+
+def test_a_surer_unconfirmed_window_hides_nothing(monkeypatch):
+    scanner = licences.Scanner(licences.trained())
+    text = "Licensed under the Apache License, Version 2.0. " + licences._noise(random.Random(4), 200) + " zz Released under the MIT License."
+    real = licences.shared_pairs
+    monkeypatch.setattr(licences, "shared_pairs", lambda family, words: 0.0 if family == "Apache" else real(family, words))
+    monkeypatch.setattr(licences.Scanner, "chances", lambda self, w, f=licences.Scanner.chances: dimmed(f(self, w)))
+    found = {f: (p, sure) for _, _, _, f, p, _, sure in scanner.scan(text)}
+    assert found["Apache"][0] > found["MIT"][0] and not found["Apache"][1] and found["MIT"][1]
+
+
+def dimmed(p, k=licences.CLASSES.index("MIT")):
+    """Chances in which MIT, where it leads, has 0.9."""
+    return p if p is None or int(np.argmax(p)) != k else np.where(np.arange(len(p)) == k, 0.9, 0.1 / (len(p) - 1))
+
+
+def test_single_notices_give_one_row():
+    scanner = licences.Scanner(licences.trained())
+    for family, notices in licences.TEMPLATES.items():
+        for x in notices:
+            assert [r[3] for r in scanner.scan(x)] == [family], x
+
+
 def test_licences_of_odd_rows(spark):
     assert licences.scan_licences(odd(spark)).count() == 0 and licences.scan_licences(empty(spark)).count() == 0
