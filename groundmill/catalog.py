@@ -148,13 +148,13 @@ def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.withColumns({"confidence": F.when(lost, 0.0).otherwise(F.col("confidence")), "reasoning": F.when(lost, merge.PAD_REASON).otherwise(F.col("reasoning")), "verdict": F.coalesce("verdict", F.lit("NOT_SUPPORTED"))})
 
 
-def decided(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decisions of pairs whose quote is found by folding; the fuzzy leg has queries of its own."""
-    return judging.decide(judged(spark, sf_dir), CFG, fuzzy=False)
+def decided(spark: SparkSession, sf_dir: str, fuzzy: bool = False) -> DataFrame:
+    """Decisions of pairs; without ``fuzzy`` of those only whose quote is found by folding, as the statements have it."""
+    return judging.decide(judged(spark, sf_dir), CFG, fuzzy=fuzzy)
 
 
-def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judging.accepted_rows(decided(spark, sf_dir))
+def accepted(spark: SparkSession, sf_dir: str, fuzzy: bool = False) -> DataFrame:
+    return judging.accepted_rows(decided(spark, sf_dir, fuzzy))
 
 
 # --- sources ---------------------------------------------------------------------------------------------------
@@ -538,57 +538,57 @@ def snap_fuzzy(spark, sf_dir):
 
 
 @query(f"WITH {CANDIDATES}, {GROUNDED} SELECT doc_id, pair_idx, contains(fc, fp) AS verbatim FROM decided WHERE ok")
-def verbatim_gate(spark, sf_dir):
-    return decided(spark, sf_dir).where(judging.is_accepted(CFG)).select("doc_id", "pair_idx", F.col("source_verbatim").alias("verbatim"))
+def verbatim_gate(spark, sf_dir, fuzzy=False):
+    return decided(spark, sf_dir, fuzzy).where(judging.is_accepted(CFG)).select("doc_id", "pair_idx", F.col("source_verbatim").alias("verbatim"))
 
 
 @query(f"WITH {CANDIDATES}, {GROUNDED} SELECT id, doc_id, pair_idx, question, question_type, grounding_overlap, verifier_confidence FROM accepted")
-def accepted_rows(spark, sf_dir):
-    return accepted(spark, sf_dir).select("id", "doc_id", "pair_idx", "question", "question_type", "grounding_overlap", "verifier_confidence")
+def accepted_rows(spark, sf_dir, fuzzy=False):
+    return accepted(spark, sf_dir, fuzzy).select("id", "doc_id", "pair_idx", "question", "question_type", "grounding_overlap", "verifier_confidence")
 
 
 @query(f"WITH {CANDIDATES}, {GROUNDED} SELECT chunk_id, question, answer, question_type, verdict, passage_in_chunk, token_overlap, array_to_string(missing_numbers, ' ') AS missing_numbers, reason FROM rejected")
-def rejected_rows(spark, sf_dir):
-    return judging.rejected_rows(decided(spark, sf_dir)).withColumn("missing_numbers", F.array_join("missing_numbers", " "))
+def rejected_rows(spark, sf_dir, fuzzy=False):
+    return judging.rejected_rows(decided(spark, sf_dir, fuzzy)).withColumn("missing_numbers", F.array_join("missing_numbers", " "))
 
 
 @query(f"WITH {CANDIDATES}, {GROUNDED} SELECT accepted, verdict, count(*) AS n FROM decided GROUP BY accepted, verdict")
-def accept_reject_split(spark, sf_dir):
-    return decided(spark, sf_dir).groupBy("accepted", "verdict").agg(F.count("*").alias("n"))
+def accept_reject_split(spark, sf_dir, fuzzy=False):
+    return decided(spark, sf_dir, fuzzy).groupBy("accepted", "verdict").agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {CANDIDATES}, {GROUNDED} SELECT doc_id, pair_idx, question_key FROM kept")
-def dedupe_best(spark, sf_dir):
-    return judging.ranked_duplicates(accepted(spark, sf_dir), dataset.ORDER).where("keep_rank = 1").select("doc_id", "pair_idx", "question_key")
+def dedupe_best(spark, sf_dir, fuzzy=False):
+    return judging.ranked_duplicates(accepted(spark, sf_dir, fuzzy), dataset.ORDER).where("keep_rank = 1").select("doc_id", "pair_idx", "question_key")
 
 
 @query(f"WITH {CANDIDATES}, {GROUNDED}, r AS (SELECT *, row_number() OVER (PARTITION BY section_item, question_key ORDER BY verifier_confidence DESC, grounding_overlap DESC, doc_id, chunk_ord, pair_idx) AS k FROM accepted) SELECT doc_id, pair_idx FROM r WHERE k = 1")
-def dedupe_scoped(spark, sf_dir):
-    return judging.dedupe(accepted(spark, sf_dir), dataset.ORDER, ["section_item"]).select("doc_id", "pair_idx")
+def dedupe_scoped(spark, sf_dir, fuzzy=False):
+    return judging.dedupe(accepted(spark, sf_dir, fuzzy), dataset.ORDER, ["section_item"]).select("doc_id", "pair_idx")
 
 
 @query(f"""WITH {CANDIDATES}, {GROUNDED} SELECT id, question, answer, source_passage, question_type, difficulty, section_name AS section, 'Any Inc.' AS company, 'ANY' AS ticker, '2024' AS fiscal_year, NULL::VARCHAR AS accession, chunk_id, verdict,
   round(verifier_confidence, 3) AS verifier_confidence, round(grounding_overlap, 3) AS grounding_overlap, true AS source_verbatim FROM kept WHERE contains(chunk_text, source_passage) AND {sq_strip("source_passage")} = source_passage""")
-def dataset_row(spark, sf_dir):
-    """The rows that leave the pipeline, for quotes that stand in the chunk as they are."""
-    best = judging.dedupe(accepted(spark, sf_dir), dataset.ORDER)
-    plain = best.where(F.contains("chunk_text", F.col("source_passage")) & (T.strip(F.col("source_passage")) == F.col("source_passage")))
+def dataset_row(spark, sf_dir, fuzzy=False):
+    """The rows that leave the pipeline; without ``fuzzy`` for quotes only that stand in the chunk as they are, as the statement has it."""
+    best = judging.dedupe(accepted(spark, sf_dir, fuzzy), dataset.ORDER)
+    plain = best if fuzzy else best.where(F.contains("chunk_text", F.col("source_passage")) & (T.strip(F.col("source_passage")) == F.col("source_passage")))
     return judging.dataset_rows(dataset.with_meta(plain, {"company": "Any Inc.", "ticker": "ANY", "fiscal_year": "2024"}))
 
 
 # --- statistics ------------------------------------------------------------------------------------------------
 for _name, _column in (("stats_by_type", "question_type"), ("stats_by_difficulty", "difficulty"), ("stats_by_section", "section_name")):
 
-    def _count(spark, sf_dir, column=_column):
-        return judging.dedupe(accepted(spark, sf_dir), dataset.ORDER).groupBy(column).agg(F.count("*").alias("n"))
+    def _count(spark, sf_dir, fuzzy=False, column=_column):
+        return judging.dedupe(accepted(spark, sf_dir, fuzzy), dataset.ORDER).groupBy(column).agg(F.count("*").alias("n"))
 
     _count.__name__ = _name
     query(f"WITH {CANDIDATES}, {GROUNDED} SELECT {_column}, count(*) AS n FROM kept GROUP BY 1")(_count)
 
 
 @query(f"WITH {CANDIDATES}, {GROUNDED} SELECT question_type, difficulty, section_name, count(*) AS n FROM kept GROUP BY GROUPING SETS ((question_type), (difficulty), (section_name))")
-def stats_grouping_sets(spark, sf_dir):
-    best = judging.dedupe(accepted(spark, sf_dir), dataset.ORDER)
+def stats_grouping_sets(spark, sf_dir, fuzzy=False):
+    best = judging.dedupe(accepted(spark, sf_dir, fuzzy), dataset.ORDER)
     return best.groupingSets([["question_type"], ["difficulty"], ["section_name"]], "question_type", "difficulty", "section_name").agg(F.count("*").alias("n"))
 
 
@@ -596,20 +596,20 @@ _RATES = "SELECT (SELECT count(*) FROM kept) AS n_accepted, (SELECT count(*) FRO
 
 
 @query(f"WITH {CANDIDATES}, {GROUNDED} {_RATES}")
-def acceptance_rate(spark, sf_dir):
-    d = decided(spark, sf_dir)
+def acceptance_rate(spark, sf_dir, fuzzy=False):
+    d = decided(spark, sf_dir, fuzzy)
     s = judging.stats(judging.dedupe(judging.accepted_rows(d), dataset.ORDER), judging.rejected_rows(d))
     return s.select("n_accepted", "n_rejected", "acceptance_rate", "mean_verifier_confidence", "pct_exact_passage_match")
 
 
 @query(f"WITH {CANDIDATES}, {GROUNDED} SELECT round(coalesce(avg(verifier_confidence), 0), 3) AS mean_verifier_confidence FROM kept")
-def mean_confidence(spark, sf_dir):
-    return judging.dedupe(accepted(spark, sf_dir), dataset.ORDER).agg(F.round(F.coalesce(F.avg("verifier_confidence"), F.lit(0.0)), 3).alias("mean_verifier_confidence"))
+def mean_confidence(spark, sf_dir, fuzzy=False):
+    return judging.dedupe(accepted(spark, sf_dir, fuzzy), dataset.ORDER).agg(F.round(F.coalesce(F.avg("verifier_confidence"), F.lit(0.0)), 3).alias("mean_verifier_confidence"))
 
 
 @query(f"WITH {CANDIDATES}, {GROUNDED} SELECT round(100 * coalesce(avg(contains(fc, fp)::INT), 0), 1)::DOUBLE AS pct_exact_passage_match FROM kept")
-def pct_exact(spark, sf_dir):
-    return judging.dedupe(accepted(spark, sf_dir), dataset.ORDER).agg(F.round(100 * F.coalesce(F.avg(F.col("source_verbatim").cast("int")), F.lit(0.0)), 1).alias("pct_exact_passage_match"))
+def pct_exact(spark, sf_dir, fuzzy=False):
+    return judging.dedupe(accepted(spark, sf_dir, fuzzy), dataset.ORDER).agg(F.round(100 * F.coalesce(F.avg(F.col("source_verbatim").cast("int")), F.lit(0.0)), 1).alias("pct_exact_passage_match"))
 
 
 def _map_of(column: str) -> str:
@@ -617,17 +617,27 @@ def _map_of(column: str) -> str:
 
 
 @query(f"WITH {CANDIDATES}, {GROUNDED} SELECT {_map_of('question_type')} AS by_question_type, {_map_of('difficulty')} AS by_difficulty, {_map_of('section_name')} AS by_section")
-def stats_record(spark, sf_dir):
-    d = decided(spark, sf_dir)
+def stats_record(spark, sf_dir, fuzzy=False):
+    d = decided(spark, sf_dir, fuzzy)
     s = judging.stats(judging.dedupe(judging.accepted_rows(d), dataset.ORDER), judging.rejected_rows(d))
     text = lambda c: F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
     return s.select(*[text(c).alias(c) for c in ("by_question_type", "by_difficulty", "by_section")])
 
 
 @query(f"WITH {CANDIDATES}, {GROUNDED} SELECT doc_id, pair_idx, sum(accepted::INT) OVER (PARTITION BY section_item ORDER BY doc_id, chunk_ord, pair_idx ROWS UNBOUNDED PRECEDING)::BIGINT AS running FROM decided")
-def running_accepted(spark, sf_dir):
+def running_accepted(spark, sf_dir, fuzzy=False):
     w = Window.partitionBy("section_item").orderBy(*dataset.ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    return decided(spark, sf_dir).select("doc_id", "pair_idx", F.sum(F.col("accepted").cast("long")).over(w).alias("running"))
+    return decided(spark, sf_dir, fuzzy).select("doc_id", "pair_idx", F.sum(F.col("accepted").cast("long")).over(w).alias("running"))
+
+
+# The same with all quotes aligned and none filtered; SQL cannot express that, so these have no statement.
+for _name in ("verbatim_gate", "accepted_rows", "rejected_rows", "accept_reject_split", "dedupe_best", "dedupe_scoped", "dataset_row", "stats_by_type", "stats_by_difficulty", "stats_by_section", "stats_grouping_sets", "acceptance_rate", "mean_confidence", "pct_exact", "stats_record", "running_accepted"):
+
+    def _aligned(spark, sf_dir, whole=QUERIES[_name]):
+        return whole(spark, sf_dir, fuzzy=True)
+
+    _aligned.__name__ = f"{_name}_aligned"
+    query()(_aligned)
 
 
 # --- merge -----------------------------------------------------------------------------------------------------

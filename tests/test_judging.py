@@ -189,3 +189,27 @@ def test_replay_end_to_end(spark):
     run = dataset.run_replay(dataset.with_meta(chunk, {"company": "L"}), captured, CFG)
     assert (run.accepted.count(), run.rejected.count()) == (1, 1)
     assert judging.dataset_rows(run.accepted).columns == judging.DATASET_COLUMNS
+
+
+def test_whole_dataset_keeps_quotes_in_upper_case(spark, tmp_path):
+    lines = {0: "The first of the lamps were sold in spring.", 1: "The other lamps were sold in autumn and stored."}
+    turns = [(c, t, r, x) for c, line in lines.items() for t, r, x in ((0, "user", f"Which lamps were sold {c}?"), (1, "assistant", line))]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.createDataFrame([(c, 0, 1) for c in lines], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    from groundmill import catalog
+
+    run = lambda name: catalog.QUERIES[name](spark, str(tmp_path)).collect()
+    got = {r["chunk_id"]: r for r in run("dataset_row_aligned")}
+    assert {c: (r["source_passage"].lower(), r["source_verbatim"]) for c, r in got.items()} == {f"c{c}": (line.lower(), True) for c, line in lines.items()}
+    assert [r["chunk_id"] for r in run("dataset_row")] == ["c0"]
+    assert len(run("accepted_rows_aligned")) == 2 and run("rejected_rows_aligned") == []
+
+
+def test_pairs_that_only_alignment_places_are_accepted(spark, monkeypatch, tmp_path):
+    from groundmill import catalog
+
+    rows = judged(spark, [row(0, "What are lamps?", "We sold lamps 500 | 400"), row(1, "Where?", "Nothing of the kind here")])
+    monkeypatch.setattr(catalog, "judged", lambda spark, sf_dir: rows)
+    assert [r["source_passage"] for r in catalog.accepted(spark, "", True).collect()] == ["We sold lamps | 500 | 400"]
+    split = lambda name: {(r["accepted"], r["n"]) for r in catalog.QUERIES[name](spark, "").collect()}
+    assert split("accept_reject_split_aligned") == {(True, 1), (False, 1)} and split("accept_reject_split") == {(False, 2)}
