@@ -11,7 +11,8 @@ BLOCK = frozenset(
     "address article aside blockquote body button canvas caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe label legend li main menu nav"
     " ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split()
 )
-HIDDEN = frozenset("script style noscript template svg math textarea object".split())
+HIDDEN = frozenset("script style noscript template annotation annotation-xml".split())
+FOREIGN = frozenset(["svg", "math"])
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A start tag closes an open element of these names first, if none of the bounds stands between.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
@@ -19,6 +20,7 @@ ENDS_P = BLOCK - {"button", "label", "option", "optgroup", "body", "html", "head
 
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*'|[\"'])*+)>", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_EDGE = {t: re.compile(rf"<(/?){t}(?=[\s/>])(?:[^>\"']++|\"[^\"]*\"|'[^']*'|[\"'])*+>", re.I) for t in HIDDEN | {"textarea"}}
 _NAME = re.compile(r"[A-Za-z]+|\d+")
 
 
@@ -42,11 +44,26 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+def _end(page: str, tag: str, at: int) -> tuple[int, int]:
+    """Start and end of the end tag that closes an element opened before ``at``; the page's end if there is none. Templates nest."""
+    depth = 1
+    for m in _EDGE[tag].finditer(page, at):
+        if m[1]:
+            depth -= 1
+        elif tag == "template":
+            depth += 1
+        if not depth:
+            return m.start(), m.end()
+    return len(page), len(page)
+
+
 def split_blocks(page: str | None) -> list[Block]:
     """Blocks in page order; character references are decoded and white space inside a block is one space.
 
     Elements of the block kind begin and end a block, inline ones do not, and a line break is white space.
-    Scripts, styles and comments are no text. End tags without a start are ignored, missing ones are implied as
+    Comments and what browsers never render (scripts, styles, noscript, templates, annotations of formulas) are no
+    text, up to the page's end if the end tag is missing, as in browsers. Formulas, drawings and the fallback of objects
+    are inline; a text area is a block. End tags without a start are ignored, missing ones are implied as
     browsers do for paragraphs, list items and table cells. Null and empty pages have none.
     """
     if not page:
@@ -93,11 +110,18 @@ def split_blocks(page: str | None) -> list[Block]:
                     pop(k)
                     break
             continue
+        if m[3].rstrip().endswith("/") and (tag in FOREIGN or any(n in FOREIGN for n, _ in stack)):
+            continue
         if tag in HIDDEN:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            if m[3].rstrip().endswith("/") and tag in ("svg", "math"):
-                continue
-            at = end.end() if end else len(page)
+            at = _end(page, tag, at)[1]
+            continue
+        if tag == "textarea":
+            flush()
+            start, (stop, at) = at, _end(page, tag, at)
+            stack.append((tag, _names(tag, m[3])))
+            parts.append(html.unescape(page[start:stop]))
+            flush()
+            stack.pop()
             continue
         if tag in EMPTY:
             if tag == "hr":

@@ -27,6 +27,23 @@ def test_blocks():
     assert b.path == ("div", ".side", ".bar", ".x", ".2", ".top", "nav", ".menu", "role=menu") and b.linked == 5
 
 
+def test_formulas_objects_and_text_areas_are_text():
+    assert texts("<p>where <math><mi>x</mi><mspace/><annotation encoding=tex>\\x</annotation></math> is the rate</p>") == ["where x is the rate"]
+    assert texts("<p>see <object data=a><param name=b>the plan</object> here<p>then") == ["see the plan here", "then"]
+    assert texts("<p>a <svg><path d=z/><style>p{}</style><text>mark</text></svg> b") == ["a mark b"] and texts("<p>a<svg/>b<math>c") == ["abc"]
+    blocks = split_blocks("<form>x<textarea class=note>a &lt;b> <p>c</p></textarea>y</form><p>z")
+    assert [b.text for b in blocks] == ["x", "a <b> <p>c</p>", "y", "z"] and blocks[1].path == ("form", "textarea", ".note")
+
+
+def test_hidden_elements_end_where_browsers_end_them():
+    assert texts("<script>a</script x>b<style>c</style\n>d") == ["bd"] and texts("<script>a</scripts>b</script>c") == ["c"]
+    assert texts("a<template>b<template>c</template>d</template>e<noscript>f</noscript>g") == ["aeg"]
+    assert texts("a<math>b<p>c") == ["ab", "c"] and texts("a<object>b<p>c") == ["ab", "c"] and texts("a<svg>b") == ["ab"]
+    for tag in ("script", "style", "template", "noscript"):
+        assert texts(f"a<{tag}>b<p>c") == ["a"]
+    assert texts("a<textarea>b") == ["a", "b"]
+
+
 def article_of(page):
     inside = re.search(r"<article>(.*?)(</article>|$)", page, re.S)[1]
     parts = (" ".join(html.unescape(re.sub(r"<br>|</?b>", " ", x)).split()) for x in re.split(r"</?(?:p|h1|footer|body|html)[^>]*>", inside))
