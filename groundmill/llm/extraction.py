@@ -23,8 +23,7 @@ from pyspark.sql import functions as F
 from .blocks import Block, split_blocks
 from .shared import map_column
 
-PATH, WORDS, MEASURES, HIDDEN = 256, 32, 6, 24
-FIRST = 12  # words of a block that are looked at one by one
+PATH, WORDS, MEASURES, HIDDEN = 256, 128, 6, 24
 INPUT = PATH + WORDS + MEASURES
 #: Pages that the labeller is trained on, passes over them, pages of a step, seed.
 PAGES, PASSES, STEP, SEED = 800, 7, 25, 11
@@ -39,17 +38,15 @@ def _slot(name: str, size: int) -> int:
 
 
 def features(blocks: list[Block]) -> np.ndarray:
-    """One row per block: which path names are present, shares of hashed words, length, links, marks, place."""
+    """One row per block: which path names are present, counts of all hashed words over the root of their number, length, links, marks, place."""
     x = np.zeros((len(blocks), INPUT), np.float32)
     at, put, share, measures = [], [], [], []
     for i, b in enumerate(blocks):
         for n in b.path:
             put.append(i * INPUT + _slot(n, PATH))
-        # hashed words of long blocks even out, so the first ones and the measures say it all
-        words = b.text[: 24 * FIRST].lower().split()[:FIRST]
-        for w in words:
-            at.append(i * INPUT + PATH + _slot(w, WORDS))
-            share.append(1 / len(words))
+        words = b.text.lower().split()
+        at += [i * INPUT + PATH + _slot(w, WORDS) for w in words]
+        share += [1 / math.sqrt(len(words))] * len(words)
         n = len(b.text)
         measures.append((math.log1p(n) / 8, b.linked / n, min(1.0, 20 * (b.text.count(".") + b.text.count(",")) / n), i / len(blocks), float(b.text[-1] in ".!?"), math.log1p(b.text.count(" ")) / 6))
     x.reshape(-1)[put] = 1

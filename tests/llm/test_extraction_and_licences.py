@@ -68,6 +68,14 @@ def test_labels_of_new_layouts():
     assert wrong <= 0.03 * total
 
 
+def test_all_words_of_a_block_are_read():
+    """Blocks that differ from word 13 on only, with the same lengths, have different vectors."""
+    start = "these are the first dozen words that both of the blocks share "
+    one, two = (extraction.features([extraction.Block(("div",), start + tail * 40, 0)])[0] for tail in ("cookie ", "harbor "))
+    assert (one[: extraction.PATH] == two[: extraction.PATH]).all() and (one != two).any()
+    assert extraction.WORDS > 32
+
+
 @pytest.mark.parametrize("junk", [
     '<div class="cookie-notice"><p>We use cookies. Accept.</p></div>', '<aside><h3>Related</h3><ul><li><a href=/a>Some link</a></li></ul></aside>', '<form><label>Name</label><button>Send</button></form>',
     '<section id="comments"><h2>Comments</h2><div class="comment"><p>Great text, thank you.</p></div></section>', "<header><a href=/>The Site</a></header>",
