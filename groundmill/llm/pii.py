@@ -1,18 +1,17 @@
 """Information-theoretic sanitisation of personal data, with DataFrame functions only.
 
-Patterns find the protected entities: mail addresses, IPv4 addresses, card numbers, phone numbers. Corpus
-co-occurrence then tells which other terms of a document give an entity away. With document counts over the
+Protected entities are found by patterns: mail addresses, IPv4 addresses, card numbers, phone numbers (the base
+kinds), and secrets, which are long runs of letters and digits with many different characters. Corpus
+co-occurrence then tells which other terms of a text give an entity away. With counts of different texts over the
 whole corpus, a term t tells about entity c the pointwise mutual information
 
     PMI(c; t) = ln(n_ct * N / (n_c * n_t)),    at most IC(c) = ln(N / n_c).
 
 Where PMI reaches ``disclosure`` of IC, whoever sees t knows most of what c itself would tell, so t is
-generalised to its first letters if that class of terms stays below the threshold, else removed. Copies of one
-text are one observation. ``SMOOTHING`` is added to n_c and n_t, so that a word of few texts needs a larger corpus
-to count as evidence; entities of any number of texts take part.
-
-The statement of ``op8_pii`` counts documents instead and asks for ``SUPPORT`` different texts behind a pair; that
-query keeps to it by ``supported_terms``.
+generalised to its first letters if that class of terms stays below the threshold, else removed. ``SMOOTHING`` is
+added to n_c and n_t, so that little evidence needs a larger corpus to count: an entity of one text has terms from
+87 different texts on. Copies of a text are one observation. Terms are all words, short ones and ones with digits
+too; a word that many texts have tells little about any of them, so that no list of common words is needed.
 """
 
 from __future__ import annotations
@@ -29,12 +28,13 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
-RANK = {k: i for i, k in enumerate([*KINDS, "term"])}
-LONG = r"\p{L}{4,}"
-#: Long words, and short ones that begin with a capital or are of a script without case.
-WORD = LONG + r"|(?<!\p{L})(?:\p{Lu}\p{L}{1,2}|\p{Lo}{1,3})(?!\p{L})"
+#: A secret: a whole run of letters and digits, two of each at least, with ten different characters at least, so that
+#: it can carry 66 bits.
+SECRET = "[A-Za-z0-9]{20,}"
+SECRET_SIGNS = 10
+RANK = {k: i for i, k in enumerate([*KINDS, "secret", "term"])}
+WORD = r"[\p{L}\p{M}\p{N}]+"
 STEM = 3
-SUPPORT = 3
 SMOOTHING = 0.5
 DISCLOSURE = 0.9
 SPAN = "array<struct<start: int, rank: int, kind: string, end: int, value: string>>"
@@ -65,6 +65,9 @@ def _valid(kind: str, value: Column) -> Column:
         return F.length(digits).between(12, 19) & _luhn(digits)
     if kind == "phone":
         return F.length(digits).between(9, 15)
+    if kind == "secret":
+        n = F.length(digits)
+        return (n >= 2) & (F.length(value) - n >= 2) & (F.size(F.array_distinct(F.split(value, ""))) >= SECRET_SIGNS)
     return F.lit(True)
 
 
@@ -82,148 +85,121 @@ def _located(kind: str, gaps: Column, values: Column, keep) -> Column:
     return F.when(F.size(values) == 0, empty).otherwise(F.aggregate(F.zip_with(gaps, values, lambda g, v: F.struct(g.alias("g"), v.alias("v"))), start, step, lambda acc: acc["out"]))
 
 
-def find_entities(docs: DataFrame, text: str, spans: str = "base") -> DataFrame:
-    """Add ``spans``: the entities in ``text`` with code point offsets, by start, then kind. A null text has none."""
-    filled = F.coalesce(F.col(text), F.lit(""))
+def _spans(text: Column, kinds: dict[str, str]) -> Column:
+    """Valid matches of all kinds in ``text``, which is not null, by start, then kind."""
     none = F.expr("cast(array() as array<string>)")
-    needs = {"email": F.contains(filled, F.lit("@")), "ip": filled.rlike("[0-9]"), "card": filled.rlike("[0-9]"), "phone": F.contains(filled, F.lit("+"))}
-    out = docs.withColumns({f"_m_{k}": F.when(needs[k], F.regexp_extract_all(filled, F.lit(p), F.lit(0))).otherwise(none) for k, p in KINDS.items()})
-    # a text of one more gap than matches; zip_with pads the last match with null, which is dropped
-    out = out.withColumns({f"_g_{k}": F.when(F.size(f"_m_{k}") > 0, F.slice(F.split(filled, p, -1), 1, F.size(f"_m_{k}"))).otherwise(none) for k, p in KINDS.items()})
-    found = F.flatten(F.array(*[_located(k, F.col(f"_g_{k}"), F.col(f"_m_{k}"), lambda v, k=k: _valid(k, v)) for k in KINDS]))
-    return out.withColumn(spans, F.array_sort(found)).drop(*[f"_{x}_{k}" for k in KINDS for x in "mg"])
+    needs = {"email": F.contains(text, F.lit("@")), "phone": F.contains(text, F.lit("+"))}
+    parts = []
+    for kind, pattern in kinds.items():
+        matches = F.when(needs.get(kind, text.rlike("[0-9]")), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none)
+        # a text has one more gap than matches; the last one is cut off
+        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
+        parts.append(F.when(F.size(matches) > 0, _located(kind, gaps, matches, lambda v, k=kind: _valid(k, v))).otherwise(F.expr(f"cast(array() as {SPAN})")))
+    return F.array_sort(F.flatten(F.array(*parts)))
 
 
-def _long_terms(text: Column) -> Column:
-    """Distinct lower-case long words outside mail addresses."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(F.regexp_replace(text, EMAIL, " ")), F.lit(LONG), F.lit(0)))
+def find_entities(docs: DataFrame, text: str, spans: str = "base") -> DataFrame:
+    """Add ``spans``: the entities of the base kinds in ``text`` with code point offsets, by start, then kind. A null text has none. A column of that name is replaced."""
+    return docs.withColumn(spans, _spans(F.coalesce(F.col(text), F.lit("")), KINDS))
 
 
-def _terms(text: Column) -> Column:
-    """Distinct words outside mail addresses, in lower case."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(F.regexp_replace(text, EMAIL, " "), F.lit(WORD), F.lit(0)), F.lower))
+def _overlap(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
-def _with_classes(words: Column) -> Column:
-    """Words, and the classes of words that share their first letters."""
-    return F.concat(words, F.array_distinct(F.transform(words, lambda w: F.concat(F.substring(w, 1, STEM), F.lit("*")))))
+def _words(text: Column) -> Column:
+    """Distinct words outside mail addresses, in lower case."""
+    plain = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, EMAIL, " ")).otherwise(text)
+    return F.array_distinct(F.regexp_extract_all(F.lower(plain), F.lit(WORD), F.lit(0)))
 
 
-def disclosing_terms(found: DataFrame, key: str, text: str, spans: str, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(doc_id, terms: map of term to what stands for it) for documents in which terms give an entity away.
+def disclosing_terms(texts: DataFrame, holders: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
+    """(copy, terms) for texts in which words give an entity away; ``terms`` maps the hash of a word to whether its class is safe.
 
-    Counts run over the different texts of all documents with an id; a text counts once for a term.
+    ``texts`` (copy, text) are all texts of the corpus, once each; ``holders`` (copy, text, entities) those with
+    entities. The class of a word is all words with its first letters, and its counts are the sums of theirs.
     """
-    rows = found.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(spans).alias("spans"))
-    rows = rows.withColumn("copy", F.xxhash64("text"))
-    copies = cut(rows.groupBy("copy").agg(F.count("*").alias("rows")), "copies")
-    size = copies.agg(F.count("*").cast("double").alias("n"))
-    holders = rows.where(F.size("spans") > 0)
-    entities = holders.select("copy", F.explode(F.transform("spans", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"])))).alias("entity"))
-    entities = cut(entities.distinct(), "entities")
+    hashed = [F.xxhash64("word").alias("term"), F.xxhash64(F.substring("word", 1, STEM)).alias("class")]
+    corpus = texts.select(F.explode(_words(F.col("text"))).alias("word")).select(*hashed).groupBy("term", "class").agg(F.count("*").alias("n_t"))
+    corpus = cut(corpus, "words")
+    size = texts.agg(F.count("*").cast("double").alias("n"))
+    entities = cut(holders.select("copy", F.explode("entities").alias("entity")).select("copy", F.xxhash64("entity").alias("entity")), "entities")
     known = entities.groupBy("entity").agg(F.count("*").alias("n_c"))
     # entities of one text have the same counts with all its words, so that the text stands for them
-    held = entities.join(known, "entity").select("copy", "n_c", F.when(F.col("n_c") == 1, F.concat(F.lit("text:"), F.col("copy"))).otherwise(F.col("entity")).alias("entity")).distinct()
-    words = holders.select("copy", _terms(F.col("text")).alias("words")).groupBy("copy").agg(F.first("words").alias("words"))
-    told = cut(held.join(words, "copy"), "holders")
-    pairs = told.select("entity", "n_c", F.explode(_with_classes(F.col("words"))).alias("term")).groupBy("entity", "n_c", "term").agg(F.count("*").alias("n_ct"))
-    share = rows.select("copy", "text").join(copies.where("rows > 1"), "copy", "left").select(F.explode(_with_classes(_terms(F.col("text")))).alias("term"), (1 / F.coalesce("rows", F.lit(1))).alias("share"))
-    corpus = share.groupBy("term").agg(F.round(F.sum("share")).alias("n_t"))
-    n_c, n_t = F.col("n_c") + SMOOTHING, F.col("n_t") + SMOOTHING
+    held = entities.join(known, "entity").select("copy", "n_c", F.when(F.col("n_c") == 1, F.col("copy")).otherwise(F.col("entity")).alias("entity")).distinct()
+    told = held.join(holders.select("copy", _words(F.col("text")).alias("words")), "copy").select("copy", "entity", "n_c", F.explode("words").alias("word"))
+    told = cut(told.select("copy", "entity", "n_c", *hashed), "told")
+    pairs = told.groupBy("entity", "n_c", "term", "class").agg(F.count("*").alias("n_ct"))
+    size = F.broadcast(size)  # one row
+    n_c = F.col("n_c") + SMOOTHING
     ic = F.log(F.col("n") / n_c)
-    pmi = F.log(F.col("n_ct") * F.col("n") / (n_c * n_t))
-    scored = cut(pairs.join(corpus, "term").join(F.broadcast(size)).select("entity", "term", ((ic > 0) & (pmi >= disclosure * ic)).alias("tells")), "scored")
-    words = scored.where("tells AND NOT endswith(term, '*')").select("entity", "term", F.concat(F.substring("term", 1, STEM), F.lit("*")).alias("class"))
-    classes = scored.where("NOT tells AND endswith(term, '*')").select("entity", F.col("term").alias("class"), F.lit(True).alias("safe"))
-    hides = F.col("safe") & (F.length("term") > STEM)
-    risky = cut(words.join(classes, ["entity", "class"], "left").select("entity", "term", F.when(hides, F.col("class")).otherwise("[TERM]").alias("label")), "risky")
-    by_text = told.select("entity", "copy", F.explode("words").alias("term")).join(risky, ["entity", "term"]).groupBy("copy", "term").agg(F.max("label").alias("label"))
-    by_text = cut(by_text.groupBy("copy").agg(F.collect_list(F.struct("term", "label")).alias("terms")), "texts")
-    return (
-        holders.select("doc_id", "copy").join(by_text, "copy").select("doc_id", F.explode("terms").alias("t"))
-        .groupBy("doc_id", F.col("t.term").alias("term"))
-        .agg(F.max("t.label").alias("label"))
-        .groupBy("doc_id")
-        .agg(F.map_from_entries(F.collect_list(F.struct("term", "label"))).alias("terms"))
-    )
-
-
-def supported_terms(found: DataFrame, key: str, text: str, spans: str, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """What ``disclosing_terms`` gives, by the counts of ``OP8_SQL``: documents, and only pairs with ``support`` texts."""
-    rows = found.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(spans).alias("spans"))
-    holders = rows.where(F.size("spans") > 0).select("doc_id", "text", F.explode(F.array_distinct(F.transform("spans", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))).alias("entity"))
-    holders = holders.withColumn("copy", F.xxhash64("text"))
-    known = holders.groupBy("entity").agg(F.countDistinct("doc_id").alias("n_c"), F.countDistinct("copy").alias("texts")).where(F.col("texts") >= support)
-    known = cut(known.select("entity", "n_c"), "entities")
-    told = cut(holders.join(known, "entity").select("entity", "n_c", "doc_id", "copy", _long_terms(F.col("text")).alias("words")), "holders")
-    pairs = told.select("entity", "n_c", "doc_id", "copy", F.explode(_with_classes(F.col("words"))).alias("term"))
-    pairs = pairs.groupBy("entity", "n_c", "term").agg(F.countDistinct("doc_id").alias("n_ct"), F.countDistinct("copy").alias("texts")).where(F.col("texts") >= support)
-    pairs = cut(pairs.select("entity", "n_c", "term", "n_ct"), "pairs")
-    corpus = rows.select("doc_id", F.explode(_with_classes(_long_terms(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    size = rows.agg(F.count("*").cast("double").alias("n"))
-    ic = F.log(F.col("n") / F.col("n_c"))
-    pmi = F.log(F.col("n_ct") * F.col("n") / (F.col("n_c") * F.col("n_t")))
-    scored = cut(pairs.join(corpus, "term").join(F.broadcast(size)).select("entity", "term", ((ic > 0) & (pmi >= disclosure * ic)).alias("tells")), "scored")
-    words = scored.where("tells AND NOT endswith(term, '*')").select("entity", "term", F.concat(F.substring("term", 1, STEM), F.lit("*")).alias("class"))
-    classes = scored.where("NOT tells AND endswith(term, '*')").select("entity", F.col("term").alias("class"), F.lit(True).alias("safe"))
-    risky = cut(words.join(classes, ["entity", "class"], "left").select("entity", "term", F.when(F.col("safe"), F.col("class")).otherwise("[TERM]").alias("label")), "risky")
-    return (
-        told.select("entity", "doc_id", F.explode("words").alias("term"))
-        .join(risky, ["entity", "term"])
-        .groupBy("doc_id", "term")
-        .agg(F.max("label").alias("label"))
-        .groupBy("doc_id")
-        .agg(F.map_from_entries(F.collect_list(F.struct("term", "label"))).alias("terms"))
-    )
-
-
-def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, find_terms=disclosing_terms) -> DataFrame:
+    tells = lambda both, own: (ic > 0) & (F.log(F.col(both) * F.col("n") / (n_c * (F.col(own) + SMOOTHING))) >= disclosure * ic)
+    risky = cut(pairs.join(corpus.select("term", "n_t"), "term").join(size).where(tells("n_ct", "n_t")).select("entity", "n_c", "term", "class"), "risky")
+    # only classes of terms that tell are looked at
+    asked = risky.select("entity", "class").distinct()
+    classes = pairs.join(asked, ["entity", "class"], "left_semi").groupBy("entity", "n_c", "class").agg(F.sum("n_ct").alias("n_ck"))
+    classes = classes.join(corpus.groupBy("class").agg(F.sum("n_t").alias("n_k")), "class").join(size).select("entity", "class", (~tells("n_ck", "n_k")).alias("safe"))
+    labelled = risky.join(classes, ["entity", "class"]).select("entity", "term", "safe")
+    by_text = told.select("copy", "entity", "term").join(labelled, ["entity", "term"]).groupBy("copy", "term").agg(F.min("safe").alias("safe"))
+    return cut(by_text.groupBy("copy").agg(F.map_from_entries(F.collect_list(F.struct("term", "safe"))).alias("terms")), "terms")
+
+
+def sanitise(docs: DataFrame, text: str = "text", disclosure: float = DISCLOSURE) -> DataFrame:
     """``docs`` with ``base``, ``spans`` and ``sanitised``.
 
-    ``base`` are the entities, ``spans`` those and the disclosing terms (kind "term"; none inside an entity), and
-    ``sanitised`` the text with each span replaced by its kind in brackets or by what generalises the term.
-    Spans that overlap leave one label. A null text has no spans and stays null. Rows with a null id lose
-    their entities but take no part in the counts; rows that repeat an id share their terms. Columns of the
-    same names are replaced.
+    ``base`` are the entities of the base kinds; ``spans`` those, secrets, and the disclosing terms, the latter two
+    only where they overlap no entity; ``sanitised`` is the text with each span replaced by its kind in brackets or
+    by what generalises the term. Spans that overlap leave one label. A null text has no spans and stays null;
+    it counts as an empty one. Rows of equal texts have equal spans; ids are not read.
+    Columns of the three names are replaced.
     """
-    clean = docs.drop("base", "spans", "sanitised", "_terms", "_id")
-    found = find_entities(clean, text)
-    told = cut(find_terms(found, key, text, "base", disclosure), "terms")
-    joined = found.join(told.select(F.col("doc_id").alias("_id"), F.col("terms").alias("_terms")), F.col(key).cast("long") == F.col("_id"), "left").drop("_id")
-    filled = F.coalesce(F.col(text), F.lit(""))
-    none = F.expr("cast(array() as array<string>)")
-    has = F.col("_terms").isNotNull()
-    joined = joined.withColumn("_words", F.when(has, F.regexp_extract_all(filled, F.lit(WORD), F.lit(0))).otherwise(none))
-    joined = joined.withColumn("_gaps", F.when(has & (F.size("_words") > 0), F.slice(F.split(filled, WORD, -1), 1, F.size("_words"))).otherwise(none))
-    terms = _located("term", F.col("_gaps"), F.col("_words"), lambda v: F.map_contains_key("_terms", F.lower(v)))
-    outside = F.filter(terms, lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    joined = joined.withColumn("spans", F.when(has, F.array_sort(F.concat("base", outside))).otherwise(F.col("base")))
-    label = lambda s: F.when(s["kind"] == "term", F.element_at("_terms", F.lower(s["value"]))).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+    clean = docs.drop("base", "spans", "sanitised")
+    # a caller's columns travel as one, so that no name of this function can clash with theirs
+    rows = clean.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(text).isNull().alias("lost"))
+    rows = rows.withColumn("copy", F.xxhash64("text"))
+    found = rows.withColumn("base", _spans(F.col("text"), KINDS)).withColumn("secrets", _spans(F.col("text"), {"secret": SECRET}))
+    found = found.withColumn("entities", F.array_sort(F.concat("base", F.filter("secrets", lambda s: ~F.exists("base", lambda b: _overlap(b, s)))))).drop("secrets")
+    holders = cut(found.where(F.size("entities") > 0), "holders")
+    # texts are parted by their hash and thinned before that, so that a text of very many copies meets as few rows
+    texts = rows.groupBy("copy").agg(F.first("text").alias("text"))
+    named = F.array_distinct(F.transform("entities", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
+    once = holders.select("copy", "text", named.alias("entities")).groupBy("copy").agg(F.first("text").alias("text"), F.first("entities").alias("entities"))
+    told = holders.join(disclosing_terms(texts, cut(once, "once"), disclosure), "copy", "left")
+
+    filled, has = F.col("text"), F.col("terms").isNotNull()
+    words = F.regexp_extract_all(filled, F.lit(WORD), F.lit(0))
+    of = lambda v: F.element_at("terms", F.xxhash64(F.lower(v)))
+    terms = _located("term", F.slice(F.split(filled, WORD, -1), 1, F.size(words)), words, lambda v: F.map_contains_key("terms", F.xxhash64(F.lower(v))))
+    outside = F.filter(terms, lambda t: ~F.exists("entities", lambda e: _overlap(e, t)))
+    told = told.withColumn("spans", F.when(has, F.array_sort(F.concat("entities", outside))).otherwise(F.col("entities")))
+    general = lambda v: F.when(of(v) & (F.length(v) > STEM), F.concat(F.substring(F.lower(v), 1, STEM), F.lit("*"))).otherwise("[TERM]")
+    label = lambda s: F.when(s["kind"] == "term", general(s["value"])).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
     piece = lambda acc, s: F.struct(
         F.greatest(acc["at"], s["end"]).alias("at"),
         F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(filled, acc["at"] + 1, s["start"] - acc["at"]), label(s))).otherwise(acc["out"]).alias("out"),
     )
     text_out = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), piece, lambda acc: F.concat(acc["out"], F.substring(filled, acc["at"] + 1, F.length(filled))))
-    return joined.withColumn("sanitised", F.when(F.size("spans") > 0, text_out).otherwise(F.col(text))).drop("_terms", "_words", "_gaps")
+    told = told.withColumn("sanitised", text_out)
+    rest = found.where(F.size("entities") == 0).withColumns({"spans": F.col("entities"), "sanitised": F.when(~F.col("lost"), filled)})
+    return told.select("row.*", "base", "spans", "sanitised").unionByName(rest.select("row.*", "base", "spans", "sanitised"))
 
 
 def _listed(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _spans_listed(found: DataFrame) -> DataFrame:
-    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
-
-
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in every text of ``documents``: counts by kind, digest of the entities, all spans; terms by the statement's counts."""
-    return _spans_listed(sanitise(documents(spark, sf_dir).select("doc_id", "text"), find_terms=supported_terms))
+    """Personal data in every text of ``documents``: counts by kind, digest of the base entities, all spans with secrets and disclosing terms."""
+    found = sanitise(documents(spark, sf_dir).select("doc_id", "text"))
+    count = lambda column, kind: F.expr(f"cast(size(filter({column}, s -> s.kind = '{kind}')) as long)").alias(f"n_{kind}")
+    return found.select("doc_id", *[count("base", k) for k in KINDS], F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"),
+                        count("spans", "secret"), count("spans", "term"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op8_pii_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns of ``op8_pii`` with the terms that the pipeline replaces, of entities in any number of texts."""
-    return _spans_listed(sanitise(documents(spark, sf_dir).select("doc_id", "text")))
+    """What the pipeline writes for every text with spans: code points before and after, and the digest of the sanitised text."""
+    found = sanitise(documents(spark, sf_dir).select("doc_id", "text")).where(F.size("spans") > 0)
+    return found.select("doc_id", _listed("spans").alias("spans"), F.length("text").cast("long").alias("n_chars"), F.length("sanitised").cast("long").alias("n_chars_after"), F.sha2("sanitised", 256).alias("sanitised_sha256"))
 
 
 def _sql_spans(kind: str, pattern: str, test: str) -> str:
@@ -240,41 +216,43 @@ _SQL_LUHN = (
     f"list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CASE WHEN (length({_DIGITS}) - i) % 2 = 0 THEN CAST({_DIGITS}[i] AS INT)"
     f" ELSE CAST({_DIGITS}[i] AS INT) * 2 - CASE WHEN CAST({_DIGITS}[i] AS INT) > 4 THEN 9 ELSE 0 END END)) % 10 = 0"
 )
-_SQL_WORDS = f"list_distinct(regexp_extract_all(lower(regexp_replace(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+', ' ', 'g')), '\\p{{L}}{{4,}}'))"
+_SQL_WORDS = "list_distinct(regexp_extract_all(lower(regexp_replace(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+', ' ', 'g')), '[\\p{L}\\p{M}\\p{N}]+'))"
+_SQL_APART = "len(list_filter({}, lambda b: b.s < x.s + x.n AND x.s < b.s + b.n)) = 0"
+_SQL_SECRET = f"length({_DIGITS}) >= 2 AND length(x.v) - length({_DIGITS}) >= 2 AND len(list_distinct(string_split(x.v, ''))) >= {SECRET_SIGNS}"
+#: Spans by exact counts over different texts; ``d`` has each once.
 OP8_SQL = f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+WITH d AS (SELECT row_number() OVER () AS doc_id, t FROM (SELECT DISTINCT coalesce(text, '') AS t FROM documents)),
 email AS ({_sql_spans("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+", "true")}),
 ip AS ({_sql_spans("ip", "[0-9]+\\.[0-9]+\\.[0-9]+\\.[0-9]+", "len(list_filter(string_split(x.v, '.'), lambda p: CAST(p AS HUGEINT) > 255)) = 0")}),
 card AS ({_sql_spans("card", "[0-9](?:[\\x20-]?[0-9])+", f"length({_DIGITS}) BETWEEN 12 AND 19 AND {_SQL_LUHN}")}),
 phone AS ({_sql_spans("phone", "\\+[0-9][\\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15")}),
+secret AS ({_sql_spans("secret", SECRET, _SQL_SECRET)}),
 base AS (
   SELECT d.doc_id, t, len(e.spans) AS n_email, len(i.spans) AS n_ip, len(c.spans) AS n_card, len(p.spans) AS n_phone,
-    list_sort(list_concat(list_concat(e.spans, i.spans), list_concat(c.spans, p.spans))) AS spans
-  FROM d JOIN email e USING (doc_id) JOIN ip i USING (doc_id) JOIN card c USING (doc_id) JOIN phone p USING (doc_id)
-),
-holders AS (
-  SELECT DISTINCT doc_id, t, x.k || ':' || lower(x.v) AS entity FROM (SELECT doc_id, t, unnest(spans) AS x FROM base)
+    list_sort(list_concat(list_concat(e.spans, i.spans), list_concat(c.spans, p.spans))) AS spans, s.spans AS secrets
+  FROM d JOIN email e USING (doc_id) JOIN ip i USING (doc_id) JOIN card c USING (doc_id) JOIN phone p USING (doc_id) JOIN secret s USING (doc_id)
 ),
-known AS (SELECT entity, count(DISTINCT doc_id) AS n_c FROM holders GROUP BY entity HAVING count(DISTINCT t) >= {SUPPORT}),
-words AS (SELECT doc_id, t, unnest({_SQL_WORDS}) AS term FROM d),
+entities AS (SELECT *, list_sort(list_concat(spans, list_filter(secrets, lambda x: {_SQL_APART.format("spans")}))) AS entities FROM base),
+holders AS (SELECT DISTINCT doc_id, x.k || ':' || lower(x.v) AS entity FROM (SELECT doc_id, unnest(entities) AS x FROM entities)),
+known AS (SELECT entity, count(*) AS n_c FROM holders GROUP BY entity),
+words AS (SELECT doc_id, unnest({_SQL_WORDS}) AS term FROM d),
 n_t AS (SELECT term, count(*) AS n_t FROM words GROUP BY term),
-pairs AS (
-  SELECT h.entity, k.n_c, w.term, count(DISTINCT w.doc_id) AS n_ct
-  FROM holders h JOIN known k USING (entity) JOIN words w USING (doc_id) GROUP BY ALL HAVING count(DISTINCT w.t) >= {SUPPORT}
-),
+pairs AS (SELECT h.entity, k.n_c, w.term, count(*) AS n_ct FROM holders h JOIN known k USING (entity) JOIN words w USING (doc_id) GROUP BY ALL),
 risky AS (
-  SELECT DISTINCT entity, term FROM pairs JOIN n_t USING (term), (SELECT count(*)::DOUBLE AS n FROM d)
-  WHERE n > n_c AND ln(n_ct * n / (n_c * n_t)) >= {DISCLOSURE} * ln(n / n_c)
+  SELECT entity, term FROM pairs JOIN n_t USING (term), (SELECT count(*)::DOUBLE AS n FROM d)
+  WHERE n > n_c + {SMOOTHING} AND ln(n_ct * n / ((n_c + {SMOOTHING}) * (n_t + {SMOOTHING}))) >= {DISCLOSURE} * ln(n / (n_c + {SMOOTHING}))
 ),
 terms AS (SELECT h.doc_id, list(DISTINCT r.term) AS terms FROM holders h JOIN words w USING (doc_id) JOIN risky r ON r.entity = h.entity AND r.term = w.term GROUP BY h.doc_id),
 told AS (
   SELECT doc_id, list_filter(list_transform(range(1, len(m) + 1), lambda i: {{
     's': list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0),
-    'r': {RANK["term"]}, 'k': 'term', 'n': length(m[i]), 'v': m[i]}}), lambda x: list_contains(terms, lower(x.v)) AND len(list_filter(spans, lambda b: b.s < x.s + x.n AND x.s < b.s + b.n)) = 0) AS told
-  FROM (SELECT doc_id, terms, spans, regexp_extract_all(t, '\\p{{L}}{{4,}}') AS m, regexp_split_to_array(t, '\\p{{L}}{{4,}}') AS g FROM base JOIN terms USING (doc_id))
-)
-SELECT b.doc_id, n_email, n_ip, n_card, n_phone,
-  sha256(array_to_string(list_transform(spans, lambda x: x.k || ':' || CAST(x.s AS BIGINT) || ':' || CAST(x.s + x.n AS BIGINT)), ',')) AS base_sha256,
-  array_to_string(list_transform(list_sort(list_concat(spans, coalesce(told, []))), lambda x: x.k || ':' || CAST(x.s AS BIGINT) || ':' || CAST(x.s + x.n AS BIGINT)), ',') AS spans
-FROM base b LEFT JOIN told USING (doc_id)
+    'r': {RANK["term"]}, 'k': 'term', 'n': length(m[i]), 'v': m[i]}}), lambda x: list_contains(terms, lower(x.v)) AND {_SQL_APART.format("entities")}) AS told
+  FROM (SELECT doc_id, terms, entities, regexp_extract_all(t, '[\\p{{L}}\\p{{M}}\\p{{N}}]+') AS m, regexp_split_to_array(t, '[\\p{{L}}\\p{{M}}\\p{{N}}]+') AS g FROM entities JOIN terms USING (doc_id))
+),
+by_text AS (SELECT t, n_email, n_ip, n_card, n_phone, spans AS base, list_sort(list_concat(entities, coalesce(told, []))) AS spans FROM entities LEFT JOIN told USING (doc_id))
+SELECT documents.doc_id, n_email, n_ip, n_card, n_phone,
+  sha256(array_to_string(list_transform(base, lambda x: x.k || ':' || CAST(x.s AS BIGINT) || ':' || CAST(x.s + x.n AS BIGINT)), ',')) AS base_sha256,
+  array_to_string(list_transform(spans, lambda x: x.k || ':' || CAST(x.s AS BIGINT) || ':' || CAST(x.s + x.n AS BIGINT)), ',') AS spans,
+  len(list_filter(spans, lambda x: x.k = 'secret')) AS n_secret, len(list_filter(spans, lambda x: x.k = 'term')) AS n_term, len(spans) AS n_spans
+FROM documents JOIN by_text ON by_text.t = coalesce(documents.text, '')
 """
