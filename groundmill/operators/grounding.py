@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundmill.config import Config
@@ -41,13 +41,52 @@ def ground(pairs: DataFrame, cfg: Config) -> DataFrame:
     return out.withColumns({"token_overlap": F.round("overlap", 3), "passed": F.col("passage_in_chunk") & F.col("numbers_supported")}).drop("_answer_numbers", "overlap")
 
 
-def overlap_join(passages: DataFrame, chunks: DataFrame, least: float, passage_key: str = "item_id", chunk_key: str = "doc_id") -> DataFrame:
-    """(passage_key, chunk_key, shared, n_tokens) of all passages and chunks (key, text) whose overlap is ``least`` or more.
+def _rarest(words: DataFrame, chunk_words: DataFrame, key: str, most: Column) -> DataFrame:
+    """(key, word) for the ``most`` words of each key that the fewest chunks have; ``words`` is (key, word, n_tokens), ``chunk_words`` (word).
 
-    Words meet in an equi-join, so that only passages and chunks with a word in common do; counts are summed
-    before they are shuffled.
+    Words that no chunk has count as the rarest, though they meet nothing.
     """
-    p = passages.select(passage_key, tokens(F.col("text")).alias("w")).withColumn("n_tokens", F.size("w")).select(passage_key, "n_tokens", F.explode("w").alias("word"))
+    seen = chunk_words.join(words.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("df"))
+    order = Window.partitionBy(key).orderBy(F.coalesce("df", F.lit(0)), "word")
+    return words.join(seen, "word", "left").withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).select(key, "word")
+
+
+def overlap_join(passages: DataFrame, chunks: DataFrame, least: float, passage_key: str = "item_id", chunk_key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(passage_key, chunk_key, shared, n_tokens, keep...) of all passages and chunks (key, text) whose overlap is ``least`` or more.
+
+    Of a passage's n words k must be shared, so one of any n - k + 1 is. Only the rarest so many meet the chunks'
+    words, which keeps common words out of the join; pairs that meet are then compared by all words. Columns of
+    ``chunks`` named in ``keep`` come along.
+    """
+    p = passages.select(passage_key, tokens(F.col("text")).alias("own")).withColumn("n_tokens", F.size("own")).where("n_tokens > 0")
+    exploded = p.select(passage_key, "n_tokens", F.explode("own").alias("word"))
     c = chunks.select(chunk_key, F.explode(tokens(F.col("text"))).alias("word"))
-    counted = p.join(c, "word").groupBy(passage_key, chunk_key, "n_tokens").agg(F.count("*").alias("shared"))
-    return counted.where(F.col("shared") >= least * F.col("n_tokens"))
+    needed = F.greatest(F.lit(1), F.ceil(F.lit(least) * F.col("n_tokens")))
+    first = _rarest(exploded, c.select("word"), passage_key, F.col("n_tokens") - needed + 1)
+    met = c.join(first, "word").select(passage_key, chunk_key).distinct()
+    both = met.join(p, passage_key).join(chunks.select(chunk_key, tokens(F.col("text")).alias("its"), *keep), chunk_key)
+    counted = both.withColumn("shared", F.size(F.array_intersect("own", "its")).cast("long"))
+    return counted.where((F.col("shared") > 0) & (F.col("shared") >= least * F.col("n_tokens"))).select(passage_key, chunk_key, "n_tokens", "shared", *keep)
+
+
+def containing(passages: DataFrame, chunks: DataFrame, passage_key: str = "item_id", chunk_key: str = "doc_id") -> DataFrame:
+    """(passage_key, chunk_key) of all passages (key, text) whose folded text is in a chunk's.
+
+    A chunk holds all words of its passages but the first and the last, which may be parts of its words. The
+    rarest of those is what they meet on. Passages of one or two words have none; their last word is part of a
+    word of the chunk, which is found among the different words of all chunks by its first three characters.
+    Passages without words are in no chunk.
+    """
+    p = passages.select(passage_key, fold(F.col("text")).alias("own")).where("own <> ''").withColumn("listed", F.split("own", " "))
+    inner = p.select(passage_key, F.explode(F.array_distinct(F.slice("listed", F.lit(2), F.greatest(F.lit(0), F.size("listed") - 2)))).alias("word"))
+    c = chunks.select(chunk_key, fold(F.col("text")).alias("its"))
+    words = c.select(chunk_key, F.explode(F.array_distinct(F.split("its", " "))).alias("word"))
+    met = words.join(_rarest(inner, words.select("word"), passage_key, F.lit(1)), "word").select(passage_key, chunk_key)
+    short = p.where(F.size("listed") <= 2).select(passage_key, F.element_at("listed", -1).alias("part"))
+    if not short.isEmpty():  # a look at the passages alone
+        short = short.withColumn("gram", F.substring("part", 1, 3))
+        grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(3)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("word") - n + 1)), lambda i: F.substring("word", i, n))))
+        listed = words.select("word").distinct().where("word <> ''").select("word", F.explode(F.array_distinct(grams)).alias("gram"))
+        holding = short.join(listed, "gram").where(F.contains("word", F.col("part"))).select(passage_key, "word")
+        met = met.unionByName(words.join(holding, "word").select(passage_key, chunk_key).distinct())
+    return met.join(p.select(passage_key, "own"), passage_key).join(c, chunk_key).where(F.contains("its", F.col("own"))).select(passage_key, chunk_key)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-from html.parser import HTMLParser
+import html
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,118 +10,103 @@ from pyspark.sql import functions as F
 
 from groundmill.functions.text import normalize_ws
 
+from .markup import Open, Tokens
+
 #: Fixed lists of element names.
 LINES = frozenset("p div li tr section article header footer blockquote".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 DROPPED = ("script", "style", "head", "noscript")
+RAW = frozenset(["script", "style"])
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+IN_HEAD = frozenset("title meta link script style base noscript template basefont bgsound noframes head".split())
 #: What a start tag ends if it is open, and where the search for it stops.
 ENDS = {"p": ("p",), "li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "body": ("head",)}
 FENCES = {"li": ("ul", "ol"), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
 P_ENDERS = LINES | HEADINGS | {"ul", "ol", "table", "pre", "form", "hr", "dl", "fieldset", "main", "nav", "aside", "address", "figure"} - {"tr", "li"}
 
 
-@dataclass
-class Node:
-    tag: str
-    inside: list = field(default_factory=list)  # nodes and strings
-
-    def walk(self, *tags: str):
-        """Elements of these names below this one, in order."""
-        for x in self.inside:
-            if isinstance(x, Node):
-                if x.tag in tags:
-                    yield x
-                yield from x.walk(*tags)
-
-    def words(self):
-        for x in self.inside:
-            if isinstance(x, Node):
-                if x.tag not in DROPPED:
-                    yield from x.words()
+class _Page:
+    """Reads a page once. Words inside tables, cells, rows and tables are lists; a cell is a run of words, a row of cells, a table of rows.
+
+    So what stands in tables inside tables is kept once, however often it is shown: rows and cells inside count as
+    those of every table around them, and cells hold the words of cells inside.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.open = Open()
+        self.out: list = []  # texts, and tables that no other is around
+        self.words: list[str] = []
+        self.runs: dict[str, list[list[int]]] = {"cell": [], "row": [], "table": []}
+        self.hidden = self.deep = 0
+        tokens = Tokens(page)
+        for kind, name, attributes in tokens:
+            if kind == "text":
+                self.text(html.unescape(name))
+            elif kind == "end":
+                self.close(self.open.nearest([name]))
             else:
-                yield x
-
-
-class _Tree(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.root = Node("")
-        self.open = [self.root]
-
-    def _close(self, names, fences) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag in names:
-                del self.open[k:]
-                return
-            if self.open[k].tag in fences:
-                return
-
-    def handle_starttag(self, tag, attrs) -> None:
+                self.start(name)
+                if name in RAW and not attributes.rstrip().endswith("/"):
+                    tokens.skip(name)
+                    self.close(self.open.nearest([name]))
+        self.close(0)
+
+    def text(self, text: str) -> None:
+        if self.deep and not self.hidden:
+            self.words += text.split()
+        elif not self.hidden:
+            self.out.append(text)
+
+    def start(self, tag: str) -> None:
+        if self.open.items and self.open.items[-1][0] == "head" and tag not in IN_HEAD:
+            self.close(len(self.open.items) - 1)
         if tag in P_ENDERS:
-            self._close(("p",), ("td", "th", "table", "button"))
+            self.close(self.open.within(["p"], ("td", "th", "table", "button")))
         if tag in ENDS:
-            self._close(ENDS[tag], FENCES.get(tag, ("table", "td", "th")))
-        node = Node(tag)
-        self.open[-1].inside.append(node)
-        if tag not in EMPTY:
-            self.open.append(node)
-
-    def handle_startendtag(self, tag, attrs) -> None:
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag) -> None:
-        if any(n.tag == tag for n in self.open[1:]):
-            self._close((tag,), ())
-
-    def handle_data(self, data) -> None:
-        self.open[-1].inside.append(data)
-
-
-def _table(node: Node) -> str:
-    """Rows of non-empty cells joined by bars. Cells and rows of tables inside count as this one's too."""
-    rows = []
-    for tr in node.walk("tr"):
-        cells = [" ".join(" ".join(c.words()).split()) for c in tr.walk("td", "th")]
-        if any(cells):
-            rows.append(" | ".join(c for c in cells if c))
-    return "\n" + "\n".join(rows) + "\n" if rows else ""
-
-
-def _text(node: Node, out: list[str]) -> None:
-    for x in node.inside:
-        if not isinstance(x, Node):
-            out.append(x)
-        elif x.tag == "table":
-            out.append(_table(x))
-        elif x.tag == "br":
-            out.append("\n")
-        elif x.tag not in DROPPED:
-            _text(x, out)
-            if x.tag in HEADINGS:
-                out.append("\n\n")
-            elif x.tag in LINES:
-                out.append("\n")
-
-
-def _tables(node: Node):
-    for x in node.inside:
-        if isinstance(x, Node) and x.tag not in DROPPED:
-            if x.tag == "table":
-                yield x
-            yield from _tables(x)
+            self.close(self.open.within(ENDS[tag], FENCES.get(tag, ("table", "td", "th"))))
+        if tag == "br" and not self.hidden and not self.deep:
+            self.out.append("\n")
+        if tag in EMPTY:
+            return
+        run = None
+        if tag in DROPPED:
+            self.hidden += 1
+        elif not self.hidden and tag in ("table", "tr", "td", "th"):
+            kind, inside = {"table": ("table", self.runs["row"]), "tr": ("row", self.runs["cell"])}.get(tag, ("cell", self.words))
+            run = [len(inside), len(inside)]
+            self.runs[kind].append(run)
+            self.deep += tag == "table"
+        self.open.push(tag, run)
+
+    def close(self, k: int) -> None:
+        """Close open elements from the innermost to number ``k``; none if ``k`` is negative."""
+        while 0 <= k < len(self.open.items):
+            tag, run = self.open.pop()
+            if tag in DROPPED:
+                self.hidden -= 1
+                continue
+            if run is not None:
+                run[1] = len(self.runs["row"] if tag == "table" else self.runs["cell"] if tag == "tr" else self.words)
+                if tag == "table":
+                    self.deep -= 1
+                    if not self.deep:
+                        self.out.append(run)
+            if not self.hidden and not self.deep and (tag in LINES or tag in HEADINGS):
+                self.out.append("\n\n" if tag in HEADINGS else "\n")
+
+    def rendered(self) -> tuple[str, int]:
+        cells = [" ".join(self.words[a:b]) for a, b in self.runs["cell"]]
+        rows = [" | ".join(c for c in cells[a:b] if c) for a, b in self.runs["row"]]
+        full = [0]
+        for r in rows:
+            full.append(full[-1] + bool(r))
+        table = lambda run: "\n" + "\n".join(r for r in rows[run[0] : run[1]] if r) + "\n" if full[run[1]] > full[run[0]] else ""
+        return "".join(x if isinstance(x, str) else table(x) for x in self.out), sum(full[b] > full[a] for a, b in self.runs["table"])
 
 
 def render(page: str | None) -> tuple[str | None, int]:
     """(text before white space is normalised, number of tables with a cell that is not empty)."""
-    if page is None:
-        return None, 0
-    tree = _Tree()
-    tree.feed(page)
-    tree.close()
-    out: list[str] = []
-    _text(tree.root, out)
-    return "".join(out), sum(bool(_table(t)) for t in _tables(tree.root))
+    return (None, 0) if page is None else _Page(page).rendered()
 
 
 def parse_html(pages: DataFrame, html: str = "html") -> DataFrame:

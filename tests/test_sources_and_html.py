@@ -1,4 +1,6 @@
 import json
+import random
+import time
 
 import pytest
 
@@ -30,6 +32,54 @@ def test_blocks_breaks_entities_and_dropped_parts(spark):
     assert parsed(spark, page, None, "") == [("Head\n\none & two\nthree\nfour\nx\ny", 0), (None, 0), ("", 0)]
 
 
+def test_deep_and_broken_pages_take_seconds():
+    began = time.monotonic()
+    assert H.render("<div>x" * 100_000)[0].count("x") == 100_000
+    assert H.render("<b>x" * 100_000) == ("x" * 100_000, 0)
+    assert H.render('<a "' * 250_000)[0] == '<a "' * 250_000
+    assert H.render("<a " * 250_000 + '=">"')[1] == 0
+    assert H.render("<!x" * 300_000)[1] == H.render("</script " * 100_000)[1] == 0
+    text, n = H.render("<table><tr><td>x" * 300)
+    assert n == 300 and text.count("\n") == 301 and text.split("\n")[300] == "x"
+    assert time.monotonic() - began < 30
+
+
+def test_tables_inside_tables_equal_a_tree(spark):
+    """Random nesting against a tree of nodes, whose tables are rendered as defined: rows and cells inside count as the outer one's too."""
+    rng = random.Random(4)
+
+    def made(depth):
+        rows = []
+        for _ in range(rng.randint(0, 3)):
+            cells = [(rng.choice(["", "a", "b c", " d "]), made(depth - 1) if depth and rng.random() < 0.4 else None) for _ in range(rng.randint(0, 3))]
+            rows.append(cells)
+        return rows
+
+    def markup(table):
+        return "<table>" + "".join("<tr>" + "".join(f"<td>{t}{markup(x) if x is not None else ''}</td>" for t, x in row) + "</tr>" for row in table) + "</table>"
+
+    def words(cell):
+        return cell[0].split() + [w for row in cell[1] or [] for c in row for w in words(c)]
+
+    def cells(row):
+        return [c for cell in row for c in (cell, *[d for r in cell[1] or [] for d in cells(r)])]
+
+    def rows(table):
+        return [r for row in table for r in (row, *[q for cell in row if cell[1] is not None for q in rows(cell[1])])]
+
+    def tables(table):
+        return [table] + [t for row in table for cell in row if cell[1] is not None for t in tables(cell[1])]
+
+    def text(table):
+        lines = [" | ".join(" ".join(words(c)) for c in cells(row) if words(c)) for row in rows(table)]
+        return [x for x in lines if x]
+
+    for _ in range(300):
+        t = made(4)
+        lines = text(t)
+        assert H.render(f"x{markup(t)}y") == ("x" + ("\n" + "\n".join(lines) + "\n" if lines else "") + "y", sum(bool(text(x)) for x in tables(t)))
+
+
 def test_decoding_falls_back(spark):
     t = spark.createDataFrame([(0, bytearray("é–", "utf-8")), (1, bytearray("é–", "cp1252")), (2, bytearray(b"\x81\xe9")), (3, None)], "i long, content binary")
     assert [r["text"] for r in H.decode(t).orderBy("i").collect()] == ["é–", "é–", "\x81é", None]
