@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, discard
 
 MOST_ROUNDS = 60
 
@@ -16,7 +16,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     In a round every node's larger neighbours are tied to its smallest one, then its smaller neighbours
     likewise. Both need a minimum per node, summed before the shuffle, and a join that adaptive execution
     splits where a node has very many neighbours; no neighbourhood is gathered. Rounds grow with the
-    logarithm of the longest chain. Self links only name a node. Null ends are ignored.
+    logarithm of the longest chain, and each removes what the one before wrote. Self links only name a node. Null
+    ends are ignored.
     """
     links = links.where("a IS NOT NULL AND b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     named = links.where("a = b").select(F.col("a").alias("id"))
@@ -29,10 +30,12 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = cut(large, "large")
         lower = cut(large.groupBy("b").agg(F.min("a").alias("m")), "lower")
         small = large.join(lower, "b")
+        old = (edges, least, large, lower)
         edges = cut(
             small.select(F.col("m").alias("a"), F.col("a").alias("b")).where("a < b").unionByName(small.select(F.col("m").alias("a"), "b")).distinct(),
             "edges",
         )
+        discard(*old)
         now = edges.agg(F.count("*"), F.sum("a"), F.sum("b"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

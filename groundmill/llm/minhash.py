@@ -8,8 +8,9 @@ the full sets. The work is linear in the documents, however large a group of cop
 * equal sets are one node, so exact copies make no pairs;
 * in a band's bucket each member meets only a few hubs, chosen by minima that are summed before the shuffle;
 * members outside the largest component of their bucket meet hubs of that component;
-* those that are still apart are compared with all members of the bucket in blocks, and only confirmed
-  links leave a block. So no link that joins components is lost to the choice of hubs.
+* those that are still apart are compared with all members of the bucket, blocks of the ones with blocks of the
+  others, by fingerprints of fixed size. Fingerprints give a bound that no link breaks, so that none that joins
+  components is lost to the choice of hubs; only pairs within the bound leave a block and meet with their texts.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -32,7 +34,10 @@ SLOTS = 1 << 20
 BANDS, ROWS = 40, 5
 COORDINATES = BANDS * ROWS
 SEED = 20_240_501
-SKETCH_SCHEMA = "doc_id long, n_shingles long, f1 long, f2 long, bands array<bigint>"
+#: Bits of a set's parity map, and members of a block.
+PARITY = 1024
+BLOCK = 2048
+SKETCH_SCHEMA = "doc_id long, n_shingles long, f1 long, f2 long, bands array<bigint>, parity binary"
 _GOLD, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -103,6 +108,16 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return best
 
 
+def parity_map(shingles: np.ndarray) -> bytes:
+    """For each residue of the hashes whether an odd number of the set's members has it.
+
+    The maps of two sets differ in no more bits than the sets have members that are not shared, which bounds
+    their similarity from above.
+    """
+    odd = np.bincount(((shingles >> np.uint64(40)) % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def band_keys(signatures: np.ndarray) -> np.ndarray:
     """One 64-bit key per signature and band; keys of different bands differ."""
     s = signatures.astype(np.uint64).reshape(len(signatures), BANDS, ROWS)
@@ -113,7 +128,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """Set size, 128-bit fingerprint of the set and band keys of each document."""
+    """Set size, 128-bit fingerprint of the set, band keys and parity map of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,8 +143,8 @@ def sketches(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
                         keys[k] = row
                 two = np.frombuffer(b"".join(prints), "<i8").reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(keys, pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "f1", "f2", "bands"],
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(keys, pa.list_(pa.int64())), pa.array([parity_map(s) for s in sets], pa.binary())],
+                    ["doc_id", "n_shingles", "f1", "f2", "bands", "parity"],
                 )
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SKETCH_SCHEMA)
@@ -195,66 +210,45 @@ def _apart(crowded: DataFrame, components: DataFrame) -> DataFrame:
     return cut(placed.join(tops, "bucket"), "apart")
 
 
-BLOCK = 256
-
-
-def _block_links(left: DataFrame, sketch: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """Confirmed links between members of one bucket that lie in different components.
+def _block_pairs(left: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of one bucket that lie in different components and may be links.
 
-    Members of a bucket are dealt into blocks; those outside the largest component are sent to each block.
-    A pair that shares several buckets is compared in the first of its bands only.
+    Members of a bucket are dealt into blocks, and those outside the largest component into blocks of their own;
+    each of these meets each of those. A row carries fingerprints, no text, and a group has one block of either
+    kind. A pair that shares several buckets comes out of the first of its bands only.
     """
-    blocks = F.expr(f"cast(ceil(members / {BLOCK}) as int)")
-    base = left.select("bucket", "doc_id", "component", (F.col("component") == F.col("top")).alias("inside"), blocks.alias("blocks"))
-    targets = base.select("bucket", "doc_id", "component", F.expr("pmod(xxhash64(doc_id), blocks)").cast("int").alias("block"), F.lit(False).alias("asks"))
-    queries = base.where("NOT inside").select("bucket", "doc_id", "component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"))
-    keys = sketch.join(left.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.first("bands").alias("bands"))
-    known = cut(texts.join(keys, "doc_id"), "known")
-    rows = targets.unionByName(queries).join(known, "doc_id")
-    rows = rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "asks").select("bucket", "block", "asks", "doc_id", "component", "bands", "text")
-
-    def compare(group: list[tuple]) -> tuple[list[int], list[int]]:
-        bucket = group[0][0]
-        targets, queries = [r for r in group if not r[2]], [r for r in group if r[2]]
-        out: tuple[list[int], list[int]] = ([], [])
-        if not targets or not queries:
-            return out
-        sets = dict(zip([r[3] for r in group], shingle_sets([r[6] for r in group], width), strict=True))
-        ids = np.array([r[3] for r in targets], np.int64)
-        parts = np.array([r[4] for r in targets], np.int64)
-        bands = np.array([r[5] for r in targets], np.int64)
-        sizes = np.array([len(sets[i]) for i in ids.tolist()], np.int64)
-        band = int(np.argmax(bands[0] == bucket))
-        for _, _, _, q, part, key, _ in queries:
-            s = sets[q]
-            near = np.minimum(sizes, len(s)) * 100 >= percent * np.maximum(sizes, len(s))
-            pick = np.flatnonzero(near & (parts != part))
-            if len(pick):
-                pick = pick[np.argmax(bands[pick] == np.array(key), axis=1) == band]
-            for k in pick.tolist():
-                t = sets[int(ids[k])]
-                shared = int(np.isin(t, s, assume_unique=True).sum())
-                if 100 * shared >= percent * (len(t) + len(s) - shared):
-                    out[0].append(min(q, int(ids[k])))
-                    out[1].append(max(q, int(ids[k])))
-        return out
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
-        for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(7)]
-            for row in zip(*columns, strict=True):
-                if group and group[0][:2] != row[:2]:
-                    a, b = compare(group)
-                    if a:
-                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-                    group = []
-                group.append(row)
-        if group:
-            a, b = compare(group)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return rows.mapInArrow(run, "a long, b long")
+    blocks = lambda n: F.expr(f"cast(ceil({n} / {BLOCK}) as int)")
+    outside = left.where("component <> top").groupBy("bucket").agg(F.count("*").alias("outsiders"))
+    base = left.join(outside, "bucket").select("bucket", "doc_id", "component", (F.col("component") == F.col("top")).alias("inside"), blocks("members").alias("blocks"), blocks("outsiders").alias("calls"))
+    own = lambda n: F.expr(f"pmod(xxhash64(doc_id), {n})").cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    targets = base.select("bucket", "doc_id", "component", own("blocks").alias("block"), every("calls").alias("call"), F.lit(False).alias("asks"))
+    queries = base.where("NOT inside").select("bucket", "doc_id", "component", every("blocks").alias("block"), own("calls").alias("call"), F.lit(True).alias("asks"))
+    known = sketch.join(left.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("parity").alias("parity"))
+    rows = targets.unionByName(queries).join(cut(known, "known"), "doc_id")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        asks = pdf["asks"].to_numpy()
+        ids, part, n = pdf["doc_id"].to_numpy(), pdf["component"].to_numpy(), pdf["n"].to_numpy()
+        bits = np.frombuffer(b"".join(pdf["parity"]), np.uint64).reshape(len(pdf), -1)
+        q, t = np.flatnonzero(asks), np.flatnonzero(~asks)
+        out: list[tuple[np.ndarray, np.ndarray]] = [(ids[:0], ids[:0])]
+        if len(q) and len(t):
+            bands = np.stack(pdf["bands"].to_numpy())
+            band = int(np.argmax(bands[t[0]] == pdf["bucket"].iloc[0]))
+            for i in q.tolist():
+                near = (np.minimum(n[t], n[i]) * 100 >= percent * np.maximum(n[t], n[i])) & (part[t] != part[i])
+                pick = t[near]
+                apart = np.bitwise_count(bits[pick] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                both = n[pick] + n[i]
+                # shared members are half of what is left of both sizes, so a link has (both - apart) / (both + apart) in reach
+                pick = pick[100 * (both - apart) >= percent * (both + apart)]
+                pick = pick[(bands[pick, :band] != bands[i, :band]).all(axis=1)]
+                out.append((np.minimum(ids[pick], ids[i]), np.maximum(ids[pick], ids[i])))
+        a, b = (np.concatenate(x) for x in zip(*out, strict=True))
+        return pd.DataFrame({"a": a, "b": b})
+
+    return rows.groupBy("bucket", "block", "call").applyInPandas(compare, "a long, b long").where("a < b").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -283,9 +277,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     left = _apart(crowded, components)
     second = left.where("component <> top").select("doc_id", F.explode(F.array_distinct(F.array("h1", "h2", "h3", "h4"))).alias("hub"))
     second = second.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    components = _merged(components, cut(verified(cut(second, "pairs"), texts, width, percent), "links"))
+    second = cut(second, "pairs")
+    components = _merged(components, cut(verified(second, texts, width, percent), "links"))
     left = _apart(crowded, components)
-    components = _merged(components, cut(_block_links(left, sketch, texts, percent, width), "links"))
+    third = _block_pairs(left, sketch, percent).join(first.unionByName(second), ["a", "b"], "left_anti")
+    components = _merged(components, cut(verified(cut(third, "pairs"), texts, width, percent), "links"))
 
     groups = cut(nodes.join(components.withColumnRenamed("id", "node"), "node", "left").select("f1", "f2", F.coalesce("component", "node").alias("component_id")), "groups")
     found = sketch.where("n_shingles > 0").select("doc_id", "n_shingles", "f1", "f2").join(groups, ["f1", "f2"], "left").select("doc_id", "n_shingles", "component_id")
@@ -296,14 +292,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, the one with the smallest id; columns stay as they are.
 
-    Rows without words are kept, each once per id. Rows without an id get one from their text that is larger
-    than all others (ids of 2^62 and more are taken for such), so they stay only where their group has no id.
+    Rows without words are kept, each once per id. Rows of one id are one document: with it, each of their
+    different texts stays once, and which of the rows equal in both stays is not fixed. Rows without an id get one
+    from their text that is larger than all others (ids of 2^62 and more are taken for such), so they stay only
+    where their group has no id.
     """
     made = F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 62))
-    keyed = docs.withColumn("_key", F.coalesce(F.col(key).cast("long"), made))
-    kept = near_duplicates(keyed, "_key", text, width, percent).where("kept").select(F.col("doc_id").alias("_key")).distinct()
-    one = Window.partitionBy("_key").orderBy(F.desc_nulls_last(text))
-    return keyed.join(kept, "_key", "left_semi").withColumn("_row", F.row_number().over(one)).where("_row = 1").select(*docs.columns)
+    # a caller's columns travel as one, so that no name of this function can clash with theirs
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(key).cast("long"), made).alias("doc_id"), F.col(text).alias("text"))
+    kept = near_duplicates(rows, "doc_id", "text", width, percent).where("kept").select("doc_id").distinct()
+    one = Window.partitionBy("doc_id", "text").orderBy("doc_id")
+    return rows.join(kept, "doc_id", "left_semi").withColumn("place", F.row_number().over(one)).where("place = 1").select("row.*")
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,13 +76,45 @@ def test_block_comparison_finds_what_hubs_miss(spark):
     bands = sketch.selectExpr("doc_id", "explode(bands) AS bucket")
     crowd = bands.join(bands.groupBy("bucket").count().where("count > 1").drop("count"), "bucket")
     left = minhash._apart(crowd, spark.createDataFrame([], "id long, component long"))
-    links = {tuple(r) for r in minhash._block_links(left, sketch, docs, 80, 2).collect()}
+    links = {tuple(r) for r in minhash.verified(minhash._block_pairs(left, sketch, 80), docs, 2, 80).collect()}
     sets = dict(zip([i for i, _ in rows], minhash.shingle_sets([t for _, t in rows], 2), strict=True))
     want = {(a, b) for a in sets for b in sets if a < b and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))}
     distinct = {a for a in sets if not any(b < a and np.array_equal(sets[a], sets[b]) for b in sets)}
     assert {p for p in want if set(p) <= distinct} <= {tuple(sorted(p)) for p in links} | {p for p in want if len(sets[p[0]]) == len(sets[p[1]]) and np.array_equal(sets[p[0]], sets[p[1]])}
 
 
+def test_a_bucket_of_many_that_differ(spark, monkeypatch):
+    """Three thousand members of one bucket, all apart but for a few links: fingerprints leave hardly more pairs than links."""
+    monkeypatch.setattr(minhash, "BLOCK", 300)
+    rng = random.Random(11)
+    texts = [" ".join(f"u{rng.randrange(5000)}" for _ in range(rng.randint(30, 90))) for _ in range(3000)]
+    for i in range(0, 60, 3):
+        texts[i + 1] = texts[i] + " more"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    sketch = minhash.sketches(docs, "doc_id", "text", 2)
+    left = minhash._apart(docs.selectExpr("cast(1 AS long) AS bucket", "doc_id"), spark.createDataFrame([], "id long, component long"))
+    pairs = minhash._block_pairs(left, sketch, 80)
+    links = {tuple(r) for r in minhash.verified(pairs, docs, 2, 80).collect()}
+    assert links == {(i, i + 1) for i in range(0, 60, 3)} and pairs.count() < 5 * len(links)
+
+
+def test_parity_maps_bound_what_differs():
+    rng = np.random.default_rng(3)
+    pool = np.unique(rng.integers(0, 2**64 - 1, 4000, dtype=np.uint64))
+    for _ in range(300):
+        a, b = (np.sort(rng.choice(pool, rng.integers(0, 1500), replace=False)) for _ in range(2))
+        x, y = (np.frombuffer(minhash.parity_map(s), np.uint64) for s in (a, b))
+        assert int(np.bitwise_count(x ^ y).sum()) <= len(np.setxor1d(a, b))
+
+
+def test_keep_one_with_clashing_names_and_repeated_ids(spark):
+    rows = [(1, "a b c d e f", 7, 8, "k"), (1, "quite another text it is", 7, 8, "k"), (1, "a b c d e f", 7, 8, "k"), (2, "a b c d e f", 7, 8, "k"), (None, "a b c d e f", 7, 8, "k")]
+    docs = spark.createDataFrame(rows, "_key long, body string, row int, place int, doc_id string")
+    got = minhash.keep_one(docs, "_key", "body")
+    assert got.columns == docs.columns
+    assert sorted(tuple(r) for r in got.collect()) == [rows[0], rows[1]]
+
+
 def test_odd_rows(spark):
     rows = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(odd(spark)).collect()}
     assert {(1, 3, 1, True), (2, 3, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True), (7, 1, 7, True), (None, 3, None, True)} <= rows
