@@ -6,6 +6,8 @@ import html
 import re
 from dataclasses import dataclass
 
+from groundmill.operators.markup import Open, Tokens
+
 #: Fixed lists of element names.
 BLOCK = frozenset(
     "address article aside blockquote body button canvas caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe label legend li main menu nav"
@@ -18,20 +20,37 @@ EMPTY = frozenset("area base br col embed hr img input link meta param source tr
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
 ENDS_P = BLOCK - {"button", "label", "option", "optgroup", "body", "html", "head", "title"}
 
-_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*'|[\"'])*+)>", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_EDGE = {t: re.compile(rf"<(/?){t}(?=[\s/>])(?:[^>\"']++|\"[^\"]*\"|'[^']*'|[\"'])*+>", re.I) for t in HIDDEN | {"textarea"}}
 _NAME = re.compile(r"[A-Za-z]+|\d+")
 
 
+class Node:
+    """An open element: its tag, classes, ids and role, and the element around it. Blocks share the nodes above them."""
+
+    __slots__ = ("above", "mark", "names")
+
+    def __init__(self, names: tuple[str, ...], above: Node | None = None) -> None:
+        self.names, self.above, self.mark = names, above, None
+
+
 @dataclass
 class Block:
-    """``path`` names the elements that are open at the block's end, with classes, ids and roles, outermost first; ``linked`` counts characters inside links."""
+    """``node`` is the innermost element that is open at the block's end; ``linked`` counts characters inside links."""
 
-    path: tuple[str, ...]
+    node: Node | None
     text: str
     linked: int
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Names of all elements around the block, outermost first."""
+        out: list[tuple[str, ...]] = []
+        node = self.node
+        while node is not None:
+            out.append(node.names)
+            node = node.above
+        return tuple(n for names in reversed(out) for n in names)
+
 
 def _names(tag: str, attributes: str) -> tuple[str, ...]:
     out = [tag]
@@ -44,19 +63,6 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def _end(page: str, tag: str, at: int) -> tuple[int, int]:
-    """Start and end of the end tag that closes an element opened before ``at``; the page's end if there is none. Templates nest."""
-    depth = 1
-    for m in _EDGE[tag].finditer(page, at):
-        if m[1]:
-            depth -= 1
-        elif tag == "template":
-            depth += 1
-        if not depth:
-            return m.start(), m.end()
-    return len(page), len(page)
-
-
 def split_blocks(page: str | None) -> list[Block]:
     """Blocks in page order; character references are decoded and white space inside a block is one space.
 
@@ -64,82 +70,65 @@ def split_blocks(page: str | None) -> list[Block]:
     Comments and what browsers never render (scripts, styles, noscript, templates, annotations of formulas) are no
     text, up to the page's end if the end tag is missing, as in browsers. Formulas, drawings and the fallback of objects
     are inline; a text area is a block. End tags without a start are ignored, missing ones are implied as
-    browsers do for paragraphs, list items and table cells. Null and empty pages have none.
+    browsers do for paragraphs, list items and table cells. Null and empty pages have none. Time and memory
+    grow with the page's length, however deep its elements are or broken its tags.
     """
     if not page:
         return []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    blocks: list[Block] = []
+    open_, blocks = Open(), []
     parts: list[str] = []
-    linked = links = 0
+    linked = 0
 
     def flush() -> None:
         nonlocal parts, linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                blocks.append(Block(tuple(n for _, names in stack for n in names), text, min(linked, len(text))))
+                blocks.append(Block(open_.items[-1][1] if open_.items else None, text, min(linked, len(text))))
         parts, linked = [], 0
 
+    def push(tag: str, attributes: str) -> None:
+        open_.push(tag, Node(_names(tag, attributes), open_.items[-1][1] if open_.items else None))
+
     def pop(k: int) -> None:
-        nonlocal links
-        for name, _ in stack[k:]:
-            links -= name == "a"
-        del stack[k:]
-
-    at = 0
-    while True:
-        m = _MARK.search(page, at)
-        text = page[at : m.start()] if m else page[at:]
-        if text:
-            text = html.unescape(text)
+        while 0 <= k < len(open_.items):
+            open_.pop()
+
+    tokens = Tokens(page)
+    for kind, tag, attributes in tokens:
+        if kind == "text":
+            text = html.unescape(tag)
             parts.append(text)
-            if links:
+            if open_.places.get("a"):
                 linked += len(text.strip())
-        if not m:
-            break
-        at = m.end()
-        if not m[2]:
-            continue
-        tag = m[2].lower()
-        if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if tag in BLOCK or any(n in BLOCK for n, _ in stack[k:]):
-                        flush()
-                    pop(k)
-                    break
-            continue
-        if m[3].rstrip().endswith("/") and (tag in FOREIGN or any(n in FOREIGN for n, _ in stack)):
-            continue
-        if tag in HIDDEN:
-            at = _end(page, tag, at)[1]
+        elif kind == "end":
+            k = open_.nearest([tag])
+            if k >= 0:
+                if any(n in BLOCK for n, _ in open_.items[k:]):
+                    flush()
+                pop(k)
+        elif attributes.rstrip().endswith("/") and (tag in FOREIGN or open_.nearest(FOREIGN) >= 0):
             continue
-        if tag == "textarea":
+        elif tag in HIDDEN:
+            tokens.skip(tag, nests=tag == "template")
+        elif tag == "textarea":
             flush()
-            start, (stop, at) = at, _end(page, tag, at)
-            stack.append((tag, _names(tag, m[3])))
-            parts.append(html.unescape(page[start:stop]))
+            push(tag, attributes)
+            parts.append(html.unescape(tokens.skip(tag)))
             flush()
-            stack.pop()
-            continue
-        if tag in EMPTY:
+            open_.pop()
+        elif tag in EMPTY:
             if tag == "hr":
                 flush()
             elif tag == "br":
                 parts.append(" ")
-            continue
-        if tag in BLOCK:
-            flush()
-        names, bounds = CLOSES.get(tag, ((), ()))
-        for names, bounds in ((names, bounds), ({"p"} if tag in ENDS_P else (), {"button", "td", "th", "table"})):
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in names:
-                    pop(k)
-                    break
-                if stack[k][0] in bounds:
-                    break
-        stack.append((tag, _names(tag, m[3])))
-        links += tag == "a"
+        else:
+            if tag in BLOCK:
+                flush()
+            if tag in CLOSES:
+                pop(open_.within(*CLOSES[tag]))
+            if tag in ENDS_P and open_.places["p"]:
+                pop(open_.within({"p"}, {"button", "td", "th", "table"}))
+            push(tag, attributes)
     flush()
     return blocks

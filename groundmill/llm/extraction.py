@@ -20,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import Block, split_blocks
+from .blocks import Block, Node, split_blocks
 from .shared import map_column
 
 PATH, WORDS, MEASURES, HIDDEN = 256, 128, 6, 24
 INPUT = PATH + WORDS + MEASURES
 #: Pages that the labeller is trained on, passes over them, pages of a step, seed.
 PAGES, PASSES, STEP, SEED = 800, 7, 25, 11
+#: Blocks of a page that are held as vectors at a time.
+PART = 8192
 
 
 _SERIAL = re.compile(r"\bq\d+q ?")
@@ -37,29 +39,46 @@ def _slot(name: str, size: int) -> int:
     return zlib.crc32(name.encode("utf-8", "surrogatepass")) % size
 
 
-def features(blocks: list[Block]) -> np.ndarray:
-    """One row per block: which path names are present, counts of all hashed words over the root of their number, length, links, marks, place."""
+def _path_marks(node: Node | None) -> int:
+    """Bits of the hashed names of an element and all around it; each element is hashed once, whatever blocks lie in it."""
+    chain = []
+    while node is not None and node.mark is None:
+        chain.append(node)
+        node = node.above
+    mark = 0 if node is None else node.mark
+    for x in reversed(chain):
+        for n in x.names:
+            mark |= 1 << _slot(n, PATH)
+        x.mark = mark
+    return mark
+
+
+def features(blocks: list[Block], first: int = 0, total: int | None = None) -> np.ndarray:
+    """One row per block: which path names are present, counts of all hashed words over the root of their number, length, links, marks, place.
+
+    ``blocks`` may be a part of a page that begins with block ``first`` of ``total``.
+    """
     x = np.zeros((len(blocks), INPUT), np.float32)
-    at, put, share, measures = [], [], [], []
+    if not blocks:
+        return x
+    at, share, measures, marks = [], [], [], []
     for i, b in enumerate(blocks):
-        for n in b.path:
-            put.append(i * INPUT + _slot(n, PATH))
+        marks.append(_path_marks(b.node).to_bytes(PATH // 8, "little"))
         words = b.text.lower().split()
         at += [i * INPUT + PATH + _slot(w, WORDS) for w in words]
         share += [1 / math.sqrt(len(words))] * len(words)
         n = len(b.text)
-        measures.append((math.log1p(n) / 8, b.linked / n, min(1.0, 20 * (b.text.count(".") + b.text.count(",")) / n), i / len(blocks), float(b.text[-1] in ".!?"), math.log1p(b.text.count(" ")) / 6))
-    x.reshape(-1)[put] = 1
-    if blocks:
-        x += np.bincount(at, share, x.size).reshape(x.shape).astype(np.float32)
-        x[:, PATH + WORDS :] = measures
+        measures.append((math.log1p(n) / 8, b.linked / n, min(1.0, 20 * (b.text.count(".") + b.text.count(",")) / n), (first + i) / (total or len(blocks)), float(b.text[-1] in ".!?"), math.log1p(b.text.count(" ")) / 6))
+    x += np.bincount(at, share, x.size).reshape(x.shape).astype(np.float32)
+    x[:, :PATH] = np.unpackbits(np.frombuffer(b"".join(marks), np.uint8).reshape(len(blocks), -1), axis=1, bitorder="little")
+    x[:, PATH + WORDS :] = measures
     return x
 
 
-def _forward(w: dict[str, np.ndarray], side: str, x: np.ndarray, mask: np.ndarray, keep: bool):
-    """Hidden states of one direction over (T, B, INPUT); masked steps carry the state on."""
+def _forward(w: dict[str, np.ndarray], side: str, x: np.ndarray, mask: np.ndarray, keep: bool, state: tuple[np.ndarray, np.ndarray] | None = None):
+    """Hidden states of one direction over (T, B, INPUT), what training needs of them, and the last state; masked steps carry the state on."""
     steps, n = mask.shape
-    h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
+    h, c = state or (np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32))
     inputs = x.reshape(-1, INPUT) @ w["x" + side] + w["b" + side]
     inputs = inputs.reshape(steps, n, 4 * HIDDEN)
     out, tape = np.zeros((steps, n, HIDDEN), np.float32), []
@@ -75,7 +94,7 @@ def _forward(w: dict[str, np.ndarray], side: str, x: np.ndarray, mask: np.ndarra
             tape.append((t, h, c, i, f, o, g, tanh_c, m))
         h, c = np.where(m, o * tanh_c, h), np.where(m, new_c, c)
         out[t] = h
-    return out, tape
+    return out, tape, (h, c)
 
 
 def _backward(w, side, x, tape, grad_out, grads) -> None:
@@ -121,6 +140,27 @@ def probabilities(w: dict[str, np.ndarray], pages: list[np.ndarray]) -> list[np.
     return out
 
 
+def _long(w: dict[str, np.ndarray], blocks: list[Block]) -> np.ndarray:
+    """As ``probabilities`` for one page of any length: blocks are read ``PART`` at a time in both directions, and only hidden states are held for all."""
+    starts = range(0, len(blocks), PART)
+    both = np.zeros((len(blocks), 2 * HIDDEN), np.float32)
+    for side, order, columns in (("f", starts, slice(0, HIDDEN)), ("b", reversed(starts), slice(HIDDEN, 2 * HIDDEN))):
+        state = None
+        for i in order:
+            x = features(blocks[i : i + PART], i, len(blocks))
+            out, _, state = _forward(w, side, x[:, None], np.ones((len(x), 1), bool), False, state)
+            both[i : i + len(x), columns] = out[:, 0]
+    return 1 / (1 + np.exp(-np.clip(both @ w["out"] + w["bias"], -30, 30)))[:, 0]
+
+
+def main_text(w: dict[str, np.ndarray], pages: list[str | None]) -> list[str]:
+    """The blocks of each page that the labeller keeps, joined by line feeds."""
+    blocks = [split_blocks(p) for p in pages]
+    short = [k for k, b in enumerate(blocks) if len(b) <= PART]
+    chances = dict(zip(short, probabilities(w, [features(blocks[k]) for k in short]), strict=True))
+    return ["\n".join(x.text for x, p in zip(b, chances[k] if k in chances else _long(w, b), strict=True) if p >= 0.5) for k, b in enumerate(blocks)]
+
+
 class _Maker:
     """Pages with labelled blocks: each text carries a serial number, and labels go by it."""
 
@@ -245,7 +285,7 @@ def trained() -> dict[str, np.ndarray]:
     for _ in range(PAGES):
         blocks = split_blocks(maker.page())
         labels.append(np.array([any(w in maker.keep for w in b.text.split()[:5]) for b in blocks], np.float32))
-        pages.append(features([Block(b.path, _SERIAL.sub("", b.text) or b.text, b.linked) for b in blocks]))
+        pages.append(features([Block(b.node, _SERIAL.sub("", b.text) or b.text, b.linked) for b in blocks]))
     rng = np.random.default_rng(SEED)
     w = {}
     for side in "fb":
@@ -266,8 +306,8 @@ def trained() -> dict[str, np.ndarray]:
             y = np.zeros(mask.shape, np.float32)
             for c, k in enumerate(batch):
                 y[: len(labels[k]), c] = labels[k]
-            hf, tf = _forward(w, "f", x, mask, True)
-            hb, tb = _forward(w, "b", x, mask, True)
+            hf, tf, _ = _forward(w, "f", x, mask, True)
+            hb, tb, _ = _forward(w, "b", x, mask, True)
             both = np.concatenate([hf, hb], axis=2)
             p = 1 / (1 + np.exp(-np.clip(both @ w["out"] + w["bias"], -30, 30)))
             d = ((p[..., 0] - y) * mask)[..., None] / mask.sum()
@@ -298,9 +338,7 @@ def extract_main(pages: DataFrame, html: str = "html", text: str = "text") -> Da
     def make(column: pa.Array) -> pa.Array:
         out = []
         for i in range(0, len(column), 256):
-            blocks = [split_blocks(p) for p in column.slice(i, 256).to_pylist()]
-            for b, p in zip(blocks, probabilities(weights, [features(x) for x in blocks]), strict=True):
-                out.append("\n".join(x.text for x, keep in zip(b, p >= 0.5, strict=True) if keep))
+            out += main_text(weights, column.slice(i, 256).to_pylist())
         return pa.array(out, pa.string())
 
     return map_column(pages, html, text, "string", make)

@@ -1,12 +1,13 @@
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
 from groundmill.llm import extraction, licences
-from groundmill.llm.blocks import split_blocks
+from groundmill.llm.blocks import Node, split_blocks
 from groundmill.llm.queries import QUERIES
 
 from ..conftest import DATA
@@ -63,7 +64,7 @@ def test_labels_of_new_layouts():
     for _ in range(150):
         blocks = split_blocks(maker.page())
         want = np.array([any(w in maker.keep for w in b.text.split()[:5]) for b in blocks])
-        got = extraction.probabilities(extraction.trained(), [extraction.features([extraction.Block(b.path, extraction._SERIAL.sub("", b.text) or b.text, b.linked) for b in blocks])])[0] >= 0.5
+        got = extraction.probabilities(extraction.trained(), [extraction.features([extraction.Block(b.node, extraction._SERIAL.sub("", b.text) or b.text, b.linked) for b in blocks])])[0] >= 0.5
         wrong, total = wrong + int((got != want).sum()), total + len(blocks)
     assert wrong <= 0.03 * total
 
@@ -71,7 +72,7 @@ def test_labels_of_new_layouts():
 def test_all_words_of_a_block_are_read():
     """Blocks that differ from word 13 on only, with the same lengths, have different vectors."""
     start = "these are the first dozen words that both of the blocks share "
-    one, two = (extraction.features([extraction.Block(("div",), start + tail * 40, 0)])[0] for tail in ("cookie ", "harbor "))
+    one, two = (extraction.features([extraction.Block(Node(("div",)), start + tail * 40, 0)])[0] for tail in ("cookie ", "harbor "))
     assert (one[: extraction.PATH] == two[: extraction.PATH]).all() and (one != two).any()
     assert extraction.WORDS > 32
 
@@ -95,7 +96,7 @@ def test_gradients_equal_differences():
     pages = [rng.normal(size=(n, extraction.INPUT)) for n in (3, 5)]
     x, mask = extraction._padded([p.astype(np.float32) for p in pages])
     goal = rng.normal(size=(*mask.shape, extraction.HIDDEN))
-    out, tape = extraction._forward(w, "f", x, mask, True)
+    out, tape, _ = extraction._forward(w, "f", x, mask, True)
     grads = {k: np.zeros_like(v) for k, v in w.items()}
     extraction._backward(w, "f", x, tape, (goal * mask[..., None]).astype(np.float64), grads)
 
@@ -112,6 +113,29 @@ def test_gradients_equal_differences():
         assert abs((up - down) / (2 * step) - grads[name][at]) < 2e-2 * max(1, abs(grads[name][at]))
 
 
+def test_deep_and_broken_pages_take_seconds():
+    w, began = extraction.trained(), time.monotonic()
+    assert len(split_blocks("<div>x" * 100_000)) == 100_000 and len(split_blocks("<b>x" * 100_000)) == 1
+    assert [b.text for b in split_blocks('<a "' * 250_000)] == [" ".join(('<a "' * 250_000).split())]
+    for page in ("<a " * 250_000 + '=">"', "<!x" * 300_000, "<script>" + "</script " * 100_000, "<svg><g/>" * 50_000, "<p class='a'>x</p" * 20_000):
+        split_blocks(page)
+    long = "<nav>skip this menu</nav>" + "<p>A paragraph of the article, long enough to be one.</p>" * 20_000
+    kept = extraction.main_text(w, [long, None, "<p>one</p>"])[0]
+    assert kept.count("\n") >= 19_000 and time.monotonic() - began < 120
+
+
+def test_parts_of_a_page_are_read_as_one():
+    """A page read in parts has the chances that it has when read at once."""
+    w = extraction.trained()
+    blocks = split_blocks(extraction._Maker(random.Random(3)).page() * 20)
+    want = extraction.probabilities(w, [extraction.features(blocks)])[0]
+    old, extraction.PART = extraction.PART, 37
+    try:
+        assert np.abs(extraction._long(w, blocks) - want).max() < 1e-5
+    finally:
+        extraction.PART = old
+
+
 def test_odd_pages(spark):
     t = extraction.extract_main(odd(spark), html="text", text="body")
     assert t.count() == len(odd_rows()) and t.where("body IS NULL").count() == 0 and t.where("text IS NULL").first()["body"] == ""
