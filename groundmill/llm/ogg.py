@@ -3,7 +3,8 @@
 ``mux_column`` stores byte payloads as 8-bit mono samples in a physical stream of two logical ones: the
 samples, and a side stream that notes the unpadded length. ``demux_column`` reads any Ogg bytes: it
 verifies each page's checksum, reassembles packets from lacing values across pages, parts the logical
-streams by serial number and turns granule positions into seconds.
+streams by serial number and by the flags of their first pages, and turns granule positions into seconds. A
+position holds for the last packet that ends on its page; the others follow from the packets' own durations.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ PACKET = 4096
 PAGE_HEAD = struct.Struct("<4sBBqIIIB")
 CONTINUED, FIRST, LAST = 1, 2, 4
 DEMUX_SCHEMA = (
-    "array<struct<serial: bigint, codec: string, rate: int, pages: int, bad_pages: int, packets: int, lost_packets: int,"
-    " start_s: double, end_s: double, packet_end_s: array<double>, payload: binary>>"
+    "array<struct<serial: bigint, codec: string, rate: int, begins: boolean, ends: boolean, late_pages: int, pages: int, bad_pages: int, packets: int,"
+    " lost_packets: int, start_s: double, end_s: double, packet_end_s: array<double>, payload: binary>>"
 )
 
 
@@ -80,47 +81,107 @@ def mux(payloads: list[bytes], lengths: list[int]) -> list[bytes]:
 
 @dataclass
 class Stream:
+    """One logical stream: ``begins`` and ``ends`` say that pages with the flags of a first and a last one were seen, ``late`` counts pages after the last."""
+
     serial: int
     codec: str = "unknown"
     rate: int = 0
+    channels: int = 1
+    headers: int = 1
+    skip: int = 0
+    begins: bool = False
+    ends: bool = False
+    late: int = 0
     pages: int = 0
     bad_pages: int = 0
     lost_packets: int = 0
-    first: int = -1
-    last: int = -1
+    first: int | None = None
+    last: int | None = None
     sequence: int = -1
     open: list[bytes] | None = None
     packets: list[bytes] = field(default_factory=list)
-    granules: list[int] = field(default_factory=list)
+    granules: list[int | None] = field(default_factory=list)
 
     def row(self) -> dict:
-        """Seconds are null where the codec's rate is unknown; ``payload`` joins the packets after the header packet."""
-        at = (lambda g: g / self.rate if self.rate and g >= 0 else None)
+        """Seconds are null where the codec's rate is unknown; ``payload`` joins the packets after the header packets."""
+        at = (lambda g: max(0, g - self.skip) / self.rate if self.rate and g is not None else None)
         return {
-            "serial": self.serial, "codec": self.codec, "rate": self.rate, "pages": self.pages, "bad_pages": self.bad_pages, "packets": len(self.packets), "lost_packets": self.lost_packets,
-            "start_s": at(self.first), "end_s": at(self.last), "packet_end_s": [at(g) for g in self.granules], "payload": b"".join(self.packets[1:]),
+            "serial": self.serial, "codec": self.codec, "rate": self.rate, "begins": self.begins, "ends": self.ends, "late_pages": self.late, "pages": self.pages, "bad_pages": self.bad_pages, "packets": len(self.packets),
+            "lost_packets": self.lost_packets, "start_s": at(self.first), "end_s": at(self.last), "packet_end_s": [at(g) for g in self.granules], "payload": b"".join(self.packets[self.headers :]),
         }
 
 
 def _header(s: Stream, packet: bytes) -> None:
-    """Codec and rate from the first packet, for the codecs whose granule positions count samples."""
+    """Codec, rate and number of header packets from the first packet, for the codecs whose granule positions count samples."""
     if packet.startswith(SAMPLES) and len(packet) >= 13:
-        s.codec, s.rate = "pcm8", struct.unpack_from("<I", packet, 8)[0]
+        s.codec, s.rate, s.channels = "pcm8", struct.unpack_from("<I", packet, 8)[0], max(1, packet[12])
     elif packet.startswith(NOTE):
         s.codec, s.rate = "note", RATE
-    elif packet.startswith(b"OpusHead"):
-        s.codec, s.rate = "opus", 48000
+    elif packet.startswith(b"OpusHead") and len(packet) >= 12:
+        s.codec, s.rate, s.headers, s.skip = "opus", 48000, 2, struct.unpack_from("<H", packet, 10)[0]
     elif packet.startswith(b"\x01vorbis") and len(packet) >= 16:
-        s.codec, s.rate = "vorbis", struct.unpack_from("<I", packet, 12)[0]
+        s.codec, s.rate, s.headers = "vorbis", struct.unpack_from("<I", packet, 12)[0], 3
     elif packet.startswith(b"\x7fFLAC") and len(packet) >= 30:
-        s.codec, s.rate = "flac", int.from_bytes(packet[27:30], "big") >> 4
+        s.codec, s.rate, s.headers = "flac", int.from_bytes(packet[27:30], "big") >> 4, 1 + int.from_bytes(packet[7:9], "big")
+
+
+def duration(s: Stream, packet: bytes) -> int | None:
+    """Samples that a data packet holds; None where its codec does not tell without its setup."""
+    if s.codec == "pcm8":
+        return len(packet) // s.channels
+    if s.codec == "note":
+        return 0
+    if s.codec == "opus" and packet:
+        mode = packet[0] >> 3
+        # frame lengths in samples at 48 kHz, by the groups of the configuration number
+        frame = (480, 960, 1920, 2880)[mode & 3] if mode < 12 else (480, 960)[mode & 1] if mode < 16 else (120, 240, 480, 960)[mode & 3]
+        count = (1, 2, 2)[packet[0] & 3] if packet[0] & 3 < 3 else packet[1] & 63 if len(packet) > 1 else 0
+        return frame * count
+    if s.codec == "flac" and len(packet) > 5:
+        code = packet[2] >> 4
+        if code in (6, 7):  # the length stands behind the frame number, which is as long as its first byte's leading ones say
+            lead = 8 - (packet[4] ^ 0xFF).bit_length()
+            at = 4 + max(1, lead)
+            return int.from_bytes(packet[at : at + code - 5], "big") + 1
+        return 192 if code == 1 else 576 << (code - 2) if 2 <= code <= 5 else 256 << (code - 8) if code >= 8 else None
+    return None
+
+
+def _place(s: Stream, new: range, granule: int, last: bool) -> None:
+    """Positions of the packets that end on one page, from the position of the last of them.
+
+    On the last page of a stream positions go forward from the page before and stop at the page's own, which may cut
+    the end of a packet off. Where durations are unknown, packets share evenly what the page adds.
+    """
+    data = [i for i in new if i >= s.headers]
+    for i in new:
+        s.granules[i] = granule if i >= s.headers else 0
+    if not data:
+        return
+    long = [duration(s, s.packets[i]) for i in data]
+    if None in long:
+        step = (granule - s.last) / len(data) if s.last is not None and granule >= s.last else None
+        ends = [granule if k + 1 == len(data) else None if step is None else granule - round(step * (len(data) - 1 - k)) for k in range(len(data))]
+        start = s.last if s.last is not None else None if ends[0] is None or len(data) > 1 else 0
+    else:
+        before = granule - sum(long)
+        if last and s.last is not None and before < s.last:
+            before = s.last
+        ends = [min(granule, before + sum(long[: k + 1])) for k in range(len(data))]
+        start = before
+    for i, end in zip(data, ends, strict=True):
+        s.granules[i] = end
+    if s.first is None:
+        s.first = start if start is None else max(0, start)
+    s.last = granule
 
 
 def demux(media: list[bytes]) -> list[list[Stream]]:
     """Logical streams of each physical stream, in order of appearance.
 
     Bytes between pages are skipped. A page with a wrong checksum is left out and counted with its
-    stream; a packet that lacks a part is dropped and counted as lost.
+    stream; a packet that lacks a part is dropped and counted as lost. A page flagged as a first one begins a new
+    stream, though an earlier one had the same serial number (chained streams).
     """
     found: list[tuple[int, tuple, bytes, bytes]] = []
     whole: list[bytes] = []
@@ -136,23 +197,32 @@ def demux(media: list[bytes]) -> list[list[Stream]]:
             found.append((k, head, lacing, data[at + 27 + head[7] : end]))
             whole.append(data[at : at + 22] + bytes(4) + data[at + 26 : end])
             at = data.find(b"OggS", end)
-    streams: list[dict[int, Stream]] = [{} for _ in media]
+    streams: list[list[Stream]] = [[] for _ in media]
+    current: dict[tuple[int, int], Stream] = {}
     for (k, head, lacing, body), crc in zip(found, ogg_crc_many(whole).tolist(), strict=True):
         _, _, kind, granule, serial, sequence, want, _ = head
-        s = streams[k].setdefault(serial, Stream(serial))
+        s = current.get((k, serial))
+        if s is None or (crc == want and kind & FIRST and s.pages):  # a stream that begins again is another one
+            if s is not None:
+                s.lost_packets, s.open = s.lost_packets + (s.open is not None), None
+            s = current[k, serial] = Stream(serial)
+            streams[k].append(s)
         if crc != want:
             s.bad_pages += 1
             continue
         s.pages += 1
+        s.late += s.ends
+        s.begins |= bool(kind & FIRST)
+        s.ends |= bool(kind & LAST)
         gap = s.sequence >= 0 and sequence != s.sequence + 1
         s.sequence = sequence
         if s.open is not None and (gap or not kind & CONTINUED):
             s.open, s.lost_packets = None, s.lost_packets + 1
         skip = bool(kind & CONTINUED) and s.open is None  # the rest of a packet whose start is missing
-        at = done = 0
+        at = 0
         part = s.open or []
         pending = bool(kind & CONTINUED)
-        size = 0
+        size, before = 0, len(s.packets)
         for n in lacing:
             size += n
             pending = True
@@ -162,22 +232,20 @@ def demux(media: list[bytes]) -> list[list[Stream]]:
                     skip, s.lost_packets = False, s.lost_packets + (not gap)
                 else:
                     s.packets.append(b"".join(part))
-                    s.granules.append(-1)
-                    done += 1
+                    s.granules.append(None)
                 at, size, part, pending = at + size, 0, [], False
         s.open = None
         if pending and not skip:
             part.append(body[at : at + size])
             s.open = part
-        if done and granule >= 0:
-            s.granules[-1] = granule  # a position holds for the last packet that ends on the page
-            s.first, s.last = (granule if s.first < 0 else s.first), granule
-        if s.codec == "unknown" and s.packets:
+        if s.codec == "unknown" and not before and s.packets:
             _header(s, s.packets[0])
-    for by_serial in streams:
-        for s in by_serial.values():
+        if len(s.packets) > before and granule >= 0:
+            _place(s, range(before, len(s.packets)), granule, bool(kind & LAST))
+    for group in streams:
+        for s in group:
             s.lost_packets += s.open is not None
-    return [list(x.values()) for x in streams]
+    return streams
 
 
 def mux_column(df: DataFrame, text: str, media: str = "media") -> DataFrame:
@@ -200,8 +268,8 @@ def demux_column(df: DataFrame, media: str, streams: str = "streams") -> DataFra
     Null or empty media, or bytes that hold no page, give an empty array.
     """
     kind = pa.list_(pa.struct([
-        ("serial", pa.int64()), ("codec", pa.string()), ("rate", pa.int32()), ("pages", pa.int32()), ("bad_pages", pa.int32()), ("packets", pa.int32()), ("lost_packets", pa.int32()),
-        ("start_s", pa.float64()), ("end_s", pa.float64()), ("packet_end_s", pa.list_(pa.float64())), ("payload", pa.binary()),
+        ("serial", pa.int64()), ("codec", pa.string()), ("rate", pa.int32()), ("begins", pa.bool_()), ("ends", pa.bool_()), ("late_pages", pa.int32()), ("pages", pa.int32()), ("bad_pages", pa.int32()),
+        ("packets", pa.int32()), ("lost_packets", pa.int32()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("packet_end_s", pa.list_(pa.float64())), ("payload", pa.binary()),
     ]))
 
     def make(data: pa.Array) -> pa.Array:
