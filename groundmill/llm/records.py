@@ -16,12 +16,13 @@ reader can seek to any record without scanning.
 from __future__ import annotations
 
 import functools
+import io
 import os
 import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ _PARTS = re.compile(f" ?[{_LETTERS}]+| ?[0-9]+| ?[!-&(-/:-@\\[-`{{-~]+|\n")
 #: Pieces that one Python worker remembers, and bytes of records that are framed at a time.
 REMEMBERED = 600_000
 FRAMED = 8 << 20
+#: Bytes of text for each shard.
+SHARD = 256 << 20
 
 
 class PieceTokenizer:
@@ -58,7 +61,8 @@ class PieceTokenizer:
     pieces numbered by Arrow; frequent pieces are remembered. Pieces that are new are parted further into
     words and marks and encoded many at a time by a copy of the tokenizer without its pattern, wherever
     the parts are of one character class, which no token leaves; byte lengths of tokens tell whose they
-    are. All other pieces go through the tokenizer as it is.
+    are. All other pieces go through the tokenizer as it is, and so do whole texts that hold the string of one of its
+    added tokens, which it finds before it looks for words.
     """
 
     def __init__(self, path: str) -> None:
@@ -66,12 +70,12 @@ class PieceTokenizer:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.exact = Tokenizer.from_file(path)
-        self.exact.encode_special_tokens = True
         self.width = 2 if self.exact.get_vocab_size() <= 65536 else 4
         self.dtype = np.dtype(f"<u{self.width}")
         self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
         self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        added = [re.escape(t.content) for t in self.exact.get_added_tokens_decoder().values()]
+        self.added = "|".join(added) or None
         vocab = self.plain.get_vocab()
         self.lengths = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
@@ -125,6 +129,8 @@ class PieceTokenizer:
         """(ids of all texts in a row, number of ids of each). No text may be null."""
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         odd = np.array(pc.match_substring_regex(texts, _UNSAFE).to_pylist(), bool)
+        whole = np.array(pc.match_substring_regex(texts, self.added).to_pylist(), bool) if self.added else np.zeros(len(texts), bool)
+        odd |= whole
         split = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
         offsets = split.offsets.to_numpy().astype(np.int64)
         coded = split.values.dictionary_encode()
@@ -134,7 +140,8 @@ class PieceTokenizer:
         pool = [x if n else b"" for n, x in zip(names, self._ids([" " + n for n in names]), strict=True)]
         head = self._ids(firsts)
         for i in np.flatnonzero(odd).tolist():
-            head[i] = b"".join(self._ids(_PIECE.findall(texts[i].as_py())))
+            text = texts[i].as_py()
+            head[i] = np.array(self.exact.encode(text, add_special_tokens=False).ids, self.dtype).tobytes() if whole[i] else b"".join(self._ids(_PIECE.findall(text)))
         code[offsets[:-1]] = len(pool) + np.arange(len(firsts))
         pool += head
         sizes = np.array([len(x) for x in pool], np.int64) // self.width
@@ -158,38 +165,64 @@ def frame(payloads: list[bytes]) -> list[bytes]:
     return [b"".join((h, struct.pack("<I", a), p, struct.pack("<I", b))) for h, a, p, b in zip(heads, head_crc.tolist(), payloads, body_crc.tolist(), strict=True)]
 
 
-def unframe(data: bytes) -> Iterator[list[bytes]]:
-    """Payloads of the records in ``data``, some at a time; raises ValueError where a length or checksum is wrong."""
-    at, heads, bodies, sums, held = 0, [], [], [], 0
-    while at < len(data) or heads:
-        if at < len(data):
-            if at + 16 > len(data):
+def unframe(read: Callable[[int], bytes]) -> Iterator[list[bytes]]:
+    """Payloads of the records that ``read`` gives, some MB at a time; raises ValueError where a length or checksum is wrong.
+
+    ``read`` takes a number of bytes, as a file's method does. A record's length is checked before so much is read,
+    and never more than ``FRAMED`` bytes and the longest record are held.
+    """
+    at, heads, bodies, sums, held, data, ended = 0, [], [], [], 0, b"", False
+
+    def more(want: int) -> bool:
+        nonlocal data, ended
+        parts, n = [data], len(data)
+        while n < want and not ended:
+            new = read(max(FRAMED, want - n))
+            ended = not new
+            parts.append(new)
+            n += len(new)
+        data = b"".join(parts)
+        return n >= want
+
+    def checked() -> list[bytes]:
+        for kind, crcs, k in (("length", masked(crc32c_many(heads)), 0), ("payload", masked(crc32c_many(bodies)), 1)):
+            for crc, x in zip(crcs.tolist(), sums, strict=True):
+                if crc != x[k]:
+                    raise ValueError(f"the {kind} of the record at byte {x[2]} does not match its checksum")
+        return bodies
+
+    place = 0  # of the next record in ``data``
+    while more(1) and (place < len(data) or not ended):
+        if place + 12 > len(data):
+            data, place = data[place:], 0
+            if not more(1):
+                break
+            if not more(12):
                 raise ValueError(f"a record is cut off at byte {at}")
-            (n, head_crc) = struct.unpack_from("<QI", data, at)
-            if at + 16 + n > len(data):
-                # a damaged length must be told from a short file
-                if int(masked(crc32c_many([data[at : at + 8]]))[0]) != head_crc:
-                    raise ValueError(f"the length at byte {at} does not match its checksum")
+        (n, head_crc) = struct.unpack_from("<QI", data, place)
+        if place + 16 + n > len(data):
+            # a damaged length must be told from a short file, and must not ask for memory
+            if int(masked(crc32c_many([data[place : place + 8]]))[0]) != head_crc:
+                raise ValueError(f"the length at byte {at} does not match its checksum")
+            data, place = data[place:], 0
+            if not more(16 + n):
                 raise ValueError(f"a record is cut off at byte {at}")
-            heads.append(data[at : at + 8])
-            bodies.append(data[at + 12 : at + 12 + n])
-            sums.append((head_crc, struct.unpack_from("<I", data, at + 12 + n)[0], at))
-            at += 16 + n
-            held += n
-        if held >= FRAMED or at >= len(data):
-            for kind, crcs, k in (("length", masked(crc32c_many(heads)), 0), ("payload", masked(crc32c_many(bodies)), 1)):
-                for crc, x in zip(crcs.tolist(), sums, strict=True):
-                    if crc != x[k]:
-                        raise ValueError(f"the {kind} of the record at byte {x[2]} does not match its checksum")
-            yield bodies
+        heads.append(data[place : place + 8])
+        bodies.append(data[place + 12 : place + 12 + n])
+        sums.append((head_crc, struct.unpack_from("<I", data, place + 12 + n)[0], at))
+        place, at, held = place + 16 + n, at + 16 + n, held + n
+        if held >= FRAMED:
+            yield checked()
             heads, bodies, sums, held = [], [], [], 0
+    if heads:
+        yield checked()
 
 
 def read_at(path: str, offset: int, size: int) -> tuple[int | None, np.ndarray]:
     """(key, ids) of one record that the index names."""
     fs, name = pafs.FileSystem.from_uri(path)
     with fs.open_input_file(name) as f:
-        (payload,) = next(unframe(f.read_at(size, offset)))
+        (payload,) = next(unframe(io.BytesIO(f.read_at(size, offset)).read))
     return parse(payload)
 
 
@@ -203,7 +236,8 @@ def write_records(df: DataFrame, key: str, text: str, out_dir: str, tokenizer_pa
 
     Null texts count as empty; with ``end_id`` every sequence ends with it, so none is empty. Null keys
     come first and stay null. Rows of equal keys stay rows of their own, in the order of their texts. Other
-    columns are not read. An empty table makes an empty index and no shard.
+    columns are not read. An empty table makes an empty index and no shard. Without ``shards`` there are so many
+    that none takes more than ``SHARD`` bytes of text on average, and as many as shuffles have partitions at least.
 
     Each attempt of a task writes a file of its own and only those of committed tasks enter the index,
     so a lost executor or a second attempt leaves no wrong record behind.
@@ -211,7 +245,10 @@ def write_records(df: DataFrame, key: str, text: str, out_dir: str, tokenizer_pa
     spark = df.sparkSession
     base = out_dir if "://" in out_dir or out_dir.startswith("file:") else f"file://{out_dir}"
     part = df.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    part = part.repartitionByRange(shards or parallelism(spark), "key").sortWithinPartitions("key", "text")
+    if shards is None:
+        size = part.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        shards = max(parallelism(spark), -(-size // SHARD))
+    part = part.repartitionByRange(shards, "key").sortWithinPartitions("key", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, n = tokenizer(tokenizer_path), TaskContext.get().partitionId()
@@ -264,25 +301,24 @@ def read_records(spark: SparkSession, index: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 fs, name = pafs.FileSystem.from_uri(row["shard"])
-                with fs.open_input_file(name) as f:
-                    data = f.readall()
                 start, ordinal = 0, 0
-                for payloads in unframe(data):
-                    keys, sizes, crcs = [], [], []
-                    for p in payloads:
-                        key, ids = parse(p)
-                        keys.append(key)
-                        sizes.append(len(ids))
-                        crcs.append(zlib.crc32(ids.astype("<u4").tobytes()))
-                    n = np.array(sizes, np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(n), row["shard_no"], np.int32)), pa.array(np.arange(ordinal, ordinal + len(n))), pa.array(keys, pa.int64()),
-                            pa.array(start + np.cumsum(n) - n), pa.array(n), pa.array(crcs, pa.int64()),
-                        ],
-                        ["shard_no", "ordinal", "key", "local_start", "n_tokens", "ids_crc32"],
-                    )
-                    start, ordinal = start + int(n.sum()), ordinal + len(n)
+                with fs.open_input_stream(name) as f:
+                    for payloads in unframe(f.read):
+                        keys, sizes, crcs = [], [], []
+                        for p in payloads:
+                            key, ids = parse(p)
+                            keys.append(key)
+                            sizes.append(len(ids))
+                            crcs.append(zlib.crc32(ids.astype("<u4").tobytes()))
+                        n = np.array(sizes, np.int64)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(len(n), row["shard_no"], np.int32)), pa.array(np.arange(ordinal, ordinal + len(n))), pa.array(keys, pa.int64()),
+                                pa.array(start + np.cumsum(n) - n), pa.array(n), pa.array(crcs, pa.int64()),
+                            ],
+                            ["shard_no", "ordinal", "key", "local_start", "n_tokens", "ids_crc32"],
+                        )
+                        start, ordinal = start + int(n.sum()), ordinal + len(n)
                 if ordinal != row["n"]:
                     raise ValueError(f"{row['shard']} holds {ordinal} records, its index {row['n']}")
 

@@ -1,3 +1,4 @@
+import io
 import os
 import random
 import zlib
@@ -20,9 +21,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 def plain_tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def slow_crc(data, poly, reflected):
@@ -49,7 +48,7 @@ def test_checksums_equal_the_bitwise_ones():
 
 def test_pieces_encode_like_whole_texts():
     rng = random.Random(1)
-    texts = ["", " ", "a", " a b  c\n\nd ", "don't stop'll", "x\x1cy", "<|endoftext|> z", "日本 語　x", "foo. bar,\nBaz 12 3a", "²³ e× y", "ﬁ ǅ"]
+    texts = ["", " ", "a", " a b  c\n\nd ", "don't stop'll", "x\x1cy", "<|endoftext|> z", "a  <|endoftext|>  b<|endoftext|>c \n<|endoftext|>", "<| endoftext |>", "日本 語　x", "foo. bar,\nBaz 12 3a", "²³ e× y", "ﬁ ǅ"]
     texts += ["".join(rng.choice("ab é.,'1 \n\t²日\x1c\x85!×_\x0b\xa0") for _ in range(rng.randint(0, 40))) for _ in range(1500)]
     tok, plain = records.PieceTokenizer(PATH), plain_tokenizer()
     for _ in range(2):  # fresh and remembered
@@ -88,9 +87,33 @@ def test_damage_is_found(spark, tmp_path):
         bad = bytearray(whole)
         bad[at] ^= 1
         with pytest.raises(ValueError):
-            list(records.unframe(bytes(bad)))
-    with pytest.raises(ValueError):
-        list(records.unframe(whole[:-1]))
+            list(records.unframe(io.BytesIO(bytes(bad)).read))
+    for n in (1, 5, 20, len(whole) - 4):
+        with pytest.raises(ValueError):
+            list(records.unframe(io.BytesIO(whole[:-n]).read))
+
+
+def test_records_are_read_in_bounded_parts(monkeypatch):
+    """A stream that gives a few bytes at a time, records longer than a part, and no more held than a part and a record."""
+    rng = random.Random(8)
+    payloads = [rng.randbytes(n) for n in (10, 0, 5000, 3, 700, 20_000, 1)] * 3
+    whole = b"".join(records.frame(payloads))
+    monkeypatch.setattr(records, "FRAMED", 1000)
+    for most in (7, 999, 10**6):
+        asked = []
+
+        def read(n, stream=io.BytesIO(whole), most=most, asked=asked):
+            asked.append(n)
+            return stream.read(min(n, most))
+
+        assert [p for some in records.unframe(read) for p in some] == payloads and max(asked) <= 20_016
+    assert list(records.unframe(io.BytesIO(b"").read)) == []
+
+
+def test_shards_follow_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(records, "SHARD", 100)
+    t = spark.createDataFrame([(i, "word " * 20) for i in range(60)], "doc_id long, text string")
+    assert records.write_records(t, "doc_id", "text", str(tmp_path / "a"), PATH).select("shard_no").distinct().count() >= 40
 
 
 def test_ogg_round_trips():
@@ -116,6 +139,53 @@ def test_ogg_damage_and_spanning_packets():
     assert bad.bad_pages == 1 and bad.packets[1:] == [b"tail"]
 
 
+def sealed(pages):
+    for p in pages:
+        p[22:26] = bytes(4)
+        p[22:26] = int(checksums.ogg_crc_many([bytes(p)])[0]).to_bytes(4, "little")
+    return b"".join(map(bytes, pages))
+
+
+def test_every_packet_has_a_time():
+    (main, _) = ogg.demux(ogg.mux([bytes(4096 * 40 + 64)], [1]))[0]
+    assert main.granules == [0, *[4096 * (k + 1) for k in range(40)], 4096 * 40 + 64]
+    assert main.row()["start_s"] == 0.0 and main.begins and main.ends and not main.late
+    # a stream that is cut from a longer one begins at the first packet's start
+    pages = ogg._pages(3, [(ogg.SAMPLES + b"\x40\x1f\0\0\x01", 0), (bytes(800), 8800), (bytes(400), 9200)])
+    (late,) = ogg.demux([sealed(pages)])[0]
+    assert late.granules[1:] == [8800, 9200] and late.row()["start_s"] == 1.0 and late.row()["packet_end_s"][1:] == [1.1, 1.15]
+
+
+def test_times_of_opus_and_flac():
+    head, tags = b"OpusHead\x01\x02" + (312).to_bytes(2, "little") + bytes(7), b"OpusTags"
+    data = [bytes([0b11111_0_00]) + b"x"] * 3 + [bytes([0b11111_0_01]) + b"xy", bytes([0b00001_0_11, 3]) + b"xyz"]  # 20 ms, twice 20 ms, three times 20 ms
+    pages = ogg._pages(5, [(head, 0), (tags, 0)])
+    pages += ogg._pages(5, [(b"", 0), *[(d, 7000) for d in data]])[1:]
+    for n, p in enumerate(pages):
+        p[5], p[18:22] = (ogg.FIRST if n == 0 else 0) | (ogg.LAST if n + 1 == len(pages) else 0), n.to_bytes(4, "little")
+    (s,) = ogg.demux([sealed(pages)])[0]
+    assert s.codec == "opus" and s.granules == [0, 0, 280, 1240, 2200, 4120, 7000]
+    assert s.row()["end_s"] == (7000 - 312) / 48000 and s.row()["payload"] == b"".join(data)
+    flac = ogg.Stream(1, "flac", 44100)
+    assert [ogg.duration(flac, b"\xff\xf8" + bytes([c << 4]) + b"\x00" + n) for c, n in ((1, b"\x05\0"), (4, b"\x05\0"), (12, b"\x05\0"), (6, b"\x05\x0f"), (7, b"\xc2\x80\x01\x00"))] == [192, 2304, 4096, 16, 257]
+
+
+def test_chained_streams_and_flags():
+    one, two = ogg.mux([b"a" * 64, b"a" * 128], [1, 1])
+    pages = ogg._pages(9, [(ogg.SAMPLES + b"\x40\x1f\0\0\x01", 0), (b"x" * 64, 64)])
+    again = ogg._pages(9, [(ogg.SAMPLES + b"\x40\x1f\0\0\x01", 0), (b"y" * 64, 64)])
+    chained = ogg.demux([sealed(pages) + sealed(again)])[0]
+    assert [s.row()["payload"] for s in chained] == [b"x" * 64, b"y" * 64] and [s.serial for s in chained] == [9, 9]
+    assert len(ogg.demux([one + two])[0]) == 4
+    for p in pages:
+        p[5] &= ~(ogg.FIRST | ogg.LAST)
+    (bare,) = ogg.demux([sealed(pages)])[0]
+    assert not bare.begins and not bare.ends
+    pages[0][5] |= ogg.LAST
+    (after,) = ogg.demux([sealed(pages)])[0]
+    assert after.ends and after.late == 1
+
+
 def test_op2_equals_a_loop(spark):
     import hashlib
 
