@@ -54,7 +54,10 @@ def allocate(leaves: DataFrame, levels: list[str], budget: int, weights: dict[st
         nodes = nodes.withColumn("_full", F.col("_rest") * F.col("_w") >= F.col("_cap") * F.col("_open"))
         first = F.min(F.when(~F.col("_full"), F.struct((F.col("_cap") / F.col("_w")).alias("r"), F.col(level).alias("n"), F.col("_rest").alias("rest"), F.col("_open").alias("open")))).over(Window.partitionBy(*above))
         nodes = nodes.withColumn("_first", first)
-        nodes = nodes.withColumn("_share", F.when(F.col("_full"), F.col("_cap")).otherwise(F.expr("(_first.rest * _w) div _first.open")))
+        # of the rest each node takes what its weights and those before it come to, less what those before it took, so that no token is lost
+        nodes = nodes.withColumn("_upto", F.col("_first.open") - F.col("_open") + F.col("_w"))
+        part = F.expr("(_first.rest * _upto) div _first.open - (_first.rest * (_upto - _w)) div _first.open")
+        nodes = nodes.withColumn("_share", F.when(F.col("_full"), F.col("_cap")).otherwise(part))
         shared = shared.join(nodes.select(*here, "_share"), here).withColumn("share", F.col("_share")).drop("_share")
     return shared.drop("cap")
 
@@ -82,13 +85,33 @@ def mixing_plan(docs: DataFrame, key: str, text: str, weights: dict[str, dict[st
     return chosen.where("repeats > 0")
 
 
+def _first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of word ``n``."""
+    parts = F.regexp_extract_all(text, F.lit(r"^[\x20\x09-\x0D]+|[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    led = text.rlike(r"^[\x20\x09-\x0D]").cast("long")
+    return F.regexp_replace(F.array_join(F.slice(parts, F.lit(1), (n + led).cast("int")), ""), r"[\x20\x09-\x0D]+$", "")
+
+
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with each chosen row as often as its epochs say; columns stay as they are.
 
-    Rows that repeat an id, or have none, follow the plan of the most repeated one.
+    In the last epoch of a leaf its last row holds the prefix that the plan takes of it: ``text`` ends after so many
+    words, and a column ``n_chars`` has the prefix's length. Rows that repeat an id, or have none, follow the
+    plan of the most repeated one.
     """
-    plan = cut(mixing_plan(docs, key, text, **options).groupBy("doc_id").agg(F.max("repeats").alias("_repeats")).withColumnRenamed("doc_id", "_id"), "plan")
-    return docs.join(plan, F.col(key).cast("long").eqNullSafe(F.col("_id"))).withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_repeats")))).drop("_epoch", "_repeats", "_id")
+    best = F.max(F.struct("repeats", "taken", "n_tokens"))
+    plan = cut(mixing_plan(docs, key, text, **options).groupBy("doc_id").agg(best.alias("plan")).select("doc_id", "plan.*"), "plan")
+    # a caller's columns travel as one, so that no name of this function can clash with theirs
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"))
+    out = rows.join(plan, F.col("id").eqNullSafe(F.col("doc_id"))).withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("repeats"))))
+    left = F.col("taken") - (F.col("repeats") - 1) * F.col("n_tokens")
+    cut_off = (F.col("epoch") == F.col("repeats")) & (left < F.col("n_tokens"))
+    own = F.col("row").getField(text)
+    short = F.when(cut_off, _first_words(own, left)).otherwise(own)
+    row = F.col("row").withField(f"`{text}`", short)
+    if "n_chars" in docs.columns and text != "n_chars":
+        row = row.withField("n_chars", F.when(cut_off, F.length(short).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars")))
+    return out.select(row.alias("row")).select("row.*")
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +129,8 @@ def _sql_level(i: int) -> str:
 n{i} AS (SELECT {here}, c, {weight} AS w, share AS given FROM (SELECT {here}, sum(supply)::BIGINT * {MAX_EPOCHS} AS c FROM leaves GROUP BY {here}) {parent}),
 m{i} AS (SELECT *, given - sum(c) OVER o + c AS rest, sum(w) OVER ({by}) - sum(w) OVER o + w AS open FROM n{i} WINDOW o AS ({by}ORDER BY c / w, {level} ROWS UNBOUNDED PRECEDING)),
 f{i} AS (SELECT *, rest * w >= c * open AS is_full FROM m{i}),
-l{i} AS (SELECT {here}, CASE WHEN is_full THEN c ELSE (first_value(rest) OVER q * w) // first_value(open) OVER q END AS share FROM f{i} WINDOW q AS ({by}ORDER BY is_full, c / w, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"""
+g{i} AS (SELECT *, first_value(rest) OVER q AS r0, first_value(open) OVER q AS o0 FROM f{i} WINDOW q AS ({by}ORDER BY is_full, c / w, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+l{i} AS (SELECT {here}, CASE WHEN is_full THEN c ELSE (r0 * (o0 - open + w)) // o0 - (r0 * (o0 - open)) // o0 END AS share FROM g{i})"""
 
 
 OP3_SQL = f"""

@@ -24,7 +24,10 @@ def share(budget, nodes):
         total = sum(w for _, w, _ in open_)
         short = [n for n in open_ if left * n[1] >= n[2] * total]
         if not short:
-            return out | {n: left * w // total for n, w, _ in open_}
+            upto = 0
+            for n, w, _ in sorted(open_, key=lambda n: (n[2] / n[1], n[0])):
+                out[n], upto = left * (upto + w) // total - left * upto // total, upto + w
+            return out
         name, _, cap = min(short, key=lambda n: (n[2] / n[1], n[0]))
         out[name] = cap
         left -= cap
@@ -48,6 +51,22 @@ def test_shortages_go_to_siblings_first(spark):
         assert got == want
 
 
+def test_no_token_of_the_budget_is_lost(spark):
+    rng = random.Random(9)
+    leaves = [(f"d{a}", b, f"s{c}", rng.randint(500, 900)) for a in range(4) for b in ("en", "de", "fr") for c in range(5)]
+    t = spark.createDataFrame(leaves, "domain string, lang string, source string, supply long")
+    for budget in (997, 12_345, 30_001):
+        assert mixing.allocate(t, list(mixing.LEVELS), budget, mixing.WEIGHTS, 2).agg(F.sum("share")).first()[0] == budget
+
+
+def test_sums_before_in_several_levels(spark, monkeypatch):
+    from groundmill.llm import ordering
+
+    monkeypatch.setattr(ordering, "LEVEL", 2)
+    monkeypatch.setattr(ordering, "SLICE_ROWS", 4)
+    test_sums_before_equal_a_loop(spark)
+
+
 def test_sums_before_equal_a_loop(spark):
     rng = random.Random(4)
     rows = [(rng.choice("aab"), rng.getrandbits(60), i, rng.randint(1, 9)) for i in range(3000)]
@@ -74,6 +93,30 @@ def test_mix_keeps_columns_and_repeats(spark):
     assert plan.agg(F.sum("taken")).first()[0] <= plan.agg(F.sum("n_tokens")).first()[0] * 4
 
 
+def test_mix_takes_the_prefix_of_its_plan(spark):
+    """Rows come in full but for the last one of a leaf, which ends where the plan says; the text before that stays as it is."""
+    rng = random.Random(2)
+    names = ["id", "plan", "epoch", "repeats", "taken"]
+    rows = [(i, "".join(rng.choice([" ", "\n", "\t "]) + f"w{rng.randrange(99)}" for _ in range(rng.randint(1, 30))), rng.choice(["en", "de"]), f"src{i % 6}", i % 5, *names) for i in range(200)]
+    t = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, id string, plan string, epoch string, repeats string, taken string")
+    plan = {r["doc_id"]: r["taken"] for r in mixing.mixing_plan(t, "doc_id", "text", percent=130).collect()}
+    out, whole = {}, {r[0]: r[1] for r in rows}
+    for r in mixing.mix(t, percent=130).collect():
+        out.setdefault(r["doc_id"], []).append(r)
+    assert set(out) == set(plan)
+    short = 0
+    for i, found in out.items():
+        assert sum(len(r["text"].split()) for r in found) == plan[i]
+        for r in found:
+            assert [r[n] for n in names] == names
+            if r["text"] != whole[i]:
+                short += 1
+                assert whole[i].startswith(r["text"]) and r["n_chars"] == len(r["text"]) and not r["text"][-1].isspace()
+            else:
+                assert r["n_chars"] == i % 5
+    assert 0 < short <= 12
+
+
 def test_prefix_is_of_a_seeded_order(spark):
     rows = [(i, "w " * 10, "en", "src1") for i in range(50)]
     plan = mixing.mixing_plan(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), "doc_id", "text", percent=45)
