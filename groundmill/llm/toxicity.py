@@ -20,6 +20,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +30,8 @@ from .shared import cut, documents, map_column
 
 #: Rows of each label that the grammar is fitted on, at most; the ones with the smallest hashes of their ids.
 SAMPLE = 6_000
-#: Words and families that are learned, at most.
-LEXICON = 2_000
+#: Labelled texts of one label that share so much of their three-word shingles are one observation.
+NEAR = 0.5
 THRESHOLD = 0.3
 #: A family is all words that begin so.
 FAMILY = (4, 5, 6)
@@ -193,35 +194,52 @@ def _features(text: str) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in FAMILY if len(w) > n}
 
 
-def _near_key(text: str) -> int:
-    """Smallest hash of a text's three-word shingles: copies and most near copies share it."""
+def _shingles(text: str) -> set[int]:
     w = text.lower().split()
-    return min((xxhash.xxh3_64_intdigest(" ".join(w[i : i + 3])) for i in range(max(1, len(w) - 2))), default=0) >> 1
+    return {xxhash.xxh3_64_intdigest(" ".join(w[i : i + 3])) >> 1 for i in range(max(1, len(w) - 2))}
+
+
+def _thinned(rows: pd.DataFrame) -> pd.DataFrame:
+    """Rows by ascending id without those that share ``NEAR`` of their shingles with one that stays."""
+    kept, held = [], []
+    for i, text in zip(rows.index, rows["text"], strict=True):
+        own = _shingles(text)
+        if all(len(own & x) < NEAR * len(own | x) for x in held):
+            kept.append(i)
+            held.append(own)
+    return rows.loc[kept, ["toxic", "text"]]
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, sample: int) -> tuple[DataFrame, float]:
-    """(toxic, text) of at most ``sample`` rows a label, one for each set of near copies; and the share of toxic rows."""
+    """(toxic, text) of at most ``sample`` rows a label, one for each set of near copies; and the share of toxic rows.
+
+    Texts whose smallest shingle is the same are compared, and of near copies the one with the smallest id (then
+    the smaller text) stays. Rows that repeat an id are rows of their own here.
+    """
     train = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1) AND crc32(cast(doc_id AS string)) % 4 <> 2").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     train = cut(train, "train")
     counts = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     some = [train.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for t in (0, 1)]
     chosen = some[0].unionByName(some[1]).select(F.col("doc_id").alias("_id"), "toxic")
     # at most 2 * sample rows of two numbers are broadcast
-    rows = docs.select(F.col(key).cast("long").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), "_id").select("toxic", "text")
+    rows = docs.select(F.col(key).cast("long").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), "_id").select("_id", "toxic", "text")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([_near_key(t) for t in b.column(1).to_pylist()], pa.int64())], ["toxic", "text", "near"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([min(_shingles(t)) for t in b.column(2).to_pylist()], pa.int64())], ["id", "toxic", "text", "near"])
 
-    rows = rows.mapInArrow(keyed, "toxic int, text string, near long").dropDuplicates(["toxic", "near"])
-    return cut(rows.select("toxic", "text"), "sample"), counts.get(1, 0) / max(1, sum(counts.values()))
+    rows = rows.mapInArrow(keyed, "id long, toxic int, text string, near long")
+    # the sample bounds each of these groups
+    rows = rows.groupBy("toxic", "near").applyInPandas(lambda g: _thinned(g.sort_values(["id", "text"])), "toxic int, text string")
+    return cut(rows, "sample"), counts.get(1, 0) / max(1, sum(counts.values()))
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> str:
     """Fit the grammar and return it as JSON.
 
     Rows whose id has a crc32 of remainder 2 by 4 are never learned from. Without labelled rows the fixed
-    lists and a prior of one in ten remain. What reaches the driver is bounded by ``sample`` and ``LEXICON``.
+    lists and a prior of one in ten remain. What is learned from, and what reaches the driver of it, is bounded by
+    ``sample`` alone.
     """
     rows, share = labelled_sample(docs, labels, key, text, sample)
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -250,8 +268,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     counts = rows.mapInArrow(counted, "feature string, n1 long, n0 long").groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     odds = F.log((F.col("n1") + 0.5) / (n1 + 1)) - F.log((F.col("n0") + 0.5) / (n0 + 1))
-    good = counts.where((F.col("n1") >= need) & (odds >= PURE) & ((F.col("n0") == 0) | (odds >= SURE))).orderBy(F.desc("n1"), "feature").limit(10 * LEXICON)
-    stats = {r["feature"]: (r["n1"], r["n0"]) for r in good.collect()}
+    good = counts.where((F.col("n1") >= need) & (odds >= PURE) & ((F.col("n0") == 0) | (odds >= SURE)))
+    stats = {r["feature"]: (r["n1"], r["n0"]) for r in sorted(good.collect(), key=lambda r: (-r["n1"], r["feature"]))}
     index = {f: i for i, f in enumerate(stats)}
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +318,7 @@ def _cover(held: list[list[int]], names: list[str], odds: np.ndarray, need: int)
     longer = np.array([len(n) for n in names]) * 0.03
     mass = np.bincount(feature, weights=weight[np.repeat(np.arange(len(held)), [len(h) for h in held])], minlength=len(names))
     picked: list[str] = []
-    while len(picked) < LEXICON:
+    while True:
         best = int(np.argmax(mass * odds * (1 + longer)))
         if mass[best] < need / 2:
             break
