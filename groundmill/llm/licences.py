@@ -89,19 +89,18 @@ OTHERS = [
     "The apache helicopter landed at the base.", "Copyright law is taught in the second year.", "All seats in the hall are reserved for guests.", "You may use the pool without any charge.", "Das Werk wurde mit grosser Sorgfalt erstellt und mit dem Preis bedacht.",
 ]
 STOP = frozenset("the a an of in on to and or is are be by for with at as it this that from was not no any all under you your may can his her he she they we its if".split())
-_WORD = re.compile(r"[a-z0-9]+(?:[.+][0-9a-z]+)*")
+_WORD = re.compile(r"[A-Za-z0-9]+(?:[.+][0-9A-Za-z]+)*")
 CLASSES = ["unknown", *TEMPLATES]
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Words of ASCII letters and digits, A-Z lowered."""
+    return [w.lower() for w in _WORD.findall(text)]
 
 
 def _places(text: str) -> list[tuple[str, int, int]]:
-    """Words with start and end in the text, whose lower case can be longer than itself."""
-    lower = text.lower()
-    at = range(len(text) + 1) if len(lower) == len(text) else [i for i, c in enumerate(text) for _ in c.lower()] + [len(text)]
-    return [(m[0], at[m.start()], at[m.end() - 1] + 1) for m in _WORD.finditer(lower)]
+    """Words with start and end in the text."""
+    return [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
 
 
 def ngrams(words: list[str]) -> Iterator[str]:
@@ -273,12 +272,10 @@ class Scanner:
         for line in text.split("\n"):
             starts.append(at)
             at += len(line) + 1
-        lower = text.lower()
-        if len(lower) != len(text):
-            marked = range(len(starts))
-        else:
-            whole = [e for e, n in self.triggers.iter(lower) if (e < n or not lower[e - n].isalnum()) and not lower[e + 1 : e + 2].isalnum()]
-            marked = sorted({bisect.bisect_right(starts, e) - 1 for e in whole})
+        lower = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # lowers A-Z alone, so that places stay
+        part = lambda c: c.isascii() and c.isalnum()
+        whole = [e for e, n in self.triggers.iter(lower) if (e < n or not part(lower[e - n])) and not part(lower[e + 1 : e + 2])]
+        marked = sorted({bisect.bisect_right(starts, e) - 1 for e in whole})
         for k in marked:
             end = starts[k + 1] - 1 if k + 1 < len(starts) else len(text)
             places = _places(text[starts[k] : end])
