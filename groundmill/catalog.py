@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from groundmill.config import LOW_SIGNAL, SECTION_NAMES, Config
 from groundmill.functions import text as T
 from groundmill.operators import chunks as C
-from groundmill.operators import completion, extensions, grounding, judging, merge, pairs, prompts, snap
+from groundmill.operators import completion, extensions, grounding, judging, merge, pairs, prompts, running, snap
 from groundmill.operators import html as H
 from groundmill.operators import sections as S
 from groundmill.plans import dataset
 from groundmill.plans.inputs import CANDIDATES, FILINGS, candidates, filings, table
-from groundmill.sources import registry
+from groundmill.sources import files, registry, scratch, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -158,11 +158,11 @@ def accepted(spark: SparkSession, sf_dir: str, fuzzy: bool = False) -> DataFrame
 
 
 # --- sources ---------------------------------------------------------------------------------------------------
-@query("SELECT 'n' || upper(n_name) AS ticker, lpad(n_nationkey::VARCHAR, 10, '0') AS cik FROM nation WHERE n_nationkey % 2 = 0")
+@query("SELECT 'n' || upper(n_name) AS ticker, lpad(n_nationkey::VARCHAR, 10, '0') AS cik FROM nation")
 def entity_lookup(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
     index = n.select(F.concat(F.lit("N"), F.upper("n_name")).alias("ticker"), F.col("n_nationkey").alias("cik"), F.col("n_nationkey").alias("pos"))
-    wanted = n.where("n_nationkey % 2 = 0").select(F.concat(F.lit(" n"), F.lower("n_name"), F.lit(" ")).alias("ticker"))
+    wanted = n.select(F.concat(F.lit(" n"), F.lower("n_name"), F.lit(" ")).alias("ticker"))
     return registry.resolve(index, wanted).select(F.concat(F.lit("n"), F.upper(F.substring(F.trim("ticker"), 2, 99))).alias("ticker"), "cik")
 
 
@@ -197,11 +197,11 @@ def decode_fallback(spark, sf_dir):
     return H.decode(d.select("doc_id", F.when(western, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8")).alias("content"))).select("doc_id", "text")
 
 
-@query("SELECT conv_id AS doc_id, turn AS pair_idx, role AS verdict FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY turn) AS n FROM conversations) WHERE n = 1 AND turn % 2 = 0")
+@query("SELECT conv_id AS doc_id, turn AS pair_idx, role AS verdict FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY turn) AS n FROM conversations) WHERE n = 1")
 def replay_join(spark, sf_dir):
     """Requests meet captured responses by their keys; every key has one."""
     c = table(spark, sf_dir, "conversations")
-    asked = c.where("turn % 2 = 0").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("pair_idx"))
+    asked = c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("pair_idx"))
     held = c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("pair_idx"), F.col("role").alias("verdict")).dropDuplicates(["doc_id", "pair_idx"])
     return completion.replay(asked, held, ["doc_id", "pair_idx"])
 
@@ -484,9 +484,14 @@ def passage_gate(spark, sf_dir):
     return grounding.ground(candidates(spark, sf_dir), CFG).select("doc_id", "pair_idx", "token_overlap", "passage_in_chunk")
 
 
-@query(f"WITH {CANDIDATES}, {GROUNDED} SELECT doc_id, pair_idx, array_to_string(missing_numbers, ' ') AS missing_numbers FROM grounded WHERE len(missing_numbers) > 0")
+_COUNTED = "(SELECT * REPLACE (answer || ' of ' || length(answer) || ' and $' || doc_id AS answer) FROM cand)"
+
+
+@query(f"WITH {CANDIDATES.replace('cand AS (', 'cand1 AS (')}, cand AS {_COUNTED.replace('FROM cand', 'FROM cand1')}, {GROUNDED} SELECT doc_id, pair_idx, array_to_string(missing_numbers, ' ') AS missing_numbers FROM grounded WHERE len(missing_numbers) > 0")
 def missing_numbers(spark, sf_dir):
-    found = grounding.missing_numbers(*[F.coalesce(c, F.lit("")) for c in ("answer", "chunk_text", "source_passage")])
+    """Answers that end with their own length and the conversation's number, which hardly any chunk has."""
+    answer = F.concat(F.coalesce("answer", F.lit("")), F.lit(" of "), F.length("answer"), F.lit(" and $"), "doc_id")
+    found = grounding.missing_numbers(answer, *[F.coalesce(c, F.lit("")) for c in ("chunk_text", "source_passage")])
     c = candidates(spark, sf_dir).select("doc_id", "pair_idx", found.alias("missing_numbers"))
     return c.where(F.size("missing_numbers") > 0).withColumn("missing_numbers", F.array_join("missing_numbers", " "))
 
@@ -602,7 +607,7 @@ _RATES = "SELECT (SELECT count(*) FROM kept) AS n_accepted, (SELECT count(*) FRO
 @query(f"WITH {CANDIDATES}, {GROUNDED} {_RATES}")
 def acceptance_rate(spark, sf_dir, fuzzy=False):
     d = decided(spark, sf_dir, fuzzy)
-    s = judging.stats(judging.dedupe(judging.accepted_rows(d), dataset.ORDER), judging.rejected_rows(d))
+    s = judging.stats_of(d, dataset.ORDER)
     return s.select("n_accepted", "n_rejected", "acceptance_rate", "mean_verifier_confidence", "pct_exact_passage_match")
 
 
@@ -623,15 +628,16 @@ def _map_of(column: str) -> str:
 @query(f"WITH {CANDIDATES}, {GROUNDED} SELECT {_map_of('question_type')} AS by_question_type, {_map_of('difficulty')} AS by_difficulty, {_map_of('section_name')} AS by_section")
 def stats_record(spark, sf_dir, fuzzy=False):
     d = decided(spark, sf_dir, fuzzy)
-    s = judging.stats(judging.dedupe(judging.accepted_rows(d), dataset.ORDER), judging.rejected_rows(d))
+    s = judging.stats_of(d, dataset.ORDER)
     text = lambda c: F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
     return s.select(*[text(c).alias(c) for c in ("by_question_type", "by_difficulty", "by_section")])
 
 
 @query(f"WITH {CANDIDATES}, {GROUNDED} SELECT doc_id, pair_idx, sum(accepted::INT) OVER (PARTITION BY section_item ORDER BY doc_id, chunk_ord, pair_idx ROWS UNBOUNDED PRECEDING)::BIGINT AS running FROM decided")
 def running_accepted(spark, sf_dir, fuzzy=False):
-    w = Window.partitionBy("section_item").orderBy(*dataset.ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    return decided(spark, sf_dir, fuzzy).select("doc_id", "pair_idx", F.sum(F.col("accepted").cast("long")).over(w).alias("running"))
+    rows = scratch.cut(decided(spark, sf_dir, fuzzy).select("section_item", *dataset.ORDER, F.col("accepted").cast("long").alias("one")), "decided")
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return running.running_sum(rows, ["section_item"], dataset.ORDER, "one", "running", slices).select("doc_id", "pair_idx", "running")
 
 
 # The same with all quotes aligned and none filtered; SQL cannot express that, so these have no statement.
@@ -684,6 +690,51 @@ def merge_summary(spark, sf_dir):
     return merge.merge_summary(merge.merge_captures(*_captures(spark, sf_dir)))
 
 
+# --- written and read back -------------------------------------------------------------------------------------
+@query(f"WITH {_MERGED} SELECT chunk_id, n::INT AS n_pairs, n::INT AS n_verdicts, len(list_filter(range(0, n), lambda i: i < len(t)))::INT AS supported FROM joined")
+def replay_scan(spark, sf_dir):
+    """Merged captures written as JSON lines and read as captured runs."""
+    path = scratch.fresh_path(spark, "captures")
+    gen, ver = _captures(spark, sf_dir)
+    pair = F.transform("qa_pairs", lambda q: F.struct(q.alias("question"), F.lit("a").alias("answer"), F.lit("s").alias("source_passage"), F.lit("comparison").alias("question_type"), F.lit("easy").alias("difficulty")))
+    sinks.write_captures(merge.merge_captures(gen.withColumn("qa_pairs", pair), ver), path)
+    back = files.read_captures(spark, path)
+    return back.select("chunk_id", F.size("qa_pairs").alias("n_pairs"), F.size("verifications").alias("n_verdicts"), F.size(F.filter("verifications", lambda v: v["verdict"] == "SUPPORTED")).alias("supported"))
+
+
+def _rows(spark, sf_dir) -> DataFrame:
+    c = candidates(spark, sf_dir)
+    return c.select("doc_id", "pair_idx", "question", "source_passage", "verdict", (F.col("pair_idx") % 4 == 0).alias("flag"))
+
+
+_ROWS = f"WITH {CANDIDATES} SELECT doc_id, pair_idx, question, source_passage, verdict, pair_idx % 4 = 0 AS flag FROM cand"
+
+
+@query(_ROWS)
+def csv_readback(spark, sf_dir):
+    path = scratch.fresh_path(spark, "rows-csv")
+    sinks.write_csv(_rows(spark, sf_dir), path)
+    kind = "doc_id long, pair_idx long, question string, source_passage string, verdict string, flag boolean"
+    back = spark.read.schema(kind).csv(path, header=True, multiLine=True, lineSep="\r\n", escape='"')
+    return back.withColumns({c: F.replace(c, F.lit("\r\n"), F.lit("\n")) for c in ("question", "source_passage")})
+
+
+@query(_ROWS)
+def jsonl_readback(spark, sf_dir):
+    path = scratch.fresh_path(spark, "rows-jsonl")
+    sinks.write_jsonl(_rows(spark, sf_dir), path)
+    return files.read_jsonl(spark, path, "doc_id long, pair_idx long, question string, source_passage string, verdict string, flag boolean")
+
+
+@query(f"WITH {CANDIDATES}, {GROUNDED}, one AS ({_RATES}) SELECT n_accepted, n_rejected, acceptance_rate, mean_verifier_confidence, pct_exact_passage_match, 'Any Inc.' AS company FROM one")
+def stats_readback(spark, sf_dir):
+    """The statistics as the JSON document that a run writes, read again."""
+    path = scratch.fresh_path(spark, "stats")
+    sinks.write_record(judging.stats_of(decided(spark, sf_dir), dataset.ORDER), path, {"source": {"company": "Any Inc."}})
+    kind = "source struct<company: string>, n_accepted long, n_rejected long, acceptance_rate double, mean_verifier_confidence double, pct_exact_passage_match double"
+    return spark.read.schema(kind).json(path, multiLine=True).select("n_accepted", "n_rejected", "acceptance_rate", "mean_verifier_confidence", "pct_exact_passage_match", "source.company")
+
+
 # --- beside the core -------------------------------------------------------------------------------------------
 @query(f"WITH {CANDIDATES}, {GROUNDED}, r AS (SELECT *, row_number() OVER (PARTITION BY question_type, difficulty ORDER BY verifier_confidence DESC, doc_id, chunk_ord, pair_idx) AS k FROM kept) SELECT doc_id, pair_idx, question_type, difficulty FROM r WHERE k <= 5")
 def ext_balance(spark, sf_dir):
@@ -702,7 +753,7 @@ def ext_unanimous(spark, sf_dir):
     return extensions.agreed(three.select("doc_id", F.when(((F.col("doc_id") + F.col("k")) % 4 == 0) | (F.col("toxic") == 1), "PARTIAL").otherwise("SUPPORTED").alias("verdict")), ["doc_id"])
 
 
-@query(f"WITH {CANDIDATES}, {GROUNDED} SELECT section_item AS batch, count(*) AS n, count(*) FILTER (accepted) AS n_accepted, avg(confidence) AS mean_confidence, count(DISTINCT question_type) AS n_types FROM decided GROUP BY 1")
+@query(f"WITH {CANDIDATES}, {GROUNDED} SELECT section_item AS batch, count(*) AS n, count(*) FILTER (accepted) AS n_accepted, avg(confidence) AS mean_confidence, quantile_cont(confidence, 0.25) AS confidence_p25, quantile_cont(confidence, 0.5) AS confidence_p50, quantile_cont(confidence, 0.75) AS confidence_p75, count(DISTINCT question_type) AS n_types FROM decided GROUP BY 1")
 def ext_monitor(spark, sf_dir):
     return extensions.monitor(decided(spark, sf_dir).withColumn("batch", F.col("section_item")), "batch")
 
@@ -714,6 +765,13 @@ def ext_cross_check(spark, sf_dir):
     return extensions.cross_checked(n, facts, ["k"]).drop("k")
 
 
+@query("""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), n AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_inner_product(e, e))) AS e FROM v)
+  SELECT a.vec_id AS a, b.vec_id AS b, round(list_inner_product(a.e, b.e), 6) AS cosine FROM n a JOIN n b ON a.vec_id < b.vec_id WHERE list_inner_product(a.e, b.e) >= 0.5""")
+def ext_near_questions(spark, sf_dir):
+    """Pairs of questions whose embeddings are close."""
+    return extensions.near_pairs(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.5).select("a", "b", F.round("cosine", 6).alias("cosine"))
+
+
 # --- flagship --------------------------------------------------------------------------------------------------
 @query(f"""WITH p AS (SELECT doc_id, CASE WHEN {sq_strip("r.cur")} <> '' THEN list_append(r.out, {sq_strip("r.cur")}) ELSE r.out END AS o FROM (SELECT doc_id, {sq_pack_lines("text", 1000)} AS r FROM documents)),
 c AS (SELECT doc_id, unnest(range(0, len(o)))::INT AS chunk_ord, unnest(o) AS t FROM p),

@@ -33,6 +33,21 @@ SECTION_NAMES = {
 }
 #: Sections that hold next to nothing to ask about.
 LOW_SIGNAL = ("1B", "4", "9", "9B", "15", "16")
+#: Names by form and item; of quarterly reports the numbers of both parts, of which the first wins. Other forms keep the titles of their headings.
+FORMS = {
+    "10-K": SECTION_NAMES,
+    "10-Q": {
+        "1": "Financial Statements",
+        "1A": "Risk Factors",
+        "2": "Management's Discussion and Analysis (MD&A)",
+        "3": "Quantitative and Qualitative Disclosures About Market Risk",
+        "4": "Controls and Procedures",
+        "5": "Other Information",
+        "6": "Exhibits",
+    },
+}
+#: Items by form that hold next to nothing to ask about.
+LOW_SIGNAL_BY_FORM = {"10-K": LOW_SIGNAL, "10-Q": ("5", "6")}
 
 
 @dataclass(frozen=True)
@@ -40,13 +55,16 @@ class Config:
     """``from_env`` reads each setting's variable when it is called; numbers that cannot be read keep their default.
 
     ``verify_all`` judges pairs that fail the grounding check too; ``dense_index`` numbers pairs after malformed
-    ones were dropped, which shifts captured verdicts, instead of by their position in the generation.
+    ones were dropped, which shifts captured verdicts, instead of by their position in the generation. Names of
+    settings, variables and defaults are fixed values; ``api_url`` and ``api_key`` are this engine's own.
     """
 
     user_agent: str = field(default="groundmill contact@example.com", metadata={"env": "SEC_USER_AGENT"})
     pause_seconds: float = field(default=0.2, metadata={"env": "SEC_RATE_LIMIT_S"})
     generation_model: str = field(default="generator", metadata={"env": "QA_GEN_MODEL"})
     verification_model: str = field(default="verifier", metadata={"env": "QA_VERIFY_MODEL"})
+    api_url: str = field(default="", metadata={"env": "QA_API_URL"})
+    api_key: str = field(default="", metadata={"env": "QA_API_KEY"}, repr=False)
     max_output_tokens: int = field(default=4096, metadata={"env": "QA_MAX_OUTPUT_TOKENS"})
     temperature: float = field(default=0.4, metadata={"env": "QA_TEMPERATURE"})
     max_chunk_chars: int = field(default=6000, metadata={"env": "QA_MAX_CHUNK_CHARS"})
@@ -55,6 +73,7 @@ class Config:
     questions_per_chunk: int = field(default=5, metadata={"env": "QA_QUESTIONS_PER_CHUNK"})
     target_pairs: int = field(default=120, metadata={"env": "QA_TARGET_PAIRS"})
     max_chunks: int | None = None
+    form: str = "10-K"
     min_passage_overlap: float = field(default=0.6, metadata={"env": "QA_MIN_PASSAGE_OVERLAP"})
     accept_verdicts: tuple[str, ...] = ("SUPPORTED",)
     require_verbatim_source: bool = True
@@ -79,4 +98,5 @@ class Config:
         return cls(**given)
 
     def to_dict(self) -> dict:
-        return asdict(self)
+        """All settings but the key of the server."""
+        return {k: v for k, v in asdict(self).items() if k != "api_key"}

@@ -86,7 +86,7 @@ def chunk_sections(sections: DataFrame, cfg: Config, key: str = "doc_id") -> Dat
 
 def chunk_documents(docs: DataFrame, cfg: Config, key: str = "doc_id", text: str = "text", drop_low_signal: bool = True) -> DataFrame:
     """Texts to chunks: sections, the useful ones, windows."""
-    return chunk_sections(useful_sections(split_sections(docs, key, text), cfg, drop_low_signal), cfg, key)
+    return chunk_sections(useful_sections(split_sections(docs, key, text, cfg.form), cfg, drop_low_signal), cfg, key)
 
 
 def first_chunks(chunks: DataFrame, most: int | None, key: str | None = "doc_id") -> DataFrame:

@@ -75,10 +75,46 @@ def dedupe(pairs: DataFrame, order: list[str], scope: list[str] | None = None) -
 
 def stats(accepted: DataFrame, rejected: DataFrame) -> DataFrame:
     """One row: counts, rates and maps of counts. The rate leaves out duplicates, which are in neither table."""
-    base = accepted.agg(F.count("*").alias("n_accepted"), F.coalesce(F.avg("verifier_confidence"), F.lit(0.0)).alias("m"), F.coalesce(F.sum(F.col("source_verbatim").cast("long")), F.lit(0)).alias("v"))
-    sets = accepted.groupingSets([["question_type"], ["difficulty"], ["section_name"]], "question_type", "difficulty", "section_name").agg(F.count("*").alias("n"), F.grouping_id().alias("g"))
-    named = sets.select(F.when(F.col("g") == 3, "by_question_type").when(F.col("g") == 5, "by_difficulty").otherwise("by_section").alias("kind"), F.coalesce("question_type", "difficulty", "section_name", F.lit("")).alias("name"), "n")
-    maps = named.groupBy().agg(*[F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.struct("name", "n"))))).alias(k) for k in ("by_question_type", "by_difficulty", "by_section")])
-    one = base.join(rejected.agg(F.count("*").alias("n_rejected"))).join(maps)
+    return _record(_cells(accepted.withColumns({"kept": F.lit(True), "lost": F.lit(False)})).unionByName(_cells(_bare(rejected).withColumns({"kept": F.lit(False), "lost": F.lit(True)}))))
+
+
+def stats_of(decided: DataFrame, order: list[str], scope: list[str] | None = None) -> DataFrame:
+    """The row of ``stats`` from all decisions at once, so that they are computed once."""
+    best = [F.desc_nulls_last("confidence"), F.desc_nulls_last("grounding_overlap"), *order]
+    by = [*(scope or []), "question_key"]
+    rows = decided.withColumns({
+        "grounding_overlap": F.when(F.col("source_verbatim"), F.lit(1.0)).otherwise(F.col("token_overlap")),
+        "verifier_confidence": F.col("confidence"), "question_key": question_key(F.col("question")),
+        # rejected pairs meet nothing: each is spread by its own hash
+        "part": F.when(F.col("accepted"), F.pmod(F.xxhash64(*order), F.lit(32))).otherwise(F.xxhash64(*order)),
+    })
+    inside = rows.withColumn("first", F.row_number().over(Window.partitionBy(*by, "accepted", "part").orderBy(*best)))
+    few = inside.withColumn("spread", F.when(F.col("accepted") & (F.col("first") == 1), F.lit(0)).otherwise(F.xxhash64(*order)))
+    ranked = few.withColumn("place", F.row_number().over(Window.partitionBy(*by, "spread", "accepted").orderBy(*best)))
+    return _record(_cells(ranked.withColumns({"kept": F.col("accepted") & (F.col("first") == 1) & (F.col("place") == 1), "lost": ~F.col("accepted")})))
+
+
+def _bare(rejected: DataFrame) -> DataFrame:
+    none = F.lit(None).cast("string")
+    return rejected.select(none.alias("question_type"), none.alias("difficulty"), none.alias("section_name"), F.lit(0.0).alias("verifier_confidence"), F.lit(False).alias("source_verbatim"))
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """Counts of kept and lost pairs by type, difficulty and section: few rows, from which all figures follow."""
+    kept = lambda c: F.sum(F.when(F.col("kept"), c))
+    return rows.groupBy("question_type", "difficulty", "section_name").agg(
+        F.count_if("kept").alias("n"), F.count_if("lost").alias("n_lost"), kept(F.col("verifier_confidence")).alias("m"), kept(F.col("source_verbatim").cast("long")).alias("v")
+    )
+
+
+def _record(cells: DataFrame) -> DataFrame:
+    names = ("question_type", "difficulty", "section_name")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    sets = cells.groupingSets([[], *[[n] for n in names]], *names).agg(total("n").alias("n"), total("n_lost").alias("lost"), F.coalesce(F.sum("m"), F.lit(0.0)).alias("m"), total("v").alias("v"), F.grouping_id().alias("g"))
+    entry = lambda name: F.when(F.col("n") > 0, F.struct(F.coalesce(name, F.lit("")).alias("name"), "n"))
+    maps = [F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col("g") == g, entry(F.col(n)))))).alias(a) for g, n, a in ((3, "question_type", "by_question_type"), (5, "difficulty", "by_difficulty"), (6, "section_name", "by_section"))]
+    whole = lambda c: F.coalesce(F.max(F.when(F.col("g") == 7, F.col(c))), F.lit(0))
+    one = sets.agg(whole("n").alias("n_accepted"), whole("lost").alias("n_rejected"), whole("m").alias("m"), whole("v").alias("v"), *maps)
     rate = F.round(F.col("n_accepted") / F.greatest(F.lit(1), F.col("n_accepted") + F.col("n_rejected")), 3)
-    return one.select("n_accepted", "n_rejected", rate.alias("acceptance_rate"), "by_question_type", "by_difficulty", "by_section", F.round("m", 3).alias("mean_verifier_confidence"), F.round(100 * F.col("v") / F.greatest(F.lit(1), F.col("n_accepted")), 1).alias("pct_exact_passage_match"))
+    mean = F.round(F.col("m") / F.greatest(F.lit(1), F.col("n_accepted")), 3)
+    return one.select("n_accepted", "n_rejected", rate.alias("acceptance_rate"), "by_question_type", "by_difficulty", "by_section", mean.alias("mean_verifier_confidence"), F.round(100 * F.col("v") / F.greatest(F.lit(1), F.col("n_accepted")), 1).alias("pct_exact_passage_match"))

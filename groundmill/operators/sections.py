@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundmill.config import LOW_SIGNAL, SECTION_NAMES, Config
+from groundmill.config import FORMS, LOW_SIGNAL_BY_FORM, Config
 from groundmill.functions.text import SPACE, strip
 
-#: A heading stands on its own line: item number, full stop, a title without a table's bar. The title may be on the next line.
+#: A heading stands on its own line: item number, full stop, a title without a table's bar. The title may be on the next line.
 HEADING = rf"(?im)^Item{SPACE}+(\p{{Nd}}{{1,2}}[A-Z]?){SPACE}*\.{SPACE}+([^\n|]{{2,120}})$"
 FOOTER = rf"(?im)^.*\|{SPACE}*\p{{Nd}}{{4}}{SPACE}+Form{SPACE}+10-K{SPACE}*\|{SPACE}*\p{{Nd}}+{SPACE}*$"
 VOID = r"(?i)\A(?:none|not applicable|\[reserved\])\.?\z"
@@ -21,15 +21,17 @@ def clean_body(c: Column) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(c, UNIX_LINES + FOOTER, ""), "\n{3,}", "\n\n"))
 
 
-def split_sections(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def split_sections(docs: DataFrame, key: str = "doc_id", text: str = "text", form: str = "10-K") -> DataFrame:
     """(key, section_ord, item, name, body), one row per section in document order.
 
+    Items that the report's form names go by that name, others by their title.
+
     What stands before the first heading is dropped. A text without headings is one section "Full Document" with
     an empty item, as it is. A null text has no section.
     """
     heads = F.regexp_extract_all(text, F.lit(UNIX_LINES + HEADING), F.lit(0))
     bodies = F.split(text, UNIX_LINES + HEADING, -1)
-    known = F.create_map(*[F.lit(x) for kv in SECTION_NAMES.items() for x in kv])
+    known = F.create_map(*[F.lit(x) for kv in FORMS.get(form, {"": ""}).items() for x in kv])
     split = docs.select(key, F.col(text).alias("_text"), heads.alias("_heads"), bodies.alias("_bodies")).where("_text IS NOT NULL")
     found = split.where(F.size("_heads") > 0).select(key, F.posexplode(F.arrays_zip("_heads", F.slice("_bodies", 2, F.size("_heads")).alias("_after"))).alias("section_ord", "s"))
     item = F.upper(F.regexp_extract("s._heads", UNIX_LINES + HEADING, 1))
@@ -42,4 +44,5 @@ def split_sections(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def useful_sections(sections: DataFrame, cfg: Config, drop_low_signal: bool = True) -> DataFrame:
     """Without low-signal items, short bodies and bodies that only say that there is nothing."""
     keep = (F.length("body") >= cfg.min_chunk_chars) & ~strip(F.col("body")).rlike(VOID)
-    return sections.where(keep & ~F.col("item").isin(*LOW_SIGNAL)) if drop_low_signal else sections.where(keep)
+    low = LOW_SIGNAL_BY_FORM.get(cfg.form, ())
+    return sections.where(keep & ~F.col("item").isin(*low)) if drop_low_signal and low else sections.where(keep)

@@ -20,6 +20,7 @@ from groundmill.operators.prompts import GENERATION_SYSTEM, VERIFICATION_SYSTEM,
 #: Member names of the two responses, as JSON schemas.
 GENERATION_SCHEMA = {"type": "object", "required": ["qa_pairs"], "properties": {"qa_pairs": {"type": "array", "items": {"type": "object", "required": ["question", "answer", "source_passage", "question_type", "difficulty"], "properties": {k: {"type": "string"} for k in ("question", "answer", "source_passage", "question_type", "difficulty", "rationale")}}}}}
 VERIFICATION_SCHEMA = {"type": "object", "required": ["verdict", "confidence", "reasoning"], "properties": {"verdict": {"type": "string"}, "confidence": {"type": "number"}, "reasoning": {"type": "string"}, "answer_is_correct": {"type": "boolean"}, "passage_supports_answer": {"type": "boolean"}}}
+#: What is known of a report.
 META = ("company", "ticker", "fiscal_year", "accession", "form", "period")
 ORDER = ["doc_id", "chunk_ord", "pair_idx"]
 
@@ -87,3 +88,21 @@ def run_live(chunks: DataFrame, make_client: Callable[[], Client], cache_path: s
     judged = grounded.join(checked_verdicts(verdicts), ORDER, "left")
     judged.write.mode("overwrite").parquet(judged_path)
     return finish(spark.read.parquet(judged_path), cfg)
+
+
+def run_to_target(chunks: DataFrame, make_client: Callable[[], Client], cache_path: str, cfg: Config, judged_path: str) -> Run:
+    """As ``run_live``, but over a growing share of the chunks, until ``cfg.target_pairs`` pairs are accepted or all were asked.
+
+    The share is of an order by the chunks' hashes, so that what was asked before is asked again, which the cache
+    answers. Each round asks for what is missing at the rate of the rounds before, half as much more, and at least
+    doubles the share; so there are few.
+    """
+    total = chunks.count()
+    share = min(1.0, cfg.target_pairs / max(1, total * cfg.questions_per_chunk))
+    drawn = F.pmod(F.xxhash64("doc_id", "chunk_ord"), F.lit(1 << 30)) / float(1 << 30)
+    while True:
+        run = run_live(chunks.where(drawn < share) if share < 1 else chunks, make_client, cache_path, cfg, judged_path)
+        found = run.accepted.count()
+        if found >= cfg.target_pairs or share >= 1:
+            return run
+        share = min(1.0, max(2 * share, 1.5 * share * cfg.target_pairs / max(1, found)))

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import exists
+
 #: Addresses of the public registry.
 TICKERS_URL = "https://www.sec.gov/files/company_tickers.json"
 SUBMISSIONS_URL = "https://data.sec.gov/submissions/CIK{cik}.json"
@@ -110,3 +112,17 @@ def fetch(addresses: DataFrame, get: Callable[[str], bytes], pause: float, tasks
                 yield pa.RecordBatch.from_arrays([pa.array([url]), pa.array([slow(url)], pa.binary())], ["url", "content"])
 
     return addresses.select("url").repartition(tasks).mapInArrow(run, "url string, content binary")
+
+
+def land(addresses: DataFrame, path: str, get: Callable[[str], bytes], pause: float, tasks: int = 1, attempts: int = 4) -> DataFrame:
+    """(url, content) of all ``addresses`` (url) from the landing zone at ``path``; only those that are not there yet are fetched and added.
+
+    Content is kept byte for byte. An address that is asked for twice is fetched once.
+    """
+    spark = addresses.sparkSession
+    kind = "url string, content binary"
+    wanted = addresses.select("url").where("url IS NOT NULL").distinct()
+    missing = wanted.join(spark.read.schema(kind).parquet(path).select("url"), "url", "left_anti") if exists(spark, path) else wanted
+    fetch(missing, get, pause, tasks, attempts).write.mode("append").parquet(path)
+    landed = spark.read.schema(kind).parquet(path)
+    return landed.join(wanted, "url", "left_semi").dropDuplicates(["url"])

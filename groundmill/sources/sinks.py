@@ -11,9 +11,9 @@ from groundmill.operators.judging import dataset_rows, rejected_rows, stats
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
-    """CSV with a header, CRLF line ends, quotes doubled, booleans as True and False, null as empty."""
+    """CSV with a header, CRLF line ends (inside values too), quotes doubled, booleans as True and False, null as empty."""
     named = {c: F.initcap(F.col(c).cast("string")) for c, kind in rows.dtypes if kind == "boolean"}
-    rows.withColumns(named).write.mode("overwrite").csv(path, header=True, lineSep="\r\n", escape='"', emptyValue="", nullValue="")
+    rows.withColumns(named).write.mode("overwrite").csv(path, header=True, lineSep="\r\n", escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_jsonl(rows: DataFrame, path: str) -> None:

@@ -1,14 +1,18 @@
-"""Reports that arrive as files: a stream that chunks each batch and appends it once."""
+"""Reports that arrive as files: streams that chunk each batch, or take it to verified pairs, once."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from groundmill.config import Config
 from groundmill.operators.chunks import chunk_documents
+from groundmill.operators.completion import Client
 from groundmill.operators.html import parse_html
+from groundmill.plans.dataset import run_live, with_meta
 
 PAGE = "page_id long, url string, html string"
 
@@ -27,6 +31,22 @@ def chunk_stream(spark: SparkSession, source: str, out: str, checkpoint: str, cf
     return pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def pairs_stream(spark: SparkSession, source: str, out: str, checkpoint: str, cache_path: str, make_client: Callable[[], Client], cfg: Config, files_per_batch: int = 100) -> StreamingQuery:
+    """Verified pairs from Parquet drops of pages, one folder of decisions per batch.
+
+    Completions go through the cache table by an anti-join, so that a batch that is repeated after a failure, or a
+    page that drops again, calls only what was never answered.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        texts = parse_html(batch).select(F.col("page_id").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+        run = run_live(with_meta(chunk_documents(texts, cfg), {}), make_client, cache_path, cfg, f"{out}/judged/batch={batch_id}")
+        run.decided.write.mode("overwrite").parquet(f"{out}/decided/batch={batch_id}")
+
+    pages = spark.readStream.schema(PAGE).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    return pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def event_rates(events: DataFrame, late: str = "10 minutes", width: str = "5 minutes") -> DataFrame:
     """Counts and sums by window and type over a stream or table with ``ts``; later rows than ``late`` are dropped by a stream."""
     return events.withWatermark("ts", late).groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("v"))
