@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,13 +35,33 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{home(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_copies = threading.local()
+
+
+def mark() -> int:
+    """A point in the row of copies that this thread makes, for ``release``."""
+    _copies.paths = getattr(_copies, "paths", [])
+    return len(_copies.paths)
+
+
+def release(spark: SparkSession, since: int, *keep: DataFrame) -> None:
+    """Remove the copies made since a mark but those of ``keep``; results may read no others."""
+    stay = {df.written for df in keep}
+    for path in _copies.paths[since:]:
+        if path not in stay:
+            remove(spark, path)
+    _copies.paths[since:] = [p for p in _copies.paths[since:] if p in stay]
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and return a reader of that copy.
 
     The copy ends the lineage: losing executors later never recomputes what stands above it, and what reads it more
-    than once does not compute it again. It stays until ``discard`` or ``clean`` is called.
+    than once does not compute it again. It stays until ``discard``, ``release`` or ``clean`` is called.
     """
     path = fresh_path(df.sparkSession, name)
+    mark()
+    _copies.paths.append(path)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written = path
