@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import cut, parallelism
+from .shared import cut, mark, parallelism, release
 
 #: Curves at most, and cells of a curve: dimensions and bits of each.
 CURVES, DIMS, BITS = 28, 16, 3
@@ -39,9 +39,9 @@ SAMPLE = 4096
 
 
 class Vectors(NamedTuple):
-    """``points`` (point, v): different vectors, packed, by their smallest id; ``groups`` (point, ids): ids of equal vectors; ``asked`` (query_id, point)."""
+    """``points`` (point, v), of the copy ``own``: different vectors, packed, by their smallest id; ``groups`` (point, ids): ids of equal vectors; ``asked`` (query_id, point)."""
 
-    points: DataFrame
+    own: DataFrame
     groups: DataFrame
     asked: DataFrame
     rows: int
@@ -49,6 +49,10 @@ class Vectors(NamedTuple):
     kind: str
     norm: float
 
+    @property
+    def points(self) -> DataFrame:
+        return self.own.select("point", "v")
+
 
 class Fit(NamedTuple):
     """``curves`` and ``window`` that are read, the recall on the sample, and the share of rows that a query meets, those met twice counted twice."""
@@ -147,7 +151,7 @@ def prepare(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     own = points.join(groups.select(F.col("point").alias("vec_id"), "f"), ["vec_id", "f"]).groupBy("vec_id").agg(F.first("v").alias("v"), F.first("norm").alias("norm"))
     own = cut(own.withColumnRenamed("vec_id", "point"), "points")
     most = own.agg(F.count("*").alias("n"), F.max("norm").alias("norm")).first()
-    return Vectors(own.select("point", "v"), groups, asked, most["n"], size, kind, most["norm"])
+    return Vectors(own, groups, asked, most["n"], size, kind, most["norm"])
 
 
 def places(vectors: Vectors, curves: int = CURVES) -> DataFrame:
@@ -270,11 +274,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     Rows of a curve are dealt into blocks of ranks and queries into blocks of theirs; a group is one of each that
     lie within the window, so none grows with the table.
     """
-    spark = vectors.sparkSession
+    spark, since = vectors.sparkSession, mark()
     ready = prepare(vectors, queries, key, vector, k)
     if ready is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    placed = places(ready, curves)
+    along = places(ready, curves)
+    placed = along
     used, window = fit(ready, placed, k, recall)[:2]
     kind, size = ready.kind, ready.size
     block = min(MOST, max(FEW, window))
@@ -284,6 +289,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     reach = F.sequence(F.greatest(F.lit(0), F.expr(f"(least - {window}) div {block}")), F.least(F.lit((ready.rows - 1) // block), F.expr(f"(most + {window}) div {block}")))
     cells = calls.groupBy("curve", "call").agg(F.min("place").alias("least"), F.max("place").alias("most"))
     cells = cut(cells.select("curve", "call", F.explode(reach).alias("block")), "cells")
+    release(spark, since, along, cells, ready.groups, ready.asked, ready.own)
     calls = calls.withColumn("block", F.explode(F.sequence(F.greatest(F.lit(0), F.expr(f"(place - {window}) div {block}")), F.least(F.lit((ready.rows - 1) // block), F.expr(f"(place + {window}) div {block}")))))
     rows = rows.join(cells, ["curve", "block"])
     names = ["curve", "block", "call", "place", "point"]

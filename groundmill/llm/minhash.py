@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import cut, documents
+from .shared import cut, documents, mark, release
 
 SLOTS = 1 << 20
 #: A pair at similarity 0.8 misses all bands with a chance of 1.2e-7.
@@ -259,6 +259,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     repeat an id are one document. A null id links like any other row but names no component; where all ids of
     a group are null, ``component_id`` is null and ``kept`` true. Other columns of ``docs`` are not read.
     """
+    since = mark()
     sketch = cut(sketches(docs, key, text, width), "sketches")
     nodes = cut(sketch.where("n_shingles > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "nodes")
     # the node's own row gives its bands; repeated rows of an id give the same node
@@ -284,6 +285,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     components = _merged(components, cut(verified(cut(third, "pairs"), texts, width, percent), "links"))
 
     groups = cut(nodes.join(components.withColumnRenamed("id", "node"), "node", "left").select("f1", "f2", F.coalesce("component", "node").alias("component_id")), "groups")
+    release(docs.sparkSession, since, sketch, groups)
     found = sketch.where("n_shingles > 0").select("doc_id", "n_shingles", "f1", "f2").join(groups, ["f1", "f2"], "left").select("doc_id", "n_shingles", "component_id")
     found = found.unionByName(sketch.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))

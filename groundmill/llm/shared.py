@@ -2,67 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructField, StructType
 
+from groundmill.sources.scratch import cut, discard, fresh_path, mark, release, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where the setting is missing on a local master (tests, one machine) a temporary folder is made and remembered;
-    on a cluster executors would each write to a disk of their own, so that is an error.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = getattr(shared_dir, "own", None) or tempfile.mkdtemp(prefix="spark-groundmill-")
-        shared_dir.own = base
-    return base if "://" in base or base.startswith("file:") else f"file://{base}"
-
-
-def _home(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/groundmill/{spark.sparkContext.applicationId}"
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no earlier run has used."""
-    return f"{_home(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder as Parquet and return a reader of that copy.
-
-    The copy ends the lineage: losing executors later never recomputes what stands above it. It stays until
-    ``discard`` or ``clean`` is called.
-    """
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out.written = path
-    return out
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def discard(*frames: DataFrame) -> None:
-    """Remove the copies that ``cut`` made of ``frames``, which nothing may read any more."""
-    for df in frames:
-        _remove(df.sparkSession, df.written)
-
-
-def clean(spark: SparkSession) -> None:
-    """Remove all copies of this application; results that were not written elsewhere can no longer be read."""
-    _remove(spark, _home(spark))
+__all__ = ["cut", "discard", "documents", "fresh_path", "map_column", "mark", "parallelism", "release", "shared_dir"]
 
 
 def map_column(df: DataFrame, column: str, name: str, kind: str, make: Callable[[pa.Array], pa.Array]) -> DataFrame:
