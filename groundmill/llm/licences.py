@@ -79,6 +79,16 @@ TEMPLATES: dict[str, list[str]] = {
     "CC0": ["To the extent possible under law, the author has waived all copyright and related rights to this work, CC0 1.0 Universal Public Domain Dedication.", "Dedicated to the public domain under CC0 1.0."],
     "Unlicense": ["This is free and unencumbered software released into the public domain.", "Released under the Unlicense."],
     "ISC": ["Released under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "zlib": [
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        "Released under the zlib License.",
+        "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.",
+    ],
+    "Boost": ["Distributed under the Boost Software License, Version 1.0.", "Licensed under the Boost Software License 1.0 (BSL-1.0)."],
+    "EPL": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "Licensed under the Eclipse Public License, version 2.0 (EPL-2.0).",
+    ],
     "Proprietary": ["All rights reserved.", "Copyright by the authors. All rights reserved. No part of this publication may be reproduced without prior written permission.", "Confidential and proprietary. Unauthorized copying of this file is strictly prohibited."],
 }
 #: Other text in which words of licences occur.
@@ -205,6 +215,17 @@ def stretch(family: str, words: list[str]) -> tuple[int, int]:
     return best if best[1] - best[0] > 2 else (0, len(words))
 
 
+def gaps(family: str, words: list[str]) -> list[tuple[int, int]]:
+    """Runs of words that no word pair of the family's templates covers."""
+    known = set().union(*_pairs()[family])
+    covered = [False] * len(words)
+    for i, pair in enumerate(zip(words, words[1:], strict=False)):
+        if pair in known:
+            covered[i] = covered[i + 1] = True
+    edges = [k for k in range(len(words) + 1) if (k < len(words) and not covered[k]) != (k > 0 and not covered[k - 1])]
+    return list(zip(edges[::2], edges[1::2], strict=True))
+
+
 class Scanner:
     def __init__(self, model: tuple) -> None:
         import ahocorasick
@@ -223,7 +244,8 @@ class Scanner:
         """(first word, word after the last, family, probability, shared pairs) of all families in one window.
 
         The stretch that a template of the surest family covers is set apart, and what stands on either side of it
-        is scored by itself, so that no family hides another.
+        is scored by itself, and so is what stands in its gaps, with two words before each, so that no family hides
+        another.
         """
         p = self.chances(words)
         if p is None or 1 - p[0] < MIN_PROBABILITY:
@@ -237,6 +259,12 @@ class Scanner:
         if k and own[k] >= MIN_PROBABILITY:
             part = words if own is p else words[i:j]
             yield at + i, at + j, CLASSES[k], float(own[k]), shared_pairs(CLASSES[k], part)
+            for x, y in gaps(CLASSES[k], words[i:j]):
+                x, y = max(0, i + x - 2), i + y
+                if y - x < len(words):
+                    for found in self.families(words[x:y], at + x):
+                        if found[4] >= MIN_SHARED and found[2] != CLASSES[k]:
+                            yield found
         if j - i < len(words):
             for x, y in ((0, i), (j, len(words))):
                 for found in self.families(words[x:y], at + x):

@@ -222,5 +222,36 @@ def test_single_notices_give_one_row():
             assert [r[3] for r in scanner.scan(x)] == [family], x
 
 
+def test_op5_equals_a_loop_over_all_lines(spark):
+    """Every line of every document scored without the search for trigger words; rows that repeat give their rows again."""
+    scanner = licences.Scanner(licences.trained())
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    docs += [docs[0], (1, "éMIT License. Released under theéMIT License"), (1, "éMIT License. Released under theéMIT License"), (None, "Released under the MIT License.\n\nK\u212a İ Licensed under CC BY 4.0.")]
+    want = []
+    for i, text in docs:
+        at = 0
+        for k, line in enumerate((text or "").split("\n")):
+            places = licences._places(line)
+            for a, b, family, p, shared, sure in scanner.spans([w for w, _, _ in places]):
+                want.append((i, k, at + places[a][1], at + places[b - 1][2], family, round(p, 9), round(shared, 9), sure))
+            at += len(line) + 1
+    t = spark.createDataFrame(docs, "doc_id long, text string")
+    got = [(r["doc_id"], r["paragraph"], r["start"], r["end"], r["family"], round(r["probability"], 9), round(r["shared"], 9), r["confirmed"]) for r in licences.scan_licences(t).collect()]
+    key = lambda r: str(r)
+    assert sorted(got, key=key) == sorted(want, key=key) and {"MIT", "CC-BY"} <= {r[4] for r in got}
+
+
+def test_dual_licences_and_a_line_of_a_megabyte():
+    scanner = licences.Scanner(licences.trained())
+    dual = {r[3] for r in scanner.scan("Dual licensed under the MIT License or the Apache License, Version 2.0.")}
+    assert dual == {"MIT", "Apache"}
+    noise = licences._noise(random.Random(9), 400)
+    text = " ".join([noise] * 400) + " Distributed under the Boost Software License, Version 1.0. " + " ".join([noise] * 400)
+    began = time.monotonic()
+    found = [r for r in scanner.scan(text) if r[6]]
+    assert len(text) > 10**6 and ["Boost Software License" in text[r[1] : r[2]] for r in found if r[3] == "Boost"] == [True]
+    assert time.monotonic() - began < 60
+
+
 def test_licences_of_odd_rows(spark):
     assert licences.scan_licences(odd(spark)).count() == 0 and licences.scan_licences(empty(spark)).count() == 0
