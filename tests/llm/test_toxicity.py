@@ -1,5 +1,7 @@
 import json
+import math
 import random
+import re
 import zlib
 
 from groundmill.llm import toxicity
@@ -71,6 +73,74 @@ def test_without_labels_the_fixed_lists_remain(spark):
     assert toxicity.Grammar(m).score("you idiot") > 0.3 > toxicity.Grammar(m).score("you friend")
 
 
+def by_clauses(m, text):
+    """A score by reading each clause's words from left to right by the rules themselves, without transducers or an index of words."""
+    total, found = 0.0, False
+    for clause in re.split(r"[.;:!?\n]", (text or "").lower()):
+        marks = []  # (kind, negated, reported, place) of insults and threats, and places of targets
+        words = re.findall(r"[^\W\d_]+", clause)
+        negations = [i for i, w in enumerate(words) if w in toxicity.NEGATIONS]
+        said = next((i for i, w in enumerate(words) if w in toxicity.REPORTS), None)
+        insults = {}
+        for i, w in enumerate(words):
+            weight = m["words"].get(w)
+            if weight is None:
+                weight = next((m["families"][w[:n]] for n in sorted({len(f) for f in m["families"]}, reverse=True) if len(w) > n and w[:n] in m["families"]), None)
+            if weight is not None:
+                insults[i] = weight
+        kind = lambda i: "ins" if i in insults else "thr" if words[i] in toxicity.THREATS else "tgt" if words[i] in toxicity.TARGETS else "neg" if words[i] in toxicity.NEGATIONS else "rep" if words[i] in toxicity.REPORTS else ""  # noqa: E731, B023
+        negated = lambda i: any(kind(j) == "neg" and 1 <= i - j <= 3 for j in negations)  # noqa: E731, B023
+        reported = lambda i: any(kind(j) == "rep" for j in range(i))  # noqa: E731, B023
+        pending = None
+        for i in range(len(words)):
+            k = kind(i)
+            if k == "thr":
+                pending = i
+            elif k == "tgt":
+                if pending is not None and i - pending <= 4:
+                    marks.append(("thr", ("n" if negated(pending) else "") + ("r" if reported(pending) else "") + "t", toxicity.SEED_WEIGHT))
+                pending = None
+            elif k == "ins":
+                aimed = any(kind(j) == "tgt" for j in range(max(0, i - 4), i))
+                marks.append(("ins", ("n" if negated(i) else "") + ("r" if reported(i) else "") + ("t" if aimed else ""), insults[i]))
+        total += sum(w * m["factors"][c] for _, c, w in marks)
+        found |= bool(marks)
+    z = m["prior"] + (total if found else m["absent"])
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def test_scores_equal_reading_by_the_rules(spark):
+    """Every document of the smallest tables with the fitted grammar, and random clauses of all kinds of words."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    fitted = toxicity.fit(docs, spark.read.parquet(f"{DATA}/labels.parquet"))
+    m, g = json.loads(fitted), toxicity.grammar(fitted)
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op7_toxicity"](spark, DATA).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert all(abs(got[i] - by_clauses(m, t)) < 1e-9 for i, t in texts.items())
+    rng, m, g = random.Random(6), model(), toxicity.Grammar(model())
+    pool = ["zog", "brakka", "brak", "kill", "you", "not", "said", "idiot", "peace", "a", "the", ".", "!", "über", "zogs", "x1y"]
+    for _ in range(3000):
+        text = " ".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))
+        assert abs(g.score(text) - by_clauses(m, text)) < 1e-9, text
+
+
+def test_near_copies_of_the_sample_are_one_and_the_smallest_id_stays(spark):
+    base = "one two three four five six seven eight nine ten"
+    docs = [(5, base), (3, base), (9, base + " eleven"), (7, "one two three but quite another text than those that stand above here"), (4, base)]
+    labels = [(i, 1, 0 if i == 4 else 1) for i, _ in docs]
+    d, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([x for x in labels if zlib.crc32(str(x[0]).encode()) % 4 != 2], "doc_id long, quality int, toxic int")
+    held = {i for i, _, _ in labels if zlib.crc32(str(i).encode()) % 4 == 2}
+    got = sorted(tuple(r) for r in toxicity.labelled_sample(d, lab, "doc_id", "text", 100)[0].collect())
+    want, kept = [], {0: [], 1: []}
+    shingles = lambda t: {tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)}
+    for i, t in sorted(docs):
+        k = 0 if i == 4 else 1
+        if i not in held and all(len(shingles(t) & shingles(x)) < 0.5 * len(shingles(t) | shingles(x)) for x in kept[k]):
+            kept[k].append(t)
+            want.append((k, t))
+    assert got == sorted(want)
+
+
 def test_odd_rows(spark):
     fitted = json.dumps(model())
     t = toxicity.score_toxicity(odd(spark), fitted)
