@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import cut, documents
+from .shared import cut, documents, mark, release
 
 #: Fixed patterns. A possessive repeat stops where the greedy one would; the look-behind starts a run at its
 #: first character or where the match before ended, so that long runs are read once.
@@ -85,22 +85,29 @@ def _located(kind: str, gaps: Column, values: Column, keep) -> Column:
     return F.when(F.size(values) == 0, empty).otherwise(F.aggregate(F.zip_with(gaps, values, lambda g, v: F.struct(g.alias("g"), v.alias("v"))), start, step, lambda acc: acc["out"]))
 
 
-def _spans(text: Column, kinds: dict[str, str]) -> Column:
-    """Valid matches of all kinds in ``text``, which is not null, by start, then kind."""
-    none = F.expr("cast(array() as array<string>)")
+def _with_spans(rows: DataFrame, kinds: dict[str, str], spans: str) -> DataFrame:
+    """Add ``spans``: valid matches of all kinds in ``text``, which is not null, by start, then kind.
+
+    Matches and what stands between them are columns first, so that each pattern is run once for either.
+    """
+    text, none = F.col("text"), F.expr("cast(array() as array<string>)")
     needs = {"email": F.contains(text, F.lit("@")), "phone": F.contains(text, F.lit("+"))}
-    parts = []
-    for kind, pattern in kinds.items():
-        matches = F.when(needs.get(kind, text.rlike("[0-9]")), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none)
-        # a text has one more gap than matches; the last one is cut off
-        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
-        parts.append(F.when(F.size(matches) > 0, _located(kind, gaps, matches, lambda v, k=kind: _valid(k, v))).otherwise(F.expr(f"cast(array() as {SPAN})")))
-    return F.array_sort(F.flatten(F.array(*parts)))
+    out = rows.withColumns({f"m_{k}": F.when(needs.get(k, text.rlike("[0-9]")), F.regexp_extract_all(text, F.lit(p), F.lit(0))).otherwise(none) for k, p in kinds.items()})
+    # a text has one more gap than matches; the last one is cut off
+    out = out.withColumns({f"g_{k}": F.when(F.size(f"m_{k}") > 0, F.slice(F.split(text, p, -1), 1, F.size(f"m_{k}"))).otherwise(none) for k, p in kinds.items()})
+    found = F.flatten(F.array(*[_located(k, F.col(f"g_{k}"), F.col(f"m_{k}"), lambda v, k=k: _valid(k, v)) for k in kinds]))
+    return out.withColumn(spans, F.array_sort(found)).drop(*[f"{x}_{k}" for k in kinds for x in "mg"])
+
+
+def _packed(docs: DataFrame, text: str) -> DataFrame:
+    """(row, text, lost): a caller's columns travel as one, so that no name of this module can clash with theirs; a null text is empty and ``lost``."""
+    return docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(text).isNull().alias("lost"))
 
 
 def find_entities(docs: DataFrame, text: str, spans: str = "base") -> DataFrame:
     """Add ``spans``: the entities of the base kinds in ``text`` with code point offsets, by start, then kind. A null text has none. A column of that name is replaced."""
-    return docs.withColumn(spans, _spans(F.coalesce(F.col(text), F.lit("")), KINDS))
+    names = [c for c in docs.columns if c != spans]
+    return _with_spans(_packed(docs, text), KINDS, "base").select(*[F.col("row").getField(c).alias(c) for c in names], F.col("base").alias(spans))
 
 
 def _overlap(a: Column, b: Column) -> Column:
@@ -153,24 +160,26 @@ def sanitise(docs: DataFrame, text: str = "text", disclosure: float = DISCLOSURE
     it counts as an empty one. Rows of equal texts have equal spans; ids are not read.
     Columns of the three names are replaced.
     """
-    clean = docs.drop("base", "spans", "sanitised")
-    # a caller's columns travel as one, so that no name of this function can clash with theirs
-    rows = clean.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(text).isNull().alias("lost"))
-    rows = rows.withColumn("copy", F.xxhash64("text"))
-    found = rows.withColumn("base", _spans(F.col("text"), KINDS)).withColumn("secrets", _spans(F.col("text"), {"secret": SECRET}))
+    rows = _packed(docs.drop("base", "spans", "sanitised"), text).withColumn("copy", F.xxhash64("text"))
+    found = _with_spans(_with_spans(rows, KINDS, "base"), {"secret": SECRET}, "secrets")
     found = found.withColumn("entities", F.array_sort(F.concat("base", F.filter("secrets", lambda s: ~F.exists("base", lambda b: _overlap(b, s)))))).drop("secrets")
+    since = mark()
     holders = cut(found.where(F.size("entities") > 0), "holders")
     # texts are parted by their hash and thinned before that, so that a text of very many copies meets as few rows
     texts = rows.groupBy("copy").agg(F.first("text").alias("text"))
     named = F.array_distinct(F.transform("entities", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
     once = holders.select("copy", "text", named.alias("entities")).groupBy("copy").agg(F.first("text").alias("text"), F.first("entities").alias("entities"))
-    told = holders.join(disclosing_terms(texts, cut(once, "once"), disclosure), "copy", "left")
+    terms = disclosing_terms(texts, cut(once, "once"), disclosure)
+    release(docs.sparkSession, since, holders, terms)
+    told = holders.join(terms, "copy", "left")
 
     filled, has = F.col("text"), F.col("terms").isNotNull()
-    words = F.regexp_extract_all(filled, F.lit(WORD), F.lit(0))
+    none = F.expr("cast(array() as array<string>)")
+    told = told.withColumn("words", F.when(has, F.regexp_extract_all(filled, F.lit(WORD), F.lit(0))).otherwise(none))
+    told = told.withColumn("gaps", F.when(has, F.slice(F.split(filled, WORD, -1), 1, F.size("words"))).otherwise(none))
     of = lambda v: F.element_at("terms", F.xxhash64(F.lower(v)))
-    terms = _located("term", F.slice(F.split(filled, WORD, -1), 1, F.size(words)), words, lambda v: F.map_contains_key("terms", F.xxhash64(F.lower(v))))
-    outside = F.filter(terms, lambda t: ~F.exists("entities", lambda e: _overlap(e, t)))
+    told = told.withColumn("told", _located("term", F.col("gaps"), F.col("words"), lambda v: F.map_contains_key("terms", F.xxhash64(F.lower(v)))))
+    outside = F.filter("told", lambda t: ~F.exists("entities", lambda e: _overlap(e, t)))
     told = told.withColumn("spans", F.when(has, F.array_sort(F.concat("entities", outside))).otherwise(F.col("entities")))
     general = lambda v: F.when(of(v) & (F.length(v) > STEM), F.concat(F.substring(F.lower(v), 1, STEM), F.lit("*"))).otherwise("[TERM]")
     label = lambda s: F.when(s["kind"] == "term", general(s["value"])).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
