@@ -7,8 +7,8 @@ cells; queries are placed among them. Ranks along a curve come from a range part
 at the rows within ``window`` ranks on either side, and the best of all curves are merged and ranked again by exact
 inner products.
 
-Which curves are read and how wide the window is follows from a sample of the queries, whose exact neighbours
-are found by comparing them with all rows: the cheapest choice that reaches the wanted recall on it. Where vectors
+How wide the window is, and whether curves of one kind are left out, follows from a sample of the queries, whose
+exact neighbours are found by comparing them with all rows: the cheapest choice that reaches the wanted recall on it. Where vectors
 have structure the window is a matter of how many neighbours lie together and does not grow with the table; where
 they have none, no order of rows narrows the search, and the window grows with it.
 """
@@ -233,8 +233,8 @@ def exact(vectors: Vectors, queries: list[int], k: int) -> DataFrame:
 
 
 def fit(vectors: Vectors, placed: DataFrame, k: int = 20, recall: float = RECALL, tried: int = TRIED) -> Fit:
-    """The cheapest choice of curves and window that finds ``recall`` of the exact neighbours of ``tried`` queries, those with the smallest hashes:
-    curves of one kind or both in turn.
+    """All curves, or those of one kind, and the window that finds ``recall`` of the exact neighbours of ``tried`` queries, those with the
+    smallest hashes; the choice with the fewest rows to meet.
 
     What reaches the driver is bounded by ``tried``, ``k`` and the number of curves.
     """
@@ -253,11 +253,11 @@ def fit(vectors: Vectors, placed: DataFrame, k: int = 20, recall: float = RECALL
     for r in far:
         d[r["curve"], pairs[r["query"], r["point"]]] = r["d"]
     found = []
-    for order in (range(len(d)), range(0, len(d), 2), range(1, len(d), 2)):
-        best = np.minimum.accumulate(d[order], axis=0) if len(order) else d[:0]
-        for c, row in enumerate(best):
-            w = max(1, int(np.quantile(row, recall, method="higher")))
-            found.append(((c + 1) * (2 * w + FEW), list(order)[: c + 1], w, float((row <= w).mean())))
+    for chosen in (range(len(d)), range(0, len(d), 2), range(1, len(d), 2)):
+        if len(chosen):
+            best = d[chosen].min(axis=0)
+            w = max(1, int(np.quantile(best, recall, method="higher")))
+            found.append((len(chosen) * w, list(chosen), w, float((best <= w).mean())))
     _, chosen, w, reached = min(found)
     return Fit(chosen, w, reached, len(chosen) * 2 * w / vectors.rows)
 
