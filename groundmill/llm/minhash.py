@@ -20,7 +20,6 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -227,28 +226,46 @@ def _block_pairs(left: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
     known = sketch.join(left.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("parity").alias("parity"))
     rows = targets.unionByName(queries).join(cut(known, "known"), "doc_id")
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        asks = pdf["asks"].to_numpy()
-        ids, part, n = pdf["doc_id"].to_numpy(), pdf["component"].to_numpy(), pdf["n"].to_numpy()
-        bits = np.frombuffer(b"".join(pdf["parity"]), np.uint64).reshape(len(pdf), -1)
+    rows = rows.select("bucket", "block", "call", "asks", "doc_id", "component", "n", "bands", "parity")
+    rows = rows.repartition("bucket", "block", "call").sortWithinPartitions("bucket", "block", "call")
+
+    def compare(bucket: int, asks: np.ndarray, ids: np.ndarray, part: np.ndarray, n: np.ndarray, bands: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         q, t = np.flatnonzero(asks), np.flatnonzero(~asks)
-        out: list[tuple[np.ndarray, np.ndarray]] = [(ids[:0], ids[:0])]
+        out = [(ids[:0], ids[:0])]
         if len(q) and len(t):
-            bands = np.stack(pdf["bands"].to_numpy())
-            band = int(np.argmax(bands[t[0]] == pdf["bucket"].iloc[0]))
+            band = int(np.argmax(bands[t[0]] == bucket))
             for i in q.tolist():
-                near = (np.minimum(n[t], n[i]) * 100 >= percent * np.maximum(n[t], n[i])) & (part[t] != part[i])
-                pick = t[near]
+                pick = t[(np.minimum(n[t], n[i]) * 100 >= percent * np.maximum(n[t], n[i])) & (part[t] != part[i])]
                 apart = np.bitwise_count(bits[pick] ^ bits[i]).sum(axis=1, dtype=np.int64)
                 both = n[pick] + n[i]
                 # shared members are half of what is left of both sizes, so a link has (both - apart) / (both + apart) in reach
                 pick = pick[100 * (both - apart) >= percent * (both + apart)]
                 pick = pick[(bands[pick, :band] != bands[i, :band]).all(axis=1)]
                 out.append((np.minimum(ids[pick], ids[i]), np.maximum(ids[pick], ids[i])))
-        a, b = (np.concatenate(x) for x in zip(*out, strict=True))
-        return pd.DataFrame({"a": a, "b": b})
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # what the last batch had of a group that may go on
 
-    return rows.groupBy("bucket", "block", "call").applyInPandas(compare, "a long, b long").where("a < b").distinct()
+        def found(columns: list[np.ndarray], edges: list[int]) -> pa.RecordBatch:
+            pairs = [compare(columns[0][i], *[c[i:j] for c in columns[3:]]) for i, j in zip(edges, edges[1:], strict=False)]
+            a, b = (np.concatenate([p[k] for p in pairs] or [np.empty(0, np.int64)]) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+            columns += [batch.column(7).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1), np.frombuffer(b"".join(batch.column(8).to_pylist()), np.uint64).reshape(len(batch), -1)]
+            columns = columns if held is None else [np.concatenate(x) for x in zip(held, columns, strict=True)]
+            new = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1]) | (columns[2][1:] != columns[2][:-1])
+            edges = [0, *(np.flatnonzero(new) + 1).tolist()]
+            yield found(columns, edges)
+            held = [c[edges[-1] :] for c in columns]
+        if held is not None:
+            yield found(held, [0, len(held[0])])
+
+    return rows.mapInArrow(run, "a long, b long").where("a < b").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
