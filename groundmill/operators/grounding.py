@@ -42,28 +42,30 @@ def ground(pairs: DataFrame, cfg: Config) -> DataFrame:
 
 
 def _rarest(words: DataFrame, chunk_words: DataFrame, key: str, most: Column) -> DataFrame:
-    """(key, word) for the ``most`` words of each key that the fewest chunks have; ``words`` is (key, word, n_tokens), ``chunk_words`` (word).
+    """Rows of ``words`` (key, word, ...) for the ``most`` words of each key that the fewest chunks have; ``chunk_words`` is (word).
 
     Words that no chunk has count as the rarest, though they meet nothing.
     """
     seen = chunk_words.join(words.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("df"))
     order = Window.partitionBy(key).orderBy(F.coalesce("df", F.lit(0)), "word")
-    return words.join(seen, "word", "left").withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).select(key, "word")
+    return words.join(seen, "word", "left").withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).drop("df", "place")
 
 
 def overlap_join(passages: DataFrame, chunks: DataFrame, least: float, passage_key: str = "item_id", chunk_key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """(passage_key, chunk_key, shared, n_tokens, keep...) of all passages and chunks (key, text) whose overlap is ``least`` or more.
 
-    Of a passage's n words k must be shared, so one of any n - k + 1 is. Only the rarest so many meet the chunks'
-    words, which keeps common words out of the join; pairs that meet are then compared by all words. Columns of
-    ``chunks`` named in ``keep`` come along.
+    Of a passage's n words k must be shared, so of any n - k + m at least m are. Only the rarest so many meet the
+    chunks' words, with m half of k: that keeps common words out of the join, and of the pairs that meet few have m
+    words in common without being a match. Those are then compared by all words. Columns of ``chunks`` named in
+    ``keep`` come along.
     """
     p = passages.select(passage_key, tokens(F.col("text")).alias("own")).withColumn("n_tokens", F.size("own")).where("n_tokens > 0")
     exploded = p.select(passage_key, "n_tokens", F.explode("own").alias("word"))
     c = chunks.select(chunk_key, F.explode(tokens(F.col("text"))).alias("word"))
     needed = F.greatest(F.lit(1), F.ceil(F.lit(least) * F.col("n_tokens")))
-    first = _rarest(exploded, c.select("word"), passage_key, F.col("n_tokens") - needed + 1)
-    met = c.join(first, "word").select(passage_key, chunk_key).distinct()
+    half = F.ceil(needed / 2)
+    first = _rarest(exploded.withColumn("half", half), c.select("word"), passage_key, F.col("n_tokens") - needed + half)
+    met = c.join(first, "word").groupBy(passage_key, chunk_key, "half").agg(F.count("*").alias("n")).where("n >= half").select(passage_key, chunk_key)
     both = met.join(p, passage_key).join(chunks.select(chunk_key, tokens(F.col("text")).alias("its"), *keep), chunk_key)
     counted = both.withColumn("shared", F.size(F.array_intersect("own", "its")).cast("long"))
     return counted.where((F.col("shared") > 0) & (F.col("shared") >= least * F.col("n_tokens"))).select(passage_key, chunk_key, "n_tokens", "shared", *keep)
