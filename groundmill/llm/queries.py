@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .ann import op9_ann
 from .extraction import op4_extraction
+from .filters import OP11_SQL, op11_filter_audit
+from .leaks import OP12_SQL, op12_decontamination
+from .lexical import OP13_SQL, op13_search
 from .mixing import OP3_SQL, op3_mixing
 from .licences import op5_licences
 from .minhash import OP6_SQL, op6_minhash
@@ -29,10 +32,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_terms": op8_pii_terms,
     "op9_ann": op9_ann,
     "op10_packing": op10_packing,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_decontamination": op12_decontamination,
+    "op13_search": op13_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": OP3_SQL,
     "op6_minhash": OP6_SQL,
     "op8_pii": OP8_SQL,
+    "op11_filter_audit": OP11_SQL,
+    "op12_decontamination": OP12_SQL,
+    "op13_search": OP13_SQL,
 }

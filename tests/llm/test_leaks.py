@@ -1,0 +1,91 @@
+"""Passages against a search at every place, statements and planted cases."""
+
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from groundmill.llm import leaks
+from groundmill.llm.leaks import find_leaks
+
+from ..compare import assert_same
+from ..conftest import DATA
+from .helpers import empty, odd
+
+ITEMS = "item_id string, text string"
+
+
+def words(text):
+    return re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def looped(texts, items, width):
+    """[(n_words, n_hit, items, spans)] by comparing each window at each place."""
+    out = []
+    for text in texts:
+        w, hit, met = words(text), set(), set()
+        for item, body in items:
+            own = words(body)
+            n = min(len(own), width)
+            for k in range(len(own) - n + 1 if n else 0):
+                for at in range(len(w) - n + 1):
+                    if w[at : at + n] == own[k : k + n]:
+                        hit |= set(range(at, at + n))
+                        met |= {item} - {None}
+        places = [m.span() for m in re.finditer(r"[0-9A-Za-z\x80-\U0010ffff]+", text or "")]
+        runs: list[list[int]] = []
+        for i in sorted(hit):
+            if runs and runs[-1][1] == i - 1:
+                runs[-1][1] = i
+            else:
+                runs.append([i, i])
+        out.append((len(w), len(hit), sorted(met), [(places[a][0], places[b][1]) for a, b in runs]))
+    return out
+
+
+CASES = [
+    "", None, "one", "The quick, brown FOX jumps -- over the lazy dog!", "a b c d a b c d a b c d a b c", "éa Éa ÉA über", "x the quick brown fox y quick brown fox jumps over the the lazy dog x", "don't stop", "日本 語 the quick\x00brown|fox",
+    "b c d e f g h", "d d d d d d", "a b", "word " * 3000 + "the quick brown fox " + "word " * 3000,
+]
+QUESTIONS = [("1", "The quick brown fox jumps"), ("10", "over THE lazy"), ("2", "d"), ("3", ""), ("4", None), (None, "éa Éa"), ("2", "b-c-d"), ("5", "a b c d a b c d a b c d e"), ("6", "don t"), ("7", "the quick brown fox"), ("8", "the quick brown fox")]
+
+
+@pytest.mark.parametrize("width", [1, 3, 4, 10])
+@pytest.mark.parametrize("most", [1 << 17, 7])
+def test_every_place(spark, width, most):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(CASES)], "id int, text string")
+    found = find_leaks(docs, spark.createDataFrame(QUESTIONS, ITEMS), width=width, most_words=most).orderBy("id").collect()
+    got = [(r["n_words"], r["n_hit"], r["items"], [tuple(s) for s in r["spans"]]) for r in found]
+    assert got == looped(CASES, QUESTIONS, width)
+    assert [r["contaminated"] for r in found] == [g[1] > 0 for g in got]
+
+
+def test_long_items_are_cut_into_pieces(spark):
+    body = " ".join(f"w{i}" for i in range(10_000))
+    pieces = leaks.pieces_of(spark.createDataFrame([("1", body), ("2", "short"), ("3", None)], ITEMS), "item_id", "text", 10, 512)
+    assert pieces.agg(F.max(F.size("words"))).first()[0] <= 521
+    across = " ".join(f"w{i}" for i in range(506, 520))
+    docs = spark.createDataFrame([(across,), (" ".join(f"w{i}" for i in range(9)),)], "text string")
+    assert [r["n_hit"] for r in find_leaks(docs, spark.createDataFrame([("1", body)], ITEMS)).collect()] == [14, 0]
+
+
+def test_odd_rows_keep_their_columns(spark):
+    docs = odd(spark).withColumn("items", F.lit("old")).withColumn("row", F.lit(7))
+    out = find_leaks(docs, spark.createDataFrame([(1, "same short text here"), (2, "word word")], "item_id long, text string"), width=3)
+    assert out.count() == docs.count() and set(docs.columns) < set(out.columns)
+    assert out.where("contaminated").count() == 4 and out.where("row = 7").count() == docs.count()
+    assert find_leaks(empty(spark), spark.createDataFrame([(1, "a b")], "item_id long, text string")).count() == 0
+    none = find_leaks(docs, spark.createDataFrame([], ITEMS))
+    assert none.where("contaminated OR n_hit > 0 OR size(items) > 0").count() == 0 and none.count() == docs.count()
+
+
+def test_op12_equals_statement_and_loop(spark):
+    got = leaks.op12_decontamination(spark, DATA)
+    assert_same(got, leaks.OP12_SQL, DATA)
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("length(text) < 1500").collect()
+    items = [(str(r["item_id"]), r["text"]) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
+    by_id = {r["doc_id"]: r for r in got.collect()}
+    for d, (n, hit, met, _) in zip(docs, looped([d["text"] for d in docs], items, 10)):
+        r = by_id[d["doc_id"]]
+        assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) == (n, hit, len(met), hashlib.sha256(",".join(met).encode()).hexdigest())
