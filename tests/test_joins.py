@@ -4,8 +4,8 @@ import random
 
 import numpy as np
 
-from groundmill.operators.extensions import near_pairs
 from groundmill.operators.grounding import containing, overlap_join
+from groundmill.operators.near import near_counts, near_links, near_pairs
 
 
 def passages_and_chunks(rng):
@@ -61,3 +61,46 @@ def test_near_pairs_equal_all_pairs(spark):
     for least, block in ((0.97, 2048), (0.6, 16)):
         got = sorted((r["a"], r["b"]) for r in near_pairs(t, "id", "v", least, block).collect())
         assert got == [(a, b) for a in range(300) for b in range(a + 1, 300) if unit[a] @ unit[b] >= least]
+
+
+def test_near_pairs_of_clusters_spare_what_is_far(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(40, 32))[np.arange(3000) % 40] + 0.3 * rng.normal(size=(3000, 32))
+    x[2990:] = x[5]  # copies of one vector
+    t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    cosines = unit @ unit.T
+    met, full = [], []
+    for least in (0.6, 0.9, 0.97):
+        links = near_links(t, "id", "v", least, block=64)
+        want = np.argwhere(np.triu(cosines[:2990, :2990] >= least, 1))
+        assert sorted((r["a"], r["b"]) for r in links.pairs.collect()) == [tuple(p) for p in want.tolist()]
+        r = links.report.first()
+        assert (r["n_rows"], r["n_vectors"], r["n_pairs"]) == (3000, 2990, 2990 * 2989 // 2)
+        assert len(want) <= r["n_full"] <= r["n_met"] <= r["n_pairs"] and r["largest_block"] <= 128
+        met.append(r["n_met"] / r["n_pairs"])
+        full.append(r["n_full"] / r["n_pairs"])
+    assert met[0] > met[1] > met[2] and full[0] >= full[1] >= full[2] and met[2] < 0.2
+    got = {r["id"]: (r["class"], r["n_same"], r["n_links"]) for r in near_counts(t, "id", "v", 0.9, block=64).collect()}
+    assert all(got[i] == (5 if i == 5 or i >= 2990 else i, 10 if i == 5 or i >= 2990 else 0, int((cosines[i] >= 0.9).sum()) - 1) for i in range(3000))
+
+
+def test_near_links_of_a_crowded_cell_stay_bounded(spark):
+    """Very many different vectors in one narrow cone: blocks keep to their size, no link is lost."""
+    rng = np.random.default_rng(8)
+    x = np.ones(16) + 1e-3 * rng.normal(size=(1500, 16))
+    t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    r = near_links(t, "id", "v", 0.9, block=100)
+    assert r.report.first()["largest_block"] <= 200 and r.pairs.count() == 1500 * 1499 // 2
+
+
+def test_near_links_of_odd_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0]), (3, [-0.0, 1.0]), (4, [0.0, 1.0]), (5, []), (6, None), (7, [0.0, 0.0]), (8, [float("nan"), 1.0]), (9, [float("inf"), 1.0]), (10, [1e200, 0.0]), (11, [1e-200, 1e-203]), (None, [1.0, 0.0])]
+    t = spark.createDataFrame(rows, "id long, v array<double>")
+    links = near_links(t, "id", "v", 0.99)
+    assert sorted((r["id"], r["class"]) for r in links.members.collect()) == [(1, 1), (2, 2), (3, 3), (4, 3), (10, 10), (11, 11)]
+    assert sorted((r["a"], r["b"]) for r in links.pairs.collect()) == [(1, 2), (1, 10), (1, 11), (2, 10), (2, 11), (10, 11)]
+    none = near_links(t.where("false"), "id", "v", 0.9)
+    assert none.pairs.count() == 0 and none.members.count() == 0 and none.report.first()["n_pairs"] == 0
+    words = t.selectExpr("CAST(id AS STRING) AS id", "v").where("id IS NOT NULL")
+    assert near_pairs(words, "id", "v", 0.99).where("a < b").count() == 7
