@@ -15,7 +15,7 @@ from groundmill.operators import html as H
 from groundmill.operators import sections as S
 from groundmill.plans import dataset
 from groundmill.plans.inputs import CANDIDATES, FILINGS, candidates, filings, table
-from groundmill.sources import files, registry, scratch, sinks
+from groundmill.sources import fetching, files, registry, scratch, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -189,6 +189,18 @@ def archive_url(spark, sf_dir):
     return o.select("o_orderkey", url.alias("url"), F.substring(F.date_format("o_orderdate", "yyyy-MM-dd"), 1, 4).alias("fiscal_year"))
 
 
+@query("""SELECT o_orderkey, url, length('body of ' || url) AS n_bytes, sha256('body of ' || url) AS digest FROM (
+  SELECT o_orderkey, 'https://www.sec.gov/Archives/edgar/data/' || o_custkey || '/' || replace(o_orderkey || '-24-' || o_custkey, '-', '') || '/doc.htm' AS url FROM orders)""")
+def fetched_reports(spark, sf_dir):
+    """The addresses of ``archive_url`` through the data source for paced fetching, from a stand-in for the archive."""
+    urls = archive_url(spark, sf_dir)
+    path = scratch.cut(urls.select("url").distinct(), "addresses").written
+    fetching.register(spark)
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    got = spark.read.format("paced_fetch").options(addresses=path, get="groundmill.sources.fetching:echo", rate="10000000", tasks=tasks).load()
+    return urls.join(got, "url").select("o_orderkey", "url", F.octet_length("content").cast("long").alias("n_bytes"), F.sha2("content", 256).alias("digest"))
+
+
 @query("SELECT doc_id, text FROM documents")
 def decode_fallback(spark, sf_dir):
     """Bytes as UTF-8, or as Windows-1252 where the text has such characters only, for every second document."""

@@ -12,7 +12,7 @@ from groundmill.operators import completion
 from groundmill.operators.chunks import chunk_documents
 from groundmill.operators.judging import stats, stats_of
 from groundmill.plans import dataset
-from groundmill.sources import registry
+from groundmill.sources import fetching, registry
 from groundmill.streaming.drops import pairs_stream
 
 from . import standin
@@ -130,3 +130,105 @@ def test_running_sum_equals_a_loop(spark):
             want[i] = at[g] = at.get(g, 0) + v
         assert got == want
     assert running_sum(t.where("false"), ["g"], ["d", "i"], "v", "s", 4).agg(F.count("*")).first()[0] == 0
+
+
+# --- paced fetching as a data source ---------------------------------------------------------------------------
+def asked_of_disk(url: str) -> bytes:
+    """A stand-in that notes each request in a file beside the addresses; the word "down" in an address fails until a file says otherwise."""
+    folder, _, name = url.removeprefix("disk:").rpartition("/")
+    with open(f"{folder}/asked", "a") as f:
+        f.write(f"{name}\n")
+    if name.startswith("down") and not os.path.exists(f"{folder}/up"):
+        raise OSError(f"{name} is down")
+    return name.encode() * 3
+
+
+def drop(spark, folder, number, names):
+    spark.createDataFrame([(n if n is None else f"disk:{folder}/{n}",) for n in names], "url string").coalesce(1).write.parquet(f"{folder}/list/drop-{number:04}")
+
+
+def asked(folder):
+    path = folder / "asked"
+    return sorted(path.read_text().split()) if path.exists() else []
+
+
+def source(spark, folder, stream=False, **more):
+    fetching.register(spark)
+    return (spark.readStream if stream else spark.read).format("paced_fetch").options(addresses=str(folder / "list"), get="tests.test_live:asked_of_disk", rate="500", tasks="3", attempts="1", **more).load()
+
+
+def test_fetched_table(spark, tmp_path):
+    drop(spark, tmp_path, 1, ["a", "b", None, "c"])
+    drop(spark, tmp_path, 2, ["d", "a"])
+    rows = [(r["url"] and r["url"].rpartition("/")[2], r["content"] and bytes(r["content"])) for r in source(spark, tmp_path).collect()]
+    assert sorted(rows, key=str) == sorted([(n, n and n.encode() * 3) for n in ("a", "b", None, "c", "d", "a")], key=str)
+    assert asked(tmp_path) == ["a", "a", "b", "c", "d"]
+    assert source(spark, tmp_path).rdd.getNumPartitions() == 3
+
+
+def test_landing_spares_what_was_fetched(spark, tmp_path):
+    drop(spark, tmp_path, 1, ["a", "b", "down1", "c"])
+    landed = dict(landing=str(tmp_path / "landing"))
+    with pytest.raises(Exception, match="down1"):
+        source(spark, tmp_path, **landed).collect()
+    before = asked(tmp_path)
+    (tmp_path / "up").touch()
+    assert source(spark, tmp_path, **landed).count() == 4
+    after = asked(tmp_path)
+    assert {n: after.count(n) for n in "abc"} == {"a": 1, "b": 1, "c": 1} and after.count("down1") == before.count("down1") + 1
+    assert {bytes(r["content"]) for r in source(spark, tmp_path, **landed).collect()} == {b"aaa", b"bbb", b"ccc", b"down1" * 3} and asked(tmp_path) == after
+
+
+def test_a_stream_resumes_without_a_second_fetch(spark, tmp_path):
+    def run():
+        q = source(spark, tmp_path, stream=True, landing=str(tmp_path / "landing")).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        assert q.exception() is None
+
+    drop(spark, tmp_path, 1, ["a", "b"])
+    run()
+    drop(spark, tmp_path, 2, ["c", "down2", "d"])
+    with pytest.raises(Exception, match="down2"):
+        run()
+    (tmp_path / "up").touch()
+    run()
+    drop(spark, tmp_path, 3, ["e", "a"])
+    run()
+    run()
+    got = sorted(r["url"].rpartition("/")[2] for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == ["a", "a", "b", "c", "d", "down2", "e"]
+    assert all(asked(tmp_path).count(n) == 1 for n in "abcde")
+
+
+def test_pace_is_shared_and_never_made_up_for():
+    now, passed = [0.0], []
+
+    def sleep(s):
+        now[0] += s
+
+    paces = [fetching.Pace(10, 4, i, lambda: now[0], sleep) for i in range(4)]
+    for p in paces * 5:
+        p.wait()
+        passed.append(now[0])
+    assert all(b - a >= 0.1 - 1e-9 for a, b in zip(passed, passed[1:])) and passed[-1] == pytest.approx(1.9)
+    now[0] = 60.0
+    late = fetching.Pace(10, 4, 0, lambda: now[0], sleep)
+    late.wait()
+    now[0] += 30
+    late.wait()
+    late.wait()
+    assert now[0] == pytest.approx(90.4)
+
+
+def test_ranges_cut_all_rows_once(spark, tmp_path):
+    drop(spark, tmp_path, 1, [str(i) for i in range(7)])
+    drop(spark, tmp_path, 2, [])
+    drop(spark, tmp_path, 3, [str(i) for i in range(7, 20)])
+    folder = str(tmp_path / "list")
+    for tasks in (1, 3, 50):
+        cut = fetching.ranges(folder, fetching.address_files(folder), tasks)
+        each = [[u.rpartition("/")[2] for part in r.parts for u in fetching.rows_between(folder, *part)] for r in cut]
+        assert [x for e in each for x in e] == [str(i) for i in range(20)] and max(map(len, each)) - min(map(len, each)) <= 1
+    assert fetching.ranges(folder, [], 4) == [] and fetching.address_files(str(tmp_path / "none")) == []
+    with pytest.raises(Exception, match="get"):
+        fetching._Table({"addresses": folder})
