@@ -16,6 +16,7 @@ from groundmill.operators import sections as S
 from groundmill.plans import dataset
 from groundmill.plans.inputs import CANDIDATES, FILINGS, candidates, filings, table
 from groundmill.sources import fetching, files, registry, scratch, sinks
+from groundmill.streaming import keyed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -583,6 +584,18 @@ def dedupe_best(spark, sf_dir, fuzzy=False):
     return judging.ranked_duplicates(accepted(spark, sf_dir, fuzzy), dataset.ORDER).where("keep_rank = 1").select("doc_id", "pair_idx", "question_key")
 
 
+@query(f"WITH {CANDIDATES}, {GROUNDED} SELECT doc_id, pair_idx, question_key, verifier_confidence FROM kept")
+def stream_dedupe(spark, sf_dir):
+    """Decisions that arrive in two drops, deduplicated by state that the stream keeps between batches."""
+    rows = decided(spark, sf_dir).select(*dataset.ORDER, "chunk_id", "question", "final_passage", "question_type", "confidence", "token_overlap", "source_verbatim", "accepted")
+    home = scratch.fresh_path(spark, "decision-drops")
+    for drop in (0, 1):
+        rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == drop).write.parquet(f"{home}/in/drop={drop}")
+    parts = len(spark.read.option("recursiveFileLookup", "true").parquet(f"{home}/in").inputFiles())
+    keyed.dedupe_stream(spark, f"{home}/in", rows.schema, f"{home}/out", f"{home}/state", dataset.ORDER, files_per_batch=max(1, parts // 2)).awaitTermination()
+    return keyed.latest(spark.read.parquet(f"{home}/out")).select("doc_id", "pair_idx", "question_key", "verifier_confidence")
+
+
 @query(f"WITH {CANDIDATES}, {GROUNDED}, r AS (SELECT *, row_number() OVER (PARTITION BY section_item, question_key ORDER BY verifier_confidence DESC, grounding_overlap DESC, doc_id, chunk_ord, pair_idx) AS k FROM accepted) SELECT doc_id, pair_idx FROM r WHERE k = 1")
 def dedupe_scoped(spark, sf_dir, fuzzy=False):
     return judging.dedupe(accepted(spark, sf_dir, fuzzy), dataset.ORDER, ["section_item"]).select("doc_id", "pair_idx")
