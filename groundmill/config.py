@@ -56,7 +56,8 @@ class Config:
 
     ``verify_all`` judges pairs that fail the grounding check too; ``dense_index`` numbers pairs after malformed
     ones were dropped, which shifts captured verdicts, instead of by their position in the generation. Names of
-    settings, variables and defaults are fixed values; ``api_url`` and ``api_key`` are this engine's own.
+    settings, variables and defaults are fixed values; ``api_url``, ``api_key`` and the limits of requests
+    (``completion.Limits``) are this engine's own.
     """
 
     user_agent: str = field(default="groundmill contact@example.com", metadata={"env": "SEC_USER_AGENT"})
@@ -65,6 +66,9 @@ class Config:
     verification_model: str = field(default="verifier", metadata={"env": "QA_VERIFY_MODEL"})
     api_url: str = field(default="", metadata={"env": "QA_API_URL"})
     api_key: str = field(default="", metadata={"env": "QA_API_KEY"}, repr=False)
+    requests_in_flight: int = field(default=8, metadata={"env": "QA_REQUESTS_IN_FLIGHT"})
+    tokens_per_minute: int = field(default=0, metadata={"env": "QA_TOKENS_PER_MINUTE"})
+    completion_tasks: int = field(default=0, metadata={"env": "QA_COMPLETION_TASKS"})
     max_output_tokens: int = field(default=4096, metadata={"env": "QA_MAX_OUTPUT_TOKENS"})
     temperature: float = field(default=0.4, metadata={"env": "QA_TEMPERATURE"})
     max_chunk_chars: int = field(default=6000, metadata={"env": "QA_MAX_CHUNK_CHARS"})

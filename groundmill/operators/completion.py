@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import functools
 import importlib
+import itertools
 import json
+import threading
 import time
 import urllib.request
-from collections.abc import Callable, Iterator
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
+from dataclasses import dataclass
 from typing import Protocol
 
 import pyarrow as pa
@@ -20,6 +25,10 @@ from groundmill.sources.scratch import exists
 from .prompts import cache_key
 
 
+#: Answers that a task hands over at once.
+ANSWERS = 64
+
+
 class CompletionError(RuntimeError):
     """A response is missing or is not what the schema asks for."""
 
@@ -77,17 +86,90 @@ def client_factory(cfg: Config, name: str | None = None) -> Callable[[], Client]
     return functools.partial(HttpClient, cfg.api_url, cfg.api_key, cfg.max_output_tokens, cfg.temperature)
 
 
-def complete(requests: DataFrame, make_client: Callable[[], Client], schema: dict) -> DataFrame:
-    """(key, response) for requests (key, model, system, user); each task makes one client. Responses are JSON text."""
+@dataclass(frozen=True)
+class Limits:
+    """How requests go out: ``in_flight`` at once from a task; ``tokens_per_minute`` over all ``tasks`` together, 0 for any number.
+
+    A budget of tokens needs the number of tasks, since each keeps to its share. With ``tasks`` 0 requests stay in the
+    partitions that they come in.
+    """
+
+    in_flight: int = 1
+    tokens_per_minute: int = 0
+    tasks: int = 0
+
+    def __post_init__(self) -> None:
+        if self.in_flight < 1 or self.tasks < 0 or self.tokens_per_minute < 0:
+            raise ValueError("a request at a time at least; tasks and tokens are not negative")
+        if self.tokens_per_minute and not self.tasks:
+            raise ValueError("a budget of tokens is shared among a known number of tasks")
+
+
+class TokenBudget:
+    """Lets requests pass so that their tokens keep to a rate: each waits until those before it are paid for. Any thread may wait."""
+
+    def __init__(self, per_second: float, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> None:
+        self.per_second, self.clock, self.sleep, self.paid, self.lock = per_second, clock, sleep, clock(), threading.Lock()
+
+    def wait(self, tokens: float) -> None:
+        with self.lock:
+            now = self.clock()
+            start = max(now, self.paid)
+            self.paid = start + tokens / self.per_second
+        if start > now:
+            self.sleep(start - now)
+
+
+def estimated_tokens(request: dict, max_output: int) -> int:
+    """Four characters a token, and all that the answer may be."""
+    return sum(max(1, len(request[c] or "") // 4) for c in ("system", "user")) + max_output
+
+
+def in_order(rows: Iterable, work: Callable, in_flight: int) -> Iterator:
+    """``work`` of each row, in the order of the rows, with ``in_flight`` of them under way at most.
+
+    Rows are drawn when there is room, so that neither requests nor answers pile up behind a slow one. The first
+    failure is raised in its turn; what was not begun by then is not.
+    """
+    if in_flight == 1:
+        yield from map(work, rows)
+        return
+    under_way: deque[Future] = deque()
+    pool = ThreadPoolExecutor(in_flight)
+    try:
+        for row in rows:
+            if len(under_way) == in_flight:
+                yield under_way.popleft().result()
+            under_way.append(pool.submit(work, row))
+        while under_way:
+            yield under_way.popleft().result()
+    finally:
+        pool.shutdown(wait=True, cancel_futures=True)
+
+
+def complete(requests: DataFrame, make_client: Callable[[], Client], schema: dict, limits: Limits = Limits(), max_output_tokens: int = 4096) -> DataFrame:
+    """(key, response) for requests (key, model, system, user), in the order of a task's requests; each thread of a task makes one client. Responses are JSON text."""
+    rows = requests.select("key", "model", "system", "user")
+    if limits.tasks:
+        rows = rows.repartition(limits.tasks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        client = make_client()
-        for b in batches:
-            rows = b.to_pylist()
-            out = [json.dumps(client.complete_json(model=r["model"], system=r["system"], user=r["user"], schema=schema, key=r["key"]), ensure_ascii=False) for r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array([r["key"] for r in rows], pa.string()), pa.array(out, pa.string())], ["key", "response"])
+        own = threading.local()
+        budget = TokenBudget(limits.tokens_per_minute / 60 / limits.tasks) if limits.tokens_per_minute else None
+
+        def ask(r: dict) -> tuple[str, str]:
+            if not hasattr(own, "client"):
+                own.client = make_client()
+            if budget:
+                budget.wait(estimated_tokens(r, max_output_tokens))
+            answer = own.client.complete_json(model=r["model"], system=r["system"], user=r["user"], schema=schema, key=r["key"])
+            return r["key"], json.dumps(answer, ensure_ascii=False)
+
+        answered = in_order((r for b in batches for r in b.to_pylist()), ask, limits.in_flight)
+        while some := list(itertools.islice(answered, ANSWERS)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*some)], ["key", "response"])
 
-    return requests.select("key", "model", "system", "user").mapInArrow(run, "key string, response string")
+    return rows.mapInArrow(run, "key string, response string")
 
 
 def with_hash(requests: DataFrame) -> DataFrame:
@@ -99,7 +181,7 @@ def cache_misses(requests: DataFrame, cache: DataFrame) -> DataFrame:
     return with_hash(requests).join(cache.select("hash"), "hash", "left_anti").dropDuplicates(["hash"])
 
 
-def complete_cached(requests: DataFrame, cache_path: str, make_client: Callable[[], Client], schema: dict) -> DataFrame:
+def complete_cached(requests: DataFrame, cache_path: str, make_client: Callable[[], Client], schema: dict, limits: Limits = Limits(), max_output_tokens: int = 4096) -> DataFrame:
     """Responses from the cache table; misses are called, appended and then read like the others.
 
     A run that is repeated calls only what its earlier attempts did not write. Two runs that share a table may both
@@ -109,7 +191,7 @@ def complete_cached(requests: DataFrame, cache_path: str, make_client: Callable[
     kind = "hash string, response string"
     held = lambda: spark.read.schema(kind).parquet(cache_path) if exists(spark, cache_path) else spark.createDataFrame([], kind)
     misses = cache_misses(requests, held())
-    called = complete(misses.withColumn("key", F.col("hash")), make_client, schema).withColumnRenamed("key", "hash")
+    called = complete(misses.withColumn("key", F.col("hash")), make_client, schema, limits, max_output_tokens).withColumnRenamed("key", "hash")
     called.write.mode("append").parquet(cache_path)
     cache = held().groupBy("hash").agg(F.min("response").alias("response"))
     return with_hash(requests).join(cache, "hash").select("key", "response")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from groundmill.config import Config
 from groundmill.operators.chunks import chunk_documents, first_chunks
-from groundmill.operators.completion import Client, complete_cached, replay
+from groundmill.operators.completion import Client, Limits, complete_cached, replay
 from groundmill.operators.grounding import ground
 from groundmill.operators.html import decode, parse_html
 from groundmill.operators.judging import accepted_rows, decide, dedupe, rejected_rows
@@ -72,10 +72,11 @@ def run_live(chunks: DataFrame, make_client: Callable[[], Client], cache_path: s
     without a verdict.
     """
     spark = chunks.sparkSession
+    limits = Limits(cfg.requests_in_flight, cfg.tokens_per_minute, cfg.completion_tasks)
     key = F.concat_ws("::", F.lit("gen"), "doc_id", "chunk_ord")
     prompt = generation_prompt(*[F.col(c) for c in ("company", "ticker", "form", "fiscal_year", "period", "section_item", "section_name", "text")], cfg.questions_per_chunk)
     asked = chunks.select("doc_id", "chunk_ord", key.alias("key"), F.lit(cfg.generation_model).alias("model"), F.lit(GENERATION_SYSTEM).alias("system"), prompt.alias("user"))
-    generated = complete_cached(asked, f"{cache_path}/generation", make_client, GENERATION_SCHEMA)
+    generated = complete_cached(asked, f"{cache_path}/generation", make_client, GENERATION_SCHEMA, limits, cfg.max_output_tokens)
     raw = asked.select("doc_id", "chunk_ord", "key").join(generated, "key").drop("key")
     pairs = index_pairs(explode_pairs(raw), ["doc_id", "chunk_ord"], cfg.dense_index).join(_texts(chunks), ["doc_id", "chunk_ord"])
     grounded = ground(pairs, cfg)
@@ -83,7 +84,7 @@ def run_live(chunks: DataFrame, make_client: Callable[[], Client], cache_path: s
     key = F.concat_ws("::", F.lit("verify"), *ORDER)
     prompt = verification_prompt(*[F.col(c) for c in ("question", "answer", "question_type", "source_passage", "chunk_text")])
     asked = worth.select(*ORDER, key.alias("key"), F.lit(cfg.verification_model).alias("model"), F.lit(VERIFICATION_SYSTEM).alias("system"), prompt.alias("user"))
-    answers = complete_cached(asked, f"{cache_path}/verification", make_client, VERIFICATION_SCHEMA)
+    answers = complete_cached(asked, f"{cache_path}/verification", make_client, VERIFICATION_SCHEMA, limits, cfg.max_output_tokens)
     verdicts = asked.select(*ORDER, "key").join(answers, "key").select(*ORDER, F.from_json("response", "verdict string, confidence double, reasoning string").alias("v")).select(*ORDER, "v.*")
     judged = grounded.join(checked_verdicts(verdicts), ORDER, "left")
     judged.write.mode("overwrite").parquet(judged_path)
