@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from groundmill.config import LOW_SIGNAL, SECTION_NAMES, Config
 from groundmill.functions import text as T
 from groundmill.operators import chunks as C
-from groundmill.operators import completion, extensions, grounding, judging, merge, near, pairs, prompts, running, snap
+from groundmill.operators import completion, extensions, grounding, jobs, judging, merge, monitoring, near, pairs, prompts, running, snap
 from groundmill.operators import html as H
 from groundmill.operators import sections as S
 from groundmill.plans import dataset
@@ -219,6 +219,29 @@ def replay_join(spark, sf_dir):
     return completion.replay(asked, held, ["doc_id", "pair_idx"])
 
 
+_ASKED = "SELECT conv_id || ':' || turn AS key, length(text)::BIGINT AS asked FROM (SELECT conv_id, turn, min(text) AS text FROM conversations WHERE role = 'user' GROUP BY ALL)"
+
+
+def _turn_requests(spark, sf_dir) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").where("role = 'user'").groupBy("conv_id", "turn").agg(F.min("text").alias("user"))
+    return turns.select(F.concat_ws(":", "conv_id", "turn").alias("key"), F.lit("m").alias("model"), F.lit("s").alias("system"), "user")
+
+
+@query(_ASKED)
+def answers_in_flight(spark, sf_dir):
+    """Answers of a stand-in to all user turns, several requests under way in each task, under a budget of tokens."""
+    limits = completion.Limits(in_flight=8, tokens_per_minute=1 << 50, tasks=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    got = completion.complete(_turn_requests(spark, sf_dir), completion.EchoClient, {}, limits)
+    return got.select("key", F.get_json_object("response", "$.asked").cast("long").alias("asked"))
+
+
+@query(_ASKED)
+def answers_by_jobs(spark, sf_dir):
+    """The same by jobs of a hundred requests that are submitted, asked after and collected."""
+    got = jobs.complete_by_jobs(_turn_requests(spark, sf_dir), scratch.fresh_path(spark, "jobs"), jobs.EchoJobs, {}, size=100, wait=0)
+    return got.select("key", F.get_json_object("response", "$.asked").cast("long").alias("asked"))
+
+
 # --- HTML ------------------------------------------------------------------------------------------------------
 # The test pages hold no tables, a few entities, parts cut off at a page's end, and paragraphs without an end that hold
 # one bold line; with these ended, dropping, marking and stripping by expressions gives what the parser gives.
@@ -783,6 +806,21 @@ def ext_monitor(spark, sf_dir):
     return extensions.monitor(decided(spark, sf_dir).withColumn("batch", F.col("section_item")), "batch")
 
 
+@query(f"""WITH {CANDIDATES}, {GROUNDED}, q AS (SELECT unnest([{", ".join(map(str, monitoring.QUANTILES))}])::DOUBLE AS quantile),
+  b AS (SELECT section_item AS batch, count(*) AS n, count(*) FILTER (accepted) AS n_accepted FROM decided GROUP BY 1 UNION ALL SELECT 'all', count(*), count(*) FILTER (accepted) FROM decided)
+  SELECT batch, n, n_accepted, quantile, true AS rank_inside, true AS distinct_inside FROM b, q""")
+def monitor_sketches(spark, sf_dir):
+    """Confidence quantiles by batch and in total from stored sketches, and whether their exact ranks and the number of different questions lie within the stated errors."""
+    pairs = scratch.cut(decided(spark, sf_dir).select(F.col("section_item").alias("batch"), "confidence", "accepted", "question"), "monitored")
+    kept = scratch.cut(monitoring.sketches(pairs, ["batch"]), "sketches")
+    both = monitoring.figures(kept).unionByName(monitoring.figures(monitoring.merged(kept, [])).withColumn("batch", F.lit("all")))
+    every = pairs.unionByName(pairs.withColumn("batch", F.lit("all")))
+    ranks = monitoring.exact_ranks(every, both, ["batch"])
+    exact = every.groupBy("batch").agg(F.countDistinct(T.question_key(F.col("question"))).alias("different"))
+    near_enough = F.abs(F.col("n_questions") - F.col("different")) <= monitoring.DISTINCT_ERROR * F.col("different")
+    return both.join(exact, "batch").join(ranks, "batch").select("batch", "n", "n_accepted", "quantile", monitoring.inside(F.col("low"), F.col("high"), F.col("quantile")).alias("rank_inside"), near_enough.alias("distinct_inside"))
+
+
 @query("SELECT l_orderkey, l_linenumber, l_quantity AS value, p_size::DOUBLE AS registered, l_quantity = p_size AS agrees FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size < 30) ON l_partkey = p_partkey")
 def ext_cross_check(spark, sf_dir):
     n = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("k"), F.col("l_quantity").alias("value"))
