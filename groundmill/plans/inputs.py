@@ -10,8 +10,15 @@ TYPES = ("fact_extraction", "numeric_calculation", "comparison", "multi_step_rea
 LEVELS = ("easy", "medium", "hard")
 
 
+#: Tables whose rows are long texts, so that a row is dear to work on.
+TEXTS = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; texts that come in fewer splits than there are cores are dealt out, since each split is one task's work."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name in TEXTS and df.rdd.getNumPartitions() < cores else df
 
 
 def pick(names: tuple[str, ...], n):

@@ -41,6 +41,14 @@ def test_overlap_join_equals_all_pairs(spark):
         assert got == sorted((i, d, len(a & b), len(a)) for i, a in own.items() for d, b in its.items() if a & b and len(a & b) >= least * len(a))
 
 
+def test_rows_that_repeat_a_key_are_rows_of_their_own(spark):
+    p = spark.createDataFrame([(1, "a b c d"), (1, "x y"), (2, None)], "item_id long, text string")
+    c = spark.createDataFrame([(5, "a b c q"), (5, "d c b a"), (5, "y"), (6, None)], "doc_id long, text string")
+    got = sorted(tuple(r) for r in overlap_join(p, c, 0.5).select("item_id", "doc_id", "shared", "n_tokens").collect())
+    assert got == [(1, 5, 1, 2), (1, 5, 3, 4), (1, 5, 4, 4)]
+    assert sorted(tuple(r) for r in containing(p.where("text <> 'a b c d'"), c.unionByName(spark.createDataFrame([(7, "ax ys"), (7, "x y x y"), (8, "x  z y")], c.schema))).collect()) == [(1, 7), (1, 7)]
+
+
 def test_no_join_of_passages_lacks_a_key(spark):
     passages, chunks = passages_and_chunks(random.Random(4))
     p, c = spark.createDataFrame(passages, "item_id long, text string"), spark.createDataFrame(chunks, "doc_id long, text string")
