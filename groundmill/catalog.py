@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from groundmill.config import LOW_SIGNAL, SECTION_NAMES, Config
 from groundmill.functions import text as T
 from groundmill.operators import chunks as C
-from groundmill.operators import completion, extensions, grounding, jobs, judging, merge, monitoring, near, pairs, prompts, running, snap
+from groundmill.operators import completion, extensions, grounding, jobs, judging, merge, monitoring, near, pairs, prompts, quotas, running, snap
 from groundmill.operators import html as H
 from groundmill.operators import sections as S
 from groundmill.plans import dataset
-from groundmill.plans.inputs import CANDIDATES, FILINGS, candidates, filings, table
+from groundmill.plans.inputs import CANDIDATES, FILINGS, LEVELS, TYPES, candidates, filings, table
 from groundmill.sources import fetching, files, registry, scratch, sinks
 from groundmill.streaming import keyed
 
@@ -790,6 +790,20 @@ def ext_balance(spark, sf_dir):
     return extensions.balance(best, ["question_type", "difficulty"], 5, dataset.ORDER).select("doc_id", "pair_idx", "question_type", "difficulty")
 
 
+_MARGINS = {"question_type": TYPES, "difficulty": LEVELS, "section_item": tuple("01234")}
+
+
+@query(f"""WITH {CANDIDATES}, {GROUNDED}, v AS ({" UNION ALL ".join(f"SELECT '{n}' AS dimension, unnest({list(v)}) AS value, {len(v)} AS k" for n, v in _MARGINS.items())})
+  SELECT dimension, value, (SELECT count(*) // 4 FROM kept) / k AS quota, true AS within_one FROM v""")
+def quota_margins(spark, sf_dir):
+    """A quarter of the pairs, as many of each type, of each difficulty and of each section: whether the sums are within one of that."""
+    best = scratch.cut(judging.dedupe(accepted(spark, sf_dir), dataset.ORDER), "kept")
+    total = best.count() // 4
+    margins = {n: {x: total / len(v) for x in v} for n, v in _MARGINS.items()}
+    got = quotas.shortfall(quotas.draw(best, margins, [F.desc("verifier_confidence"), *dataset.ORDER]), margins)
+    return got.select("dimension", "value", "quota", (F.abs(F.col("n") - F.col("quota")) <= 1).alias("within_one"))
+
+
 @query("SELECT doc_id, lang, source FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY md5('s' || doc_id), doc_id) AS k FROM documents) WHERE k <= 4")
 def ext_stratified(spark, sf_dir):
     return extensions.stratified(table(spark, sf_dir, "documents"), ["lang", "source"], 4, "doc_id").select("doc_id", "lang", "source")
