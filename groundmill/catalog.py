@@ -849,29 +849,46 @@ def ext_near_questions(spark, sf_dir):
     return near.near_pairs(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.5).select("a", "b", F.round("cosine", 6).alias("cosine"))
 
 
-def _question_vectors(spark, sf_dir) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").where("role = 'user'").groupBy((F.col("conv_id") * 1000 + F.col("turn")).alias("id")).agg(F.min("text").alias("text"))
-    return extensions.hashed_vectors(turns.withColumn("key", T.question_key(F.col("text"))), "id", "key")
-
-
-_QUESTION_VECTORS = f"""q AS (SELECT conv_id * 1000 + turn AS id, min(text) AS t FROM conversations WHERE role = 'user' GROUP BY 1),
+def _sql_links(texts: str) -> str:
+    """Links at 0.9 between vectors of hashed words of ``texts`` (id, t), by all pairs that share a component."""
+    return f"""q AS ({texts}),
   w AS (SELECT id, word, ('0x' || substr(md5(word), 1, 4))::INT AS h FROM (SELECT id, unnest(string_split({sq_key("t")}, ' ')) AS word FROM q) WHERE word <> ''),
   x AS (SELECT id, h % 64 AS d, sum(CASE WHEN h // 64 % 2 = 0 THEN 1 ELSE -1 END * (1000 + 37 * length(word)))::BIGINT AS x FROM w GROUP BY ALL HAVING x <> 0),
   n AS (SELECT id, sum(x * x)::DOUBLE AS n, string_agg(d || ':' || x, ',' ORDER BY d) AS v FROM x GROUP BY id),
   links AS (SELECT a.id AS a, b.id AS b FROM x a JOIN x b ON a.d = b.d AND a.id <> b.id JOIN n na ON na.id = a.id JOIN n nb ON nb.id = b.id GROUP BY a.id, b.id HAVING sum(a.x * b.x)::DOUBLE / sqrt(any_value(na.n) * any_value(nb.n)) >= 0.9)"""
 
 
-@query(f"""WITH {_QUESTION_VECTORS} SELECT n.id, min(n.id) OVER (PARTITION BY v) AS class, (count(*) OVER (PARTITION BY v) - 1)::BIGINT AS n_same, coalesce(k, 0)::BIGINT AS n_links
-  FROM n LEFT JOIN (SELECT a, count(*) AS k FROM links GROUP BY a) ON a = n.id""")
+_COUNTED = "SELECT n.id, min(n.id) OVER (PARTITION BY v) AS class, (count(*) OVER (PARTITION BY v) - 1)::BIGINT AS n_same, coalesce(k, 0)::BIGINT AS n_links FROM n LEFT JOIN (SELECT a, count(*) AS k FROM links GROUP BY a) ON a = n.id"
+
+
+def _hashed(rows: DataFrame) -> DataFrame:
+    return extensions.hashed_vectors(rows.withColumn("key", T.question_key(F.col("text"))), "id", "key")
+
+
+@query(f"WITH {_sql_links("SELECT conv_id * 1000 + turn AS id, min(text) AS t FROM conversations WHERE role = 'user' GROUP BY 1")} {_COUNTED}")
 def near_question_links(spark, sf_dir):
     """How many other questions stand within a cosine of 0.9 of each, by vectors of hashed words; equal vectors are one class."""
-    return near.near_counts(_question_vectors(spark, sf_dir), "id", "v", 0.9)
+    asked = table(spark, sf_dir, "conversations").where("role = 'user'").groupBy((F.col("conv_id") * 1000 + F.col("turn")).alias("id")).agg(F.min("text").alias("text"))
+    return near.near_counts(_hashed(asked), "id", "v", 0.9)
+
+
+_DOCUMENT_LINKS = _sql_links("SELECT doc_id AS id, min(text) AS t FROM documents GROUP BY 1")
+
+
+def _documents_once(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "documents").groupBy(F.col("doc_id").alias("id")).agg(F.min("text").alias("text"))
+
+
+@query(f"WITH {_DOCUMENT_LINKS} {_COUNTED}")
+def near_document_links(spark, sf_dir):
+    """The same of whole documents, many of which are near copies."""
+    return near.near_counts(_hashed(_documents_once(spark, sf_dir)), "id", "v", 0.9)
 
 
-@query(f"""WITH {_QUESTION_VECTORS}, first AS (SELECT n.id, min(n.id) OVER (PARTITION BY v) AS class FROM n) SELECT a, b FROM links JOIN first fa ON fa.id = a AND fa.class = a JOIN first fb ON fb.id = b AND fb.class = b WHERE a < b""")
-def near_question_pairs(spark, sf_dir):
-    """Pairs of different question vectors with a cosine of 0.9 or more, by the smallest id of each."""
-    return near.near_links(_question_vectors(spark, sf_dir), "id", "v", 0.9).pairs.select("a", "b")
+@query(f"WITH {_DOCUMENT_LINKS}, first AS (SELECT n.id, min(n.id) OVER (PARTITION BY v) AS class FROM n) SELECT a, b FROM links JOIN first fa ON fa.id = a AND fa.class = a JOIN first fb ON fb.id = b AND fb.class = b WHERE a < b")
+def near_document_pairs(spark, sf_dir):
+    """Pairs of different document vectors with a cosine of 0.9 or more, by the smallest id of each."""
+    return near.near_links(_hashed(_documents_once(spark, sf_dir)), "id", "v", 0.9).pairs.select("a", "b")
 
 
 @query("""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), n AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_inner_product(e, e))) AS e FROM v)
