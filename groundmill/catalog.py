@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from groundmill.config import LOW_SIGNAL, SECTION_NAMES, Config
 from groundmill.functions import text as T
 from groundmill.operators import chunks as C
-from groundmill.operators import completion, extensions, grounding, jobs, judging, merge, monitoring, near, pairs, prompts, quotas, running, snap
+from groundmill.operators import completion, extensions, grounding, intervals, jobs, judging, merge, monitoring, near, pairs, prompts, quotas, running, snap
 from groundmill.operators import html as H
 from groundmill.operators import sections as S
 from groundmill.plans import dataset
 from groundmill.plans.inputs import CANDIDATES, FILINGS, LEVELS, TYPES, candidates, filings, table
 from groundmill.sources import fetching, files, registry, scratch, sinks
-from groundmill.streaming import keyed
+from groundmill.streaming import drops, keyed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -898,6 +898,35 @@ def near_embeddings(spark, sf_dir):
     return near.near_pairs(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.9).select("a", "b", F.round("cosine", 6).alias("cosine"))
 
 
+_SPANS = """lines AS (SELECT doc_id, (i - 1)::INT AS line, length(l[i]) AS n, coalesce(list_sum(list_transform(l[1:i - 1], lambda x: length(x) + 1)), 0)::BIGINT AS s FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))),
+  pieces AS (SELECT doc_id, k AS piece, k * 450 AS s, least(k * 450 + 500, n) AS e FROM (SELECT doc_id, length(text) AS n, unnest(range(0, greatest(0, length(text) - 51) // 450 + 1)) AS k FROM documents WHERE length(text) > 0)),
+  met AS (SELECT a.doc_id, line, piece, greatest(a.s, b.s) AS s, least(a.s + a.n, b.e) AS e, b.s <= a.s AND b.e >= a.s + a.n AS whole FROM lines a JOIN pieces b ON a.doc_id = b.doc_id AND a.s < b.e AND b.s < a.s + a.n)"""
+
+
+def _spans(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scratch.cut(intervals.line_spans(d, "doc_id", "text"), "lines"), scratch.cut(intervals.window_spans(d, "doc_id", "text", 500, 50), "pieces")
+
+
+@query(f"WITH {_SPANS} SELECT doc_id, line, piece, s AS start, e AS \"end\" FROM met")
+def span_overlaps(spark, sf_dir):
+    """Lines and overlapping pieces of every document that share a place, and the place."""
+    return intervals.overlapping(*_spans(spark, sf_dir), ["doc_id"]).select("doc_id", "l.line", "r.piece", "start", "end")
+
+
+@query(f"WITH {_SPANS} SELECT doc_id, line, coalesce(k, 0)::BIGINT AS n, coalesce(m, 0)::BIGINT AS shared, coalesce(w, false) AS whole FROM lines LEFT JOIN (SELECT doc_id, line, count(*) AS k, sum(e - s) AS m, max(whole) AS w FROM met GROUP BY ALL) USING (doc_id, line)")
+def span_coverage(spark, sf_dir):
+    """Of each line, the pieces that overlap it and whether one holds all of it."""
+    return intervals.covered(*_spans(spark, sf_dir), ["doc_id"], "line")
+
+
+@query("""WITH e AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events WHERE ts IS NOT NULL), s AS (SELECT *, sum(CASE WHEN before IS NULL OR ts > before + INTERVAL 30 MINUTE THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e)
+  SELECT user_id, min(ts) AS begin, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n, sum(value::DECIMAL(18, 2))::DECIMAL(28, 2) AS total, count(*) FILTER (event_type = 'error') AS n_errors FROM s GROUP BY user_id, k""")
+def event_sessions(spark, sf_dir):
+    """Runs of each user's events with no more than half an hour between them."""
+    return drops.sessions(table(spark, sf_dir, "events"))
+
+
 # --- flagship --------------------------------------------------------------------------------------------------
 @query(f"""WITH p AS (SELECT doc_id, CASE WHEN {sq_strip("r.cur")} <> '' THEN list_append(r.out, {sq_strip("r.cur")}) ELSE r.out END AS o FROM (SELECT doc_id, {sq_pack_lines("text", 1000)} AS r FROM documents)),
 c AS (SELECT doc_id, unnest(range(0, len(o)))::INT AS chunk_ord, unnest(o) AS t FROM p),

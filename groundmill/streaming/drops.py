@@ -50,3 +50,21 @@ def pairs_stream(spark: SparkSession, source: str, out: str, checkpoint: str, ca
 def event_rates(events: DataFrame, late: str = "10 minutes", width: str = "5 minutes") -> DataFrame:
     """Counts and sums by window and type over a stream or table with ``ts``; later rows than ``late`` are dropped by a stream."""
     return events.withWatermark("ts", late).groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("v"))
+
+
+def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
+    """(user_id, begin, end, n, total, n_errors) of runs of a user's events, in a table or stream with ``ts``, of which each is no more than ``gap`` behind the one before.
+
+    A session ends ``gap`` after its last event. A stream gives a session when the watermark has passed its end, and
+    leaves out events that come later than ``late``; a table has all. Values are summed as cents.
+    """
+    cents = F.col("value").cast("decimal(18,2)")
+    runs = events.withWatermark("ts", late).groupBy("user_id", F.session_window("ts", gap).alias("w"))
+    counted = runs.agg(F.count("*").alias("n"), F.sum(cents).alias("total"), F.count_if(F.col("event_type") == "error").alias("n_errors"))
+    return counted.select("user_id", F.col("w.start").alias("begin"), F.col("w.end").alias("end"), "n", "total", "n_errors")
+
+
+def session_stream(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str, gap: str = "30 minutes", late: str = "10 minutes", files_per_batch: int = 100) -> StreamingQuery:
+    """Sessions of events that drop as Parquet into ``source``, each once, into ``out``, until what is there now is read; open ones stay in the checkpoint."""
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true").parquet(source)
+    return sessions(events, gap, late).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
