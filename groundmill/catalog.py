@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from groundmill.config import LOW_SIGNAL, SECTION_NAMES, Config
 from groundmill.functions import text as T
 from groundmill.operators import chunks as C
-from groundmill.operators import completion, extensions, grounding, intervals, jobs, judging, merge, monitoring, near, pairs, prompts, quotas, running, snap
+from groundmill.operators import asof, completion, extensions, grounding, intervals, jobs, judging, merge, monitoring, near, pairs, prompts, quotas, running, snap
 from groundmill.operators import html as H
 from groundmill.operators import sections as S
 from groundmill.plans import dataset
@@ -927,6 +927,18 @@ def event_sessions(spark, sf_dir):
     return drops.sessions(table(spark, sf_dir, "events"))
 
 
+@query("""WITH r AS (SELECT o_custkey % 50 AS user_id, TIMESTAMP '2024-01-01' + (o_orderkey * 7919 % 43200) * INTERVAL 1 MINUTE AS since, max(o_orderkey) AS rule FROM orders GROUP BY ALL)
+  SELECT event_id, rule, CASE WHEN since IS NOT NULL THEN value * 100 >= rule % 1000 END AS ok FROM events ASOF LEFT JOIN r ON events.user_id % 50 = r.user_id AND events.ts >= r.since""")
+def verdicts_as_of(spark, sf_dir):
+    """Events judged by the rule that was valid at their time; rules are made of orders, for one of fifty groups of users each."""
+    o = table(spark, sf_dir, "orders")
+    since = F.timestamp_micros(F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp")) + (F.col("o_orderkey") * 7919 % 43200) * 60_000_000)
+    rules = o.select((F.col("o_custkey") % 50).alias("k"), since.alias("since"), F.col("o_orderkey").alias("rule"))
+    events = table(spark, sf_dir, "events").select("event_id", "value", F.col("ts").cast("timestamp").alias("ts"), (F.col("user_id") % 50).alias("k"))
+    met = asof.as_of(events, rules, ["k"], "ts", "since", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return met.select("event_id", F.col("found.rule").alias("rule"), (F.col("value") * 100 >= F.col("found.rule") % 1000).alias("ok"))
+
+
 # --- flagship --------------------------------------------------------------------------------------------------
 @query(f"""WITH p AS (SELECT doc_id, CASE WHEN {sq_strip("r.cur")} <> '' THEN list_append(r.out, {sq_strip("r.cur")}) ELSE r.out END AS o FROM (SELECT doc_id, {sq_pack_lines("text", 1000)} AS r FROM documents)),
 c AS (SELECT doc_id, unnest(range(0, len(o)))::INT AS chunk_ord, unnest(o) AS t FROM p),
