@@ -15,7 +15,7 @@ from groundmill.operators import html as H
 from groundmill.operators import sections as S
 from groundmill.plans import dataset
 from groundmill.plans.inputs import CANDIDATES, FILINGS, LEVELS, TYPES, candidates, filings, table
-from groundmill.sources import fetching, files, registry, scratch, sinks
+from groundmill.sources import fetching, files, registry, scratch, sinks, versions
 from groundmill.streaming import drops, keyed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -750,6 +750,21 @@ def replay_scan(spark, sf_dir):
     return back.select("chunk_id", F.size("qa_pairs").alias("n_pairs"), F.size("verifications").alias("n_verdicts"), F.size(F.filter("verifications", lambda v: v["verdict"] == "SUPPORTED")).alias("supported"))
 
 
+@query(f"WITH {_MERGED} SELECT chunk_id, i::INT AS pair_idx, i < len(t) AS judged FROM rows1")
+def captures_lifted(spark, sf_dir):
+    """Captured runs, some of them in the first layout and some in the current one, read as pairs with their verdicts."""
+    gen, ver = _captures(spark, sf_dir)
+    pair = F.transform("qa_pairs", lambda q: F.struct(q.alias("question"), F.lit("a").alias("answer"), F.lit("s").alias("source_passage"), F.lit("comparison").alias("question_type"), F.lit("easy").alias("difficulty")))
+    runs = gen.withColumn("generation", F.struct(pair.alias("qa_pairs"))).join(ver, "chunk_id", "left").select("chunk_id", "generation", "verifications")
+    home = scratch.fresh_path(spark, "captures-of-versions")
+    old = F.pmod(F.xxhash64("chunk_id"), F.lit(2)) == 0
+    runs.where(old).write.json(f"{home}/old")
+    runs.where(~old).write.json(f"{home}/lifted")
+    versions.write_versioned(versions.read_versioned(spark, f"{home}/lifted"), f"{home}/new")
+    back = versions.read_versioned(spark, f"{home}/{{old,new}}")
+    return back.select("chunk_id", F.posexplode("items").alias("pair_idx", "i")).select("chunk_id", "pair_idx", F.col("i.verdict").isNotNull().alias("judged"))
+
+
 def _rows(spark, sf_dir) -> DataFrame:
     c = candidates(spark, sf_dir)
     return c.select("doc_id", "pair_idx", "question", "source_passage", "verdict", (F.col("pair_idx") % 4 == 0).alias("flag"))
