@@ -33,11 +33,18 @@ KINDS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
 SECRET = "[A-Za-z0-9]{20,}"
 SECRET_SIGNS = 10
 RANK = {k: i for i, k in enumerate([*KINDS, "secret", "term"])}
+#: The rank of a term whose class may stay.
+SAFE = RANK["term"] + 1
 WORD = r"[\p{L}\p{M}\p{N}]+"
 STEM = 3
 SMOOTHING = 0.5
 DISCLOSURE = 0.9
-SPAN = "array<struct<start: int, rank: int, kind: string, end: int, value: string>>"
+ITEM = "struct<start: int, rank: int, kind: string, end: int, value: string>"
+SPAN = f"array<{ITEM}>"
+#: Numbers that a running fold takes at a time: a fold copies its state at each step, so lists in it must stay short.
+PART = 64
+#: Code points, as a power of two, of the blocks that a text is cut into, so that a piece of it is reached without reading from its start.
+BLOCK = 10
 
 
 def _luhn(digits: Column) -> Column:
@@ -71,18 +78,60 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _located(kind: str, gaps: Column, values: Column, keep) -> Column:
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once however often and in whatever lambda it is read."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _running(numbers: Column, fold) -> Column:
+    """What ``fold``, for which 0 changes nothing, makes of an array's numbers up to each of them; parts first, then the parts' totals."""
+    none = F.expr("cast(array() as array<int>)")
+
+    def along(values: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), none.alias("out"))
+        step = lambda acc, x: _let(fold(acc["at"], x), lambda y: F.struct(y.alias("at"), F.array_append(acc["out"], y).alias("out")))
+        return F.aggregate(values, start, step)
+
+    def joined(parts: Column) -> Column:
+        ends = along(F.transform(parts, lambda p: p["at"]))["out"]
+        before = F.concat(F.array(F.lit(0)), ends)
+        return F.flatten(F.zip_with(parts, F.slice(before, F.lit(1), F.size(parts)), lambda p, b: F.transform(p["out"], lambda x: fold(b, x))))
+
+    whole = lambda v: _let(F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / PART).cast("int")), lambda k: along(F.slice(v, k * PART + 1, F.lit(PART)))), joined)
+    return F.when(F.size(numbers) == 0, none).otherwise(_let(numbers, whole))
+
+
+def _located(kind: str, gaps: Column, values: Column, keep=None) -> Column:
     """Spans of ``values`` in a text that they part into ``gaps``; only those that ``keep`` wants."""
-    empty = F.expr(f"cast(array() as {SPAN})")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    ends = _running(F.zip_with(gaps, values, lambda g, v: F.length(g) + F.length(v)), lambda x, y: x + y)
+    span = lambda v, e: F.struct((e - F.length(v)).alias("start"), F.lit(RANK[kind]).alias("rank"), F.lit(kind).alias("kind"), e.alias("end"), v.alias("value"))
+    spans = F.zip_with(values, ends, span)
+    return F.when(F.size(values) == 0, F.expr(f"cast(array() as {SPAN})")).otherwise(spans if keep is None else F.filter(spans, lambda s: keep(s["value"])))
+
+
+def _reach(spans: Column) -> Column:
+    """The furthest end of the spans before each, and of all, as one array."""
+    return F.concat(F.array(F.lit(0)), _running(F.transform(spans, lambda s: s["end"]), F.greatest))
+
+
+def _apart(spans: Column, others: Column, kind: str) -> Column:
+    """``spans`` and those of ``others`` that overlap none of them, by start, then kind.
+
+    ``others`` are of one ``kind``, ranked behind those of ``spans``, and lie apart from each other. So one of them
+    overlaps a span only if an earlier span ends behind its start, or if the next of all is a span that starts before its end.
+    """
 
-    def step(acc: Column, pair: Column) -> Column:
-        begin = acc["at"] + F.length(pair["g"])
-        end = begin + F.length(pair["v"])
-        span = F.struct(begin.alias("start"), F.lit(RANK[kind]).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), pair["v"].alias("value"))
-        return F.struct(end.alias("at"), F.when(keep(pair["v"]), F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+    def merged(every: Column) -> Column:
+        main = lambda x: x["kind"] != kind
+        ends = F.concat(F.array(F.lit(0)), _running(F.transform(every, lambda x: F.when(main(x), x["end"]).otherwise(0)), F.greatest))
 
-    return F.when(F.size(values) == 0, empty).otherwise(F.aggregate(F.zip_with(gaps, values, lambda g, v: F.struct(g.alias("g"), v.alias("v"))), start, step, lambda acc: acc["out"]))
+        def free(reach: Column) -> Column:
+            follows = lambda x, i: F.coalesce(main(F.get(every, i + 1)) & (F.get(every, i + 1)["start"] < x["end"]), F.lit(False))
+            return F.filter(every, lambda x, i: main(x) | ((F.get(reach, i) <= x["start"]) & ~follows(x, i)))
+
+        return _let(ends, free)
+
+    return F.when(F.size(others) == 0, spans).when(F.size(spans) == 0, others).otherwise(_let(F.array_sort(F.concat(spans, others)), merged))
 
 
 def _with_spans(rows: DataFrame, kinds: dict[str, str], spans: str) -> DataFrame:
@@ -110,10 +159,6 @@ def find_entities(docs: DataFrame, text: str, spans: str = "base") -> DataFrame:
     return _with_spans(_packed(docs, text), KINDS, "base").select(*[F.col("row").getField(c).alias(c) for c in names], F.col("base").alias(spans))
 
 
-def _overlap(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
-
-
 def _words(text: Column) -> Column:
     """Distinct words outside mail addresses, in lower case."""
     plain = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, EMAIL, " ")).otherwise(text)
@@ -121,7 +166,7 @@ def _words(text: Column) -> Column:
 
 
 def disclosing_terms(texts: DataFrame, holders: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(copy, terms) for texts in which words give an entity away; ``terms`` maps the hash of a word to whether its class is safe.
+    """(copy, term, safe) for words that give an entity of their text away: the hash of the word, and whether its class is safe.
 
     ``texts`` (copy, text) are all texts of the corpus, once each; ``holders`` (copy, text, entities) those with
     entities. The class of a word is all words with its first letters, and its counts are the sums of theirs.
@@ -131,9 +176,9 @@ def disclosing_terms(texts: DataFrame, holders: DataFrame, disclosure: float = D
     corpus = cut(corpus, "words")
     size = texts.agg(F.count("*").cast("double").alias("n"))
     entities = cut(holders.select("copy", F.explode("entities").alias("entity")).select("copy", F.xxhash64("entity").alias("entity")), "entities")
-    known = entities.groupBy("entity").agg(F.count("*").alias("n_c"))
-    # entities of one text have the same counts with all its words, so that the text stands for them
-    held = entities.join(known, "entity").select("copy", "n_c", F.when(F.col("n_c") == 1, F.col("copy")).otherwise(F.col("entity")).alias("entity")).distinct()
+    # entities of the same texts have the same counts with all words, so that one digest of these texts stands for them
+    known = entities.groupBy("entity").agg(F.count("*").alias("n_c"), F.bit_xor("copy").alias("a"), F.bit_xor(F.xxhash64("copy")).alias("b"))
+    held = entities.join(known, "entity").select("copy", "n_c", F.xxhash64("n_c", "a", "b").alias("entity")).distinct()
     told = held.join(holders.select("copy", _words(F.col("text")).alias("words")), "copy").select("copy", "entity", "n_c", F.explode("words").alias("word"))
     told = cut(told.select("copy", "entity", "n_c", *hashed), "told")
     pairs = told.groupBy("entity", "n_c", "term", "class").agg(F.count("*").alias("n_ct"))
@@ -147,8 +192,29 @@ def disclosing_terms(texts: DataFrame, holders: DataFrame, disclosure: float = D
     classes = pairs.join(asked, ["entity", "class"], "left_semi").groupBy("entity", "n_c", "class").agg(F.sum("n_ct").alias("n_ck"))
     classes = classes.join(corpus.groupBy("class").agg(F.sum("n_t").alias("n_k")), "class").join(size).select("entity", "class", (~tells("n_ck", "n_k")).alias("safe"))
     labelled = risky.join(classes, ["entity", "class"]).select("entity", "term", "safe")
-    by_text = told.select("copy", "entity", "term").join(labelled, ["entity", "term"]).groupBy("copy", "term").agg(F.min("safe").alias("safe"))
-    return cut(by_text.groupBy("copy").agg(F.map_from_entries(F.collect_list(F.struct("term", "safe"))).alias("terms")), "terms")
+    return cut(told.select("copy", "entity", "term").join(labelled, ["entity", "term"]).groupBy("copy", "term").agg(F.min("safe").alias("safe")), "terms")
+
+
+def _replaced(spans: Column, blocks: Column, size: Column) -> Column:
+    """The text of ``size`` code points in ``blocks`` with a label for each of ``spans``, which are in order.
+
+    Spans that overlap the ones before leave no label. Time grows with the text, and with a block for each span.
+    """
+
+    def piece(a: Column, b: Column) -> Column:
+        first = F.shiftright(a, BLOCK)
+        near = F.array_join(F.slice(blocks, first + 1, F.shiftright(b - 1, BLOCK) - first + 1), "")
+        return F.when(a < b, F.substring(near, F.pmod(a, F.lit(1 << BLOCK)) + 1, b - a)).otherwise("")
+
+    def made(reach: Column) -> Column:
+        def labelled(s: Column, i: Column) -> Column:
+            general = F.when((s["rank"] == SAFE) & (F.length(s["value"]) > STEM), F.concat(F.substring(F.lower(s["value"]), 1, STEM), F.lit("*"))).otherwise("[TERM]")
+            label = F.when(s["kind"] == "term", general).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+            return F.when(s["start"] >= F.get(reach, i), F.concat(piece(F.get(reach, i), s["start"]), label)).otherwise("")
+
+        return F.concat(F.array_join(F.transform(spans, labelled), ""), piece(F.element_at(reach, -1), size))
+
+    return _let(_reach(spans), made)
 
 
 def sanitise(docs: DataFrame, text: str = "text", disclosure: float = DISCLOSURE) -> DataFrame:
@@ -158,38 +224,33 @@ def sanitise(docs: DataFrame, text: str = "text", disclosure: float = DISCLOSURE
     only where they overlap no entity; ``sanitised`` is the text with each span replaced by its kind in brackets or
     by what generalises the term. Spans that overlap leave one label. A null text has no spans and stays null;
     it counts as an empty one. Rows of equal texts have equal spans; ids are not read.
+    Terms that are generalised have the rank ``SAFE``. Time grows linearly with a text's length and its spans; what the
+    counts of co-occurrence take grows with its entities of different sets of texts, times its words.
     Columns of the three names are replaced.
     """
     rows = _packed(docs.drop("base", "spans", "sanitised"), text).withColumn("copy", F.xxhash64("text"))
     found = _with_spans(_with_spans(rows, KINDS, "base"), {"secret": SECRET}, "secrets")
-    found = found.withColumn("entities", F.array_sort(F.concat("base", F.filter("secrets", lambda s: ~F.exists("base", lambda b: _overlap(b, s)))))).drop("secrets")
+    found = found.withColumn("entities", _apart(F.col("base"), F.col("secrets"), "secret")).drop("secrets")
     since = mark()
     holders = cut(found.where(F.size("entities") > 0), "holders")
     # texts are parted by their hash and thinned before that, so that a text of very many copies meets as few rows
     texts = rows.groupBy("copy").agg(F.first("text").alias("text"))
     named = F.array_distinct(F.transform("entities", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
     once = holders.select("copy", "text", named.alias("entities")).groupBy("copy").agg(F.first("text").alias("text"), F.first("entities").alias("entities"))
-    terms = disclosing_terms(texts, cut(once, "once"), disclosure)
-    release(docs.sparkSession, since, holders, terms)
-    told = holders.join(terms, "copy", "left")
-
-    filled, has = F.col("text"), F.col("terms").isNotNull()
-    none = F.expr("cast(array() as array<string>)")
-    told = told.withColumn("words", F.when(has, F.regexp_extract_all(filled, F.lit(WORD), F.lit(0))).otherwise(none))
-    told = told.withColumn("gaps", F.when(has, F.slice(F.split(filled, WORD, -1), 1, F.size("words"))).otherwise(none))
-    of = lambda v: F.element_at("terms", F.xxhash64(F.lower(v)))
-    told = told.withColumn("told", _located("term", F.col("gaps"), F.col("words"), lambda v: F.map_contains_key("terms", F.xxhash64(F.lower(v)))))
-    outside = F.filter("told", lambda t: ~F.exists("entities", lambda e: _overlap(e, t)))
-    told = told.withColumn("spans", F.when(has, F.array_sort(F.concat("entities", outside))).otherwise(F.col("entities")))
-    general = lambda v: F.when(of(v) & (F.length(v) > STEM), F.concat(F.substring(F.lower(v), 1, STEM), F.lit("*"))).otherwise("[TERM]")
-    label = lambda s: F.when(s["kind"] == "term", general(s["value"])).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-    piece = lambda acc, s: F.struct(
-        F.greatest(acc["at"], s["end"]).alias("at"),
-        F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(filled, acc["at"] + 1, s["start"] - acc["at"]), label(s))).otherwise(acc["out"]).alias("out"),
-    )
-    text_out = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), piece, lambda acc: F.concat(acc["out"], F.substring(filled, acc["at"] + 1, F.length(filled))))
-    told = told.withColumn("sanitised", text_out)
-    rest = found.where(F.size("entities") == 0).withColumns({"spans": F.col("entities"), "sanitised": F.when(~F.col("lost"), filled)})
+    once = cut(once, "once")
+    terms = disclosing_terms(texts, once, disclosure)
+    # words with their places are rows, so that terms are met by a join, whatever the number of either in a text
+    words = once.select("copy", "text", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"))
+    words = words.select("copy", F.slice(F.split("text", WORD, -1), 1, F.size("words")).alias("gaps"), "words")
+    words = words.select("copy", F.explode(_located("term", F.col("gaps"), F.col("words"))).alias("s")).withColumn("term", F.xxhash64(F.lower("s.value")))
+    hit = F.struct("s.start", F.when(F.col("safe"), SAFE).otherwise(F.col("s.rank")).alias("rank"), "s.kind", "s.end", "s.value")
+    told = cut(words.join(terms, ["copy", "term"]).groupBy("copy").agg(F.array_sort(F.collect_list(hit)).alias("told")), "told")
+    release(docs.sparkSession, since, holders, told)
+
+    told = holders.join(told, "copy", "left").withColumn("told", F.coalesce("told", F.expr(f"cast(array() as {SPAN})")))
+    told = told.withColumns({"spans": _apart(F.col("entities"), F.col("told"), "term"), "blocks": F.regexp_extract_all("text", F.lit(f"(?s).{{1,{1 << BLOCK}}}"), F.lit(0))})
+    told = told.withColumn("sanitised", _replaced(F.col("spans"), F.col("blocks"), F.length("text")))
+    rest = found.where(F.size("entities") == 0).withColumns({"spans": F.col("entities"), "sanitised": F.when(~F.col("lost"), F.col("text"))})
     return told.select("row.*", "base", "spans", "sanitised").unionByName(rest.select("row.*", "base", "spans", "sanitised"))
 
 

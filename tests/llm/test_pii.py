@@ -1,8 +1,11 @@
 import hashlib
 import math
+import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from groundmill.llm import pii
 from groundmill.llm.queries import ORACLE_SQL, QUERIES
@@ -167,6 +170,65 @@ def test_odd_rows(spark):
     assert pii.sanitise(empty(spark)).count() == 0
 
 
+def relabelled(text, found):
+    """The text with a label for each span, left to right, none for one that begins before the ones before end."""
+    out, at = [], 0
+    for s in found:
+        if s["start"] >= at:
+            short = text[s["start"] : s["end"]]
+            term = short[: pii.STEM].lower() + "*" if s["rank"] == pii.SAFE and len(short) > pii.STEM else "[TERM]"
+            out += [text[at : s["start"]], term if s["kind"] == "term" else f"[{s['kind'].upper()}]"]
+        at = max(at, s["end"])
+    return "".join([*out, text[at:]])
+
+
+def test_very_long_texts_with_entities(spark):
+    """200,000 words, 50 entities of each of three kinds, and as many texts without any: equal to a loop, and in time that a square would not meet."""
+    rng = random.Random(5)
+    words = [rng.choice(("é😀", "mar", "w")) + str(rng.randrange(10**7)) for _ in range(200_000)]
+    for k in range(50):
+        words[k * 4000 + 7], words[k * 4000 + 900], words[k * 4000 + 3999] = f"a{k}@b.org", f"+49 30 12345{k:03}", f"24be64439e3e49cf46b2d7c9{k:03}"
+    long = " ".join(words)
+    many = " ".join(f"10.0.{k // 250}.{k % 250} x{k}" for k in range(20_000))
+    t = spark.createDataFrame([(i, f"people met about matter {i}") for i in range(200)] + [(1000, long), (1001, many)], "doc_id long, text string")
+    since = time.monotonic()
+    got = {r["doc_id"]: r for r in pii.sanitise(t).collect()}
+    assert time.monotonic() - since < 120  # the square of the length takes more than half an hour here
+    for i, text in ((1000, long), (1001, many)):
+        assert [f"{s['kind']}:{s['start']}:{s['end']}" for s in got[i]["base"]] == brute(text)
+        others = [s for s in got[i]["spans"] if s["kind"] != "term"]
+        assert sorted(f"{s['kind']}:{s['start']}:{s['end']}" for s in others) == sorted(brute(text) + secrets(text))
+        assert got[i]["sanitised"] == relabelled(text, got[i]["spans"])
+        assert sum(s["kind"] == "term" for s in got[i]["spans"]) > 19_000
+    assert all(got[i]["sanitised"] == f"people met about matter {i}" for i in range(200))
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 128, 1000])
+def test_running_folds_equal_a_loop(spark, n):
+    from itertools import accumulate
+
+    rng = random.Random(n)
+    numbers = [rng.randrange(50) for _ in range(n)]
+    t = spark.createDataFrame([(numbers,)], "x array<int>")
+    r = t.select(pii._running(F.col("x"), lambda a, b: a + b).alias("sums"), pii._running(F.col("x"), F.greatest).alias("most")).first()
+    assert r["sums"] == list(accumulate(numbers)) and r["most"] == list(accumulate(numbers, max))
+
+
+def test_apart_equals_a_loop(spark):
+    rng = random.Random(9)
+    rows, kind = [], pii.SPAN
+    for i in range(300):
+        main = [(a := rng.randrange(60), rng.randrange(4), "email", a + rng.randrange(1, 9), "") for _ in range(rng.randrange(6))]
+        at, others = 0, []
+        while (at := at + rng.randrange(1, 8)) < 60:
+            others.append((at, pii.RANK["term"], "term", at := at + rng.randrange(1, 5), ""))
+        rows.append((i, sorted(main), others))
+    t = spark.createDataFrame(rows, f"i int, main {kind}, others {kind}")
+    for r in t.withColumn("got", pii._apart(F.col("main"), F.col("others"), "term")).collect():
+        want = [*r["main"], *[o for o in r["others"] if not any(m["start"] < o["end"] and o["start"] < m["end"] for m in r["main"])]]
+        assert r["got"] == sorted(want)
+
+
 def test_digest_is_of_the_listed_spans(spark):
     for r in QUERIES["op8_pii"](spark, DATA).where("n_email + n_ip + n_card + n_phone > 0").collect():
         base = ",".join(s for s in r["spans"].split(",") if s.split(":")[0] in PATTERNS)
@@ -180,6 +242,4 @@ def test_main_path_is_native(spark):
 
 @pytest.mark.parametrize("digits", ["4111111111111111", "79927398713", "0", "18"])
 def test_luhn(spark, digits):
-    from pyspark.sql import functions as F
-
     assert spark.range(1).select(pii._luhn(F.lit(digits))).first()[0] == luhn(digits)
