@@ -28,9 +28,11 @@ RATE = 8000
 PACKET = 4096
 PAGE_HEAD = struct.Struct("<4sBBqIIIB")
 CONTINUED, FIRST, LAST = 1, 2, 4
+#: Bytes of pages whose checksums are computed together.
+TOGETHER = 16 << 20
 DEMUX_SCHEMA = (
     "array<struct<serial: bigint, codec: string, rate: int, begins: boolean, ends: boolean, late_pages: int, pages: int, bad_pages: int, packets: int,"
-    " lost_packets: int, start_s: double, end_s: double, packet_end_s: array<double>, payload: binary>>"
+    " lost_packets: int, lost_pages: int, lost_s: double, start_s: double, end_s: double, packet_end_s: array<double>, payload: binary>>"
 )
 
 
@@ -95,6 +97,9 @@ class Stream:
     pages: int = 0
     bad_pages: int = 0
     lost_packets: int = 0
+    lost_pages: int = 0
+    lost: int = 0
+    gap: bool = False
     first: int | None = None
     last: int | None = None
     sequence: int = -1
@@ -107,7 +112,7 @@ class Stream:
         at = (lambda g: max(0, g - self.skip) / self.rate if self.rate and g is not None else None)
         return {
             "serial": self.serial, "codec": self.codec, "rate": self.rate, "begins": self.begins, "ends": self.ends, "late_pages": self.late, "pages": self.pages, "bad_pages": self.bad_pages, "packets": len(self.packets),
-            "lost_packets": self.lost_packets, "start_s": at(self.first), "end_s": at(self.last), "packet_end_s": [at(g) for g in self.granules], "payload": b"".join(self.packets[self.headers :]),
+            "lost_packets": self.lost_packets, "lost_pages": self.lost_pages, "lost_s": self.lost / self.rate if self.rate else None, "start_s": at(self.first), "end_s": at(self.last), "packet_end_s": [at(g) for g in self.granules], "payload": b"".join(self.packets[self.headers :]),
         }
 
 
@@ -171,50 +176,99 @@ def _place(s: Stream, new: range, granule: int, last: bool) -> None:
         start = before
     for i, end in zip(data, ends, strict=True):
         s.granules[i] = end
+    behind = s.last if s.last is not None else 0 if s.begins else None
+    if s.gap and None not in long and behind is not None:
+        s.lost += max(0, start - behind)
+    s.gap = False
     if s.first is None:
         s.first = start if start is None else max(0, start)
     s.last = granule
 
 
+def _found(media: list[bytes]) -> list[tuple[int, tuple, bytes, bytes, bool]]:
+    """Pages in order: number of the physical stream, header, lacing, body, and whether the checksum fits.
+
+    Behind a page whose checksum does not fit the search goes on at its fifth byte, since its own lengths may be what is
+    damaged; what such a search finds inside a page that fits is none. Checksums are computed for many pages at once.
+    """
+    seen: list[dict[int, tuple]] = [{} for _ in media]
+    fits: list[dict[int, bool]] = [{} for _ in media]
+    starts = [(k, 0) for k in range(len(media))]
+    while starts:
+        asked: list[tuple[int, int]] = []
+        whole: list[bytes] = []
+        held, later = 0, []
+
+        def verify() -> None:
+            for (k, at), crc in zip(asked, ogg_crc_many(whole).tolist() if whole else [], strict=True):
+                fits[k][at] = crc == seen[k][at][0][6]
+                if not fits[k][at]:
+                    later.append((k, at + 4))
+            asked.clear()
+            whole.clear()
+
+        for k, at in starts:
+            data = media[k]
+            at = data.find(b"OggS", at)
+            while 0 <= at and at + 27 <= len(data) and at not in seen[k]:
+                head = PAGE_HEAD.unpack_from(data, at)
+                lacing = data[at + 27 : at + 27 + head[7]]
+                end = at + 27 + head[7] + sum(lacing)
+                if head[1] or len(lacing) < head[7] or end > len(data):
+                    at = data.find(b"OggS", at + 4)
+                    continue
+                seen[k][at] = head, lacing, end
+                asked.append((k, at))
+                whole.append(data[at : at + 22] + bytes(4) + data[at + 26 : end])
+                held += end - at
+                if held > TOGETHER:
+                    verify()
+                    held = 0
+                at = data.find(b"OggS", end)
+        verify()
+        starts = later
+    out = []
+    for k, pages in enumerate(seen):
+        free = 0
+        for at in sorted(pages):
+            if at >= free:
+                head, lacing, end = pages[at]
+                out.append((k, head, lacing, media[k][at + 27 + head[7] : end], fits[k][at]))
+                free = end if fits[k][at] else free
+    return out
+
+
 def demux(media: list[bytes]) -> list[list[Stream]]:
     """Logical streams of each physical stream, in order of appearance.
 
-    Bytes between pages are skipped. A page with a wrong checksum is left out and counted with its
-    stream; a packet that lacks a part is dropped and counted as lost. A page flagged as a first one begins a new
-    stream, though an earlier one had the same serial number (chained streams).
+    Bytes between pages are skipped. A page with a wrong checksum is left out, and counted with the stream that its
+    serial number names if there is one; no page behind or inside it is lost by that. Pages that are missing between
+    others are counted by their numbers (``lost_pages``), the time that they held by positions where the codec tells
+    durations (``lost``). ``lost_packets`` are packets of which some but not all parts are there. A page flagged as a
+    first one begins a new stream, though an earlier one had the same serial number (chained streams).
     """
-    found: list[tuple[int, tuple, bytes, bytes]] = []
-    whole: list[bytes] = []
-    for k, data in enumerate(media):
-        at = data.find(b"OggS")
-        while 0 <= at and at + 27 <= len(data):
-            head = PAGE_HEAD.unpack_from(data, at)
-            lacing = data[at + 27 : at + 27 + head[7]]
-            end = at + 27 + head[7] + sum(lacing)
-            if head[1] or len(lacing) < head[7] or end > len(data):
-                at = data.find(b"OggS", at + 4)
-                continue
-            found.append((k, head, lacing, data[at + 27 + head[7] : end]))
-            whole.append(data[at : at + 22] + bytes(4) + data[at + 26 : end])
-            at = data.find(b"OggS", end)
     streams: list[list[Stream]] = [[] for _ in media]
     current: dict[tuple[int, int], Stream] = {}
-    for (k, head, lacing, body), crc in zip(found, ogg_crc_many(whole).tolist(), strict=True):
-        _, _, kind, granule, serial, sequence, want, _ = head
+    for k, head, lacing, body, fit in _found(media):
+        _, _, kind, granule, serial, sequence, _, _ = head
         s = current.get((k, serial))
-        if s is None or (crc == want and kind & FIRST and s.pages):  # a stream that begins again is another one
+        if not fit:
+            if s is not None:
+                s.bad_pages += 1
+            continue
+        if s is None or (kind & FIRST and s.pages):  # a stream that begins again is another one
             if s is not None:
                 s.lost_packets, s.open = s.lost_packets + (s.open is not None), None
             s = current[k, serial] = Stream(serial)
             streams[k].append(s)
-        if crc != want:
-            s.bad_pages += 1
-            continue
         s.pages += 1
         s.late += s.ends
         s.begins |= bool(kind & FIRST)
         s.ends |= bool(kind & LAST)
         gap = s.sequence >= 0 and sequence != s.sequence + 1
+        if gap:
+            s.gap = True
+            s.lost_pages += max(0, sequence - s.sequence - 1)
         s.sequence = sequence
         if s.open is not None and (gap or not kind & CONTINUED):
             s.open, s.lost_packets = None, s.lost_packets + 1
@@ -269,7 +323,7 @@ def demux_column(df: DataFrame, media: str, streams: str = "streams") -> DataFra
     """
     kind = pa.list_(pa.struct([
         ("serial", pa.int64()), ("codec", pa.string()), ("rate", pa.int32()), ("begins", pa.bool_()), ("ends", pa.bool_()), ("late_pages", pa.int32()), ("pages", pa.int32()), ("bad_pages", pa.int32()),
-        ("packets", pa.int32()), ("lost_packets", pa.int32()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("packet_end_s", pa.list_(pa.float64())), ("payload", pa.binary()),
+        ("packets", pa.int32()), ("lost_packets", pa.int32()), ("lost_pages", pa.int32()), ("lost_s", pa.float64()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("packet_end_s", pa.list_(pa.float64())), ("payload", pa.binary()),
     ]))
 
     def make(data: pa.Array) -> pa.Array:

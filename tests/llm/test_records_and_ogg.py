@@ -170,6 +170,65 @@ def test_times_of_opus_and_flac():
     assert [ogg.duration(flac, b"\xff\xf8" + bytes([c << 4]) + b"\x00" + n) for c, n in ((1, b"\x05\0"), (4, b"\x05\0"), (12, b"\x05\0"), (6, b"\x05\x0f"), (7, b"\xc2\x80\x01\x00"))] == [192, 2304, 4096, 16, 257]
 
 
+def cut_pages(data):
+    """Bounds of the pages of undamaged bytes, by their lengths alone."""
+    at, out = 0, []
+    while at < len(data):
+        n = data[at + 26]
+        end = at + 27 + n + sum(data[at + 27 : at + 27 + n])
+        out.append((at, end))
+        at = end
+    return out
+
+
+def long_stream():
+    payload = random.Random(6).randbytes(4096 * 124 + 64)
+    (data,) = ogg.mux([payload], [1])
+    return payload, data, cut_pages(data), ogg.demux([data])[0][0].packets
+
+
+def test_any_damage_costs_one_page_alone():
+    """Each byte of the head, the first and last lacing value and a byte of the body of every page in the middle, one at a time."""
+    payload, data, pages, packets = long_stream()
+    serial = int.from_bytes(data[14:18], "little")
+    middle = [i for i, (a, _) in enumerate(pages) if data[a + 14 : a + 18] == data[14:18]][1:-1]
+    assert len(middle) >= 7
+    for i in middle:
+        a, b = pages[i]
+        hurt = [(a + x, None) for x in range(27)] + [(a + 27, 255), (a + 27 + data[a + 26] - 1, 255), (a + 27 + data[a + 26] - 1, 0), (b - 9, None), (a + 26, 254), (a + 26, 0)]
+        for at, value in hurt:
+            bad = bytearray(data)
+            bad[at] = bad[at] ^ 0x55 if value is None else value
+            if bad == data:
+                continue
+            streams = ogg.demux([bytes(bad)])[0]
+            assert len(streams) == 2  # no stream of a damaged number
+            s = next(s for s in streams if s.serial == serial)
+            first = 1 + 15 * middle.index(i)
+            assert s.packets == packets[:first] + packets[first + 15 :], (i, at - a)
+            assert s.lost_pages == 1 and s.lost == 15 * 4096 and s.lost_packets == 0 and s.ends
+            assert s.granules[-1] == len(payload)
+
+
+def test_pages_that_are_missing_are_counted():
+    payload, data, pages, packets = long_stream()
+    middle = [i for i, (a, _) in enumerate(pages) if data[a + 14 : a + 18] == data[14:18]][1:-1]
+    for gone in ([0], [2, 3], [0, 1, 5], [1, 3, 5]):
+        drop = {middle[g] for g in gone}
+        s = ogg.demux([b"".join(data[a:b] for i, (a, b) in enumerate(pages) if i not in drop)])[0][0]
+        assert s.lost_pages == len(gone) and s.lost == len(gone) * 15 * 4096 and s.bad_pages == 0
+        assert s.packets == [p for k, p in enumerate(packets) if k == 0 or (k - 1) // 15 not in gone]
+        assert s.row()["lost_s"] == len(gone) * 15 * 4096 / 8000
+
+
+def test_capture_patterns_inside_damaged_pages_are_read_in_linear_time():
+    fake = b"OggS" + bytes(22) + b"\x01\xff"
+    assert ogg.demux([fake * 4000 + bytes(300)])[0] == []
+    inner = b"".join(ogg.mux([b"OggS" * 300], [1]))
+    (main, _) = ogg.demux(ogg.mux([inner], [1]))[0]
+    assert main.row()["payload"] == inner and main.bad_pages == 0
+
+
 def test_chained_streams_and_flags():
     one, two = ogg.mux([b"a" * 64, b"a" * 128], [1, 1])
     pages = ogg._pages(9, [(ogg.SAMPLES + b"\x40\x1f\0\0\x01", 0), (b"x" * 64, 64)])
