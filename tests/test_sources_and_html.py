@@ -32,6 +32,11 @@ def test_blocks_breaks_entities_and_dropped_parts(spark):
     assert parsed(spark, page, None, "") == [("Head\n\none & two\nthree\nfour\nx\ny", 0), (None, 0), ("", 0)]
 
 
+def test_references_without_a_semicolon_are_text_unless_the_page_ends(spark):
+    page = "<h1>a &amp;&amp</h1><p>b &copy 1 &#65; &lt;i</p><p>c &amp"
+    assert parsed(spark, page) == [("a &&amp\n\nb &copy 1 A <i\nc &", 0)]
+
+
 def test_deep_and_broken_pages_take_seconds():
     began = time.monotonic()
     assert H.render("<div>x" * 100_000)[0].count("x") == 100_000
