@@ -69,15 +69,16 @@ def overlap_join(passages: DataFrame, chunks: DataFrame, least: float, passage_k
     by = Window.partitionBy("_p").orderBy(F.coalesce("df", F.lit(0)), "word")
     needed = F.greatest(F.lit(1), F.ceil(F.lit(least) * F.col("n_tokens")))
     # m of the first ``place`` words: rows that meet, and what counting the pairs that can come of them adds
-    ranked = own.join(seen, "word", "left").select("_p", "n_tokens", "word", F.row_number().over(by).alias("place"), F.sum(F.coalesce("df", F.lit(0))).over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("rows"))
+    ranked = own.join(seen.hint("merge"), "word", "left").select("_p", "n_tokens", "word", F.row_number().over(by).alias("place"), F.sum(F.coalesce("df", F.lit(0))).over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("rows"))
     ranked = ranked.withColumn("m", F.col("place") - F.col("n_tokens") + needed)
     cost = F.when(F.col("m") >= 1, F.col("rows") * (1 + F.col("n_tokens") / F.col("m")))
     best = ranked.groupBy("_p").agg(F.min_by(F.struct(F.col("place").alias("last"), F.col("m").alias("least_shared")), cost).alias("b")).select("_p", "b.*")
-    first = ranked.join(best, "_p").where("place <= last").select("_p", "word", "least_shared")
-    met = held.select("_c", "word").join(first, "word").groupBy("_p", "_c", "least_shared").agg(F.count("*").alias("n")).where("n >= least_shared").select("_p", "_c")
-    words = met.join(own, "_p")
-    counted = words.join(held, ["_c", "word"]).groupBy("_p", "_c", "n_tokens", chunk_key, *keep).agg(F.count("*").alias("shared")).where(F.col("shared") >= least * F.col("n_tokens"))
-    return counted.join(p.select("_p", F.col("_key").alias(passage_key)), "_p").select(passage_key, chunk_key, "n_tokens", "shared", *keep)
+    first = ranked.join(best.hint("merge"), "_p").where("place <= last").select("_p", "word", "least_shared")
+    # files and shuffled blocks of numbers and repeated words are far smaller than the rows that a broadcast would hold in the driver
+    met = held.select("_c", "word").join(first.hint("merge"), "word").groupBy("_p", "_c", "least_shared").agg(F.count("*").alias("n")).where("n >= least_shared").select("_p", "_c")
+    words = met.join(own.hint("merge"), "_p")
+    counted = words.join(held.hint("merge"), ["_c", "word"]).groupBy("_p", "_c", "n_tokens", chunk_key, *keep).agg(F.count("*").alias("shared")).where(F.col("shared") >= least * F.col("n_tokens"))
+    return counted.join(p.select("_p", F.col("_key").alias(passage_key)).hint("merge"), "_p").select(passage_key, chunk_key, "n_tokens", "shared", *keep)
 
 
 def containing(passages: DataFrame, chunks: DataFrame, passage_key: str = "item_id", chunk_key: str = "doc_id") -> DataFrame:

@@ -57,6 +57,13 @@ def test_no_join_of_passages_lacks_a_key(spark):
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_overlap_join_broadcasts_no_rows_that_grow(spark):
+    passages, chunks = passages_and_chunks(random.Random(4))
+    p, c = spark.createDataFrame(passages, "item_id long, text string"), spark.createDataFrame(chunks, "doc_id long, text string")
+    df = overlap_join(p, c, 0.6)
+    assert df.collect() and "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_near_pairs_equal_all_pairs(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(300, 8))
