@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 from groundmill.operators.grounding import containing, overlap_join
-from groundmill.operators.near import near_counts, near_links, near_pairs
+from groundmill.operators.near import GROUPS, _Join, near_counts, near_links, near_pairs
 
 
 def passages_and_chunks(rng):
@@ -109,6 +109,20 @@ def test_near_links_of_a_crowded_cell_stay_bounded(spark):
     assert r.report.first()["largest_block"] <= 200 and r.pairs.count() == 1500 * 1499 // 2
 
 
+def test_near_rows_are_sent_once_for_each_group_and_not_for_each_block(spark):
+    """Vectors without structure, of which all blocks meet; the counts equal all pairs, copies included."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(2000, 16))
+    x[1990:] = x[3]
+    t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    j = _Join(t, "id", "v", 0.5, 16)
+    sent = j.grouped.join(j.meeting, "grp").groupBy("task").count().collect()
+    assert sum(r["count"] for r in sent) <= 1990 * (GROUPS + 2) and max(r["count"] for r in sent) <= 2 * (1990 // GROUPS + 64)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.5).sum(axis=1) - 1
+    assert {r["id"]: r["n_links"] for r in near_counts(t, "id", "v", 0.5, 16).collect()} == dict(enumerate(want.tolist()))
+
+
 def test_near_links_of_odd_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, [1.0]), (3, [-0.0, 1.0]), (4, [0.0, 1.0]), (5, []), (6, None), (7, [0.0, 0.0]), (8, [float("nan"), 1.0]), (9, [float("inf"), 1.0]), (10, [1e200, 0.0]), (11, [1e-200, 1e-203]), (None, [1.0, 0.0])]
     t = spark.createDataFrame(rows, "id long, v array<double>")
