@@ -37,6 +37,22 @@ def test_references_without_a_semicolon_are_text_unless_the_page_ends(spark):
     assert parsed(spark, page) == [("a &&amp\n\nb &copy 1 A <i\nc &", 0)]
 
 
+def test_bytes_are_decoded_without_python(spark):
+    raw = [bytes([i]) + b"a\xff" for i in range(256)] + [b"\x80\x9f\xe4 b", b"\x81\x80", "ä€".encode(), b"", None]
+    t = H.decode(spark.createDataFrame(list(enumerate(raw)), "id long, content binary"))
+
+    def one(b):
+        for name in ("utf-8", "cp1252"):
+            try:
+                return b.decode(name)
+            except UnicodeDecodeError:
+                pass
+        return b.decode("latin-1")
+
+    assert {r["id"]: r["text"] for r in t.collect()} == {i: None if b is None else one(b) for i, b in enumerate(raw)}
+    assert "Python" not in t._jdf.queryExecution().executedPlan().toString()
+
+
 def test_deep_and_broken_pages_take_seconds():
     began = time.monotonic()
     assert H.render("<div>x" * 100_000)[0].count("x") == 100_000
