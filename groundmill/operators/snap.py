@@ -115,17 +115,18 @@ def snap(pairs: DataFrame, fuzzy: bool = True) -> DataFrame:
     p, c = F.coalesce(F.col("source_passage"), F.lit("")), F.coalesce(F.col("chunk_text"), F.lit(""))
     located = F.when((F.length(p) >= LEAST_BLOCK) & (strip(p) != ""), F.instr(norm_punct(c), norm_punct(p))).otherwise(0)
     marked = pairs.withColumn("_at", located)
-    exact = marked.where("_at > 0").withColumn("_span", strip(F.substring(c, F.col("_at"), F.length(p))))
-    rest = marked.where("_at = 0")
+    span = strip(F.substring(c, F.col("_at"), F.length(p)))
     if fuzzy:
+        exact = marked.where("_at > 0").withColumn("_span", span)
+        rest = marked.where("_at = 0")
         # few rows, each of them slow: adaptive execution would put them into one task
         rest = rest.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         rest = rest.withColumn("_h", F.when(strip(p) != "", _hull_column()(norm_punct(p), norm_punct(c))))
         rest = rest.withColumn("_span", strip(F.substring(c, F.col("_h")[0] + 1, F.col("_h")[1] - F.col("_h")[0]))).drop("_h")
-    else:
-        rest = rest.withColumn("_span", F.lit(None).cast("string"))
-    out = exact.unionByName(rest)
+        out = exact.unionByName(rest)
+    else:  # in one pass: each part of a union would read and judge all pairs again
+        out = marked.withColumn("_span", F.when(F.col("_at") > 0, span))
     words = tokens(p)
     covered = (F.size(words) > 0) & (F.size(F.array_intersect(words, tokens(F.col("_span")))) * 10 >= F.size(words) * 6)
-    good = F.coalesce(covered & F.contains(fold(c), fold(F.col("_span"))), F.lit(False))
+    good = F.when(F.col("_span").isNotNull(), F.coalesce(covered & F.contains(fold(c), fold(F.col("_span"))), F.lit(False))).otherwise(False)
     return out.withColumns({"snapped_passage": F.when(good, F.col("_span")).otherwise(F.col("source_passage")), "snapped": good}).drop("_at", "_span")

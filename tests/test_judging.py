@@ -213,3 +213,13 @@ def test_pairs_that_only_alignment_places_are_accepted(spark, monkeypatch, tmp_p
     assert [r["source_passage"] for r in catalog.accepted(spark, "", True).collect()] == ["We sold lamps | 500 | 400"]
     split = lambda name: {(r["accepted"], r["n"]) for r in catalog.QUERIES[name](spark, "").collect()}
     assert split("accept_reject_split_aligned") == {(True, 1), (False, 1)} and split("accept_reject_split") == {(False, 2)}
+
+
+def test_pairs_are_read_once_where_quotes_are_not_aligned(spark):
+    from groundmill import catalog
+
+    from .conftest import DATA
+
+    for name in ("verbatim_gate", "acceptance_rate"):
+        plan = catalog.QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+        assert "Union" not in plan and plan.count("FileScan") <= 4
