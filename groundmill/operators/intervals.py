@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 
 def _binned(rows: DataFrame, on: list[str], width: int, side: str) -> DataFrame:
-    """Each span once for each bin of ``width`` that it reaches into; its columns travel as one."""
+    """Each span once for each bin of ``width`` that it reaches into; its columns but the keys travel as one."""
     first, last = F.floor(F.col("start") / width), F.floor((F.col("end") - 1) / width)
     whole = rows.where("start < end")  # an empty span overlaps nothing; null bounds neither
-    return whole.select(*on, F.struct(*rows.columns).alias(side), F.explode(F.sequence(first, last)).alias("_bin"))
+    return whole.select(*on, F.struct(*[c for c in rows.columns if c not in on]).alias(side), F.explode(F.sequence(first, last)).alias("_bin"))
 
 
 def bin_width(left: DataFrame, right: DataFrame) -> int:
@@ -27,10 +27,12 @@ def overlapping(left: DataFrame, right: DataFrame, on: list[str], width: int | N
     meet nothing. ``width`` changes the cost alone.
     """
     width = width or bin_width(left, right)
-    met = _binned(left, on, width, "l").join(_binned(right, on, width, "r"), [*on, "_bin"])
+    # spans are a few bytes each in files: chosen by those, a broadcast would hold all of one side in every task
+    met = _binned(left, on, width, "l").join(_binned(right, on, width, "r").hint("merge"), [*on, "_bin"])
     start = F.greatest("l.start", "r.start")
     shared = met.withColumns({"start": start, "end": F.least("l.end", "r.end")}).where((F.col("start") < F.col("end")) & (F.floor(F.col("start") / width) == F.col("_bin")))
-    return shared.select(*on, "l", "r", "start", "end")
+    row = lambda side, of: F.struct(*[F.col(c if c in on else f"{side}.{c}").alias(c) for c in of.columns]).alias(side)
+    return shared.select(*on, row("l", left), row("r", right), "start", "end")
 
 
 def covered(spans: DataFrame, by: DataFrame, on: list[str], key: str, width: int | None = None) -> DataFrame:
@@ -38,11 +40,17 @@ def covered(spans: DataFrame, by: DataFrame, on: list[str], key: str, width: int
 
     Keys are unique among the spans of equal ``on``. Spans that nothing overlaps have zeros.
     """
-    met = overlapping(spans, by, on, width)
+    met = overlapping(spans.select(*on, key, "start", "end"), by.select(*on, "start", "end"), on, width)
     inside = (F.col("r.start") <= F.col("l.start")) & (F.col("r.end") >= F.col("l.end"))
-    counted = met.groupBy(*on, F.col(f"l.{key}").alias(key)).agg(F.count("*").alias("n"), F.sum(F.col("end") - F.col("start")).alias("shared"), F.max(inside).alias("whole"))
-    none = F.lit(0).cast("long")
-    return spans.select(*on, key).join(counted, [*on, key], "left").withColumns({"n": F.coalesce("n", none), "shared": F.coalesce("shared", none), "whole": F.coalesce("whole", F.lit(False))})
+    found = met.select(*on, F.col(f"l.{key}").alias(key), F.lit(1).cast("long").alias("n"), (F.col("end") - F.col("start")).cast("long").alias("shared"), inside.alias("whole"))
+    zero = F.lit(0).cast("long")
+    none = {"n": zero, "shared": zero, "whole": F.lit(False)}
+    meets = F.coalesce(F.col("start") < F.col("end"), F.lit(False))
+    for c in (*on, key):
+        meets &= F.col(c).isNotNull()
+    # a row of zeros for each span, summed with what it shares, takes the place of a join of all spans with the sums
+    counted = spans.where(meets).select(*on, key).withColumns(none).unionByName(found).groupBy(*on, key).agg(F.sum("n").alias("n"), F.sum("shared").alias("shared"), F.max("whole").alias("whole"))
+    return counted.unionByName(spans.where(~meets).select(*on, key).withColumns(none))
 
 
 def line_spans(docs: DataFrame, key: str, text: str) -> DataFrame:

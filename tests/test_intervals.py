@@ -34,6 +34,19 @@ def test_overlaps_equal_all_pairs(spark, width):
             assert c[a[0], a[1]] == (len(own), sum(w[4] - w[3] for w in own), holds)
 
 
+def test_no_side_is_held_whole_by_a_task(spark, tmp_path):
+    """Spans in files look small; a broadcast of them grows with the table, in every task."""
+    for side, rng in (("l", random.Random(3)), ("r", random.Random(4))):
+        spark.createDataFrame(spans(rng, 40), SPAN).write.parquet(str(tmp_path / side))
+    left, right = (spark.read.parquet(str(tmp_path / side)) for side in "lr")
+    for df in (overlapping(left, right, ["doc"], 5), covered(left, right, ["doc"], "k", 5)):
+        df.collect()
+        assert "Broadcast" not in df._jdf.queryExecution().toString()
+    got = covered(left, right.where("doc = 'none'"), ["doc"], "k", 5).collect()
+    assert sorted((str(r["doc"]), r["k"]) for r in got) == sorted((str(r["doc"]), r["k"]) for r in left.collect())
+    assert {(r["n"], r["shared"], r["whole"]) for r in got} == {(0, 0, False)}
+
+
 def test_spans_of_texts(spark):
     texts = [(1, "ab\n\ncdé\n"), (2, ""), (3, None), (4, "x" * 23)]
     d = spark.createDataFrame(texts, "id long, text string")
