@@ -101,6 +101,29 @@ def test_tables_inside_tables_equal_a_tree(spark):
         assert H.render(f"x{markup(t)}y") == ("x" + ("\n" + "\n".join(lines) + "\n" if lines else "") + "y", sum(bool(text(x)) for x in tables(t)))
 
 
+def test_flat_tables_are_read_at_once_and_equal_their_elements(monkeypatch):
+    plain = "<p>x<table>" + "<TR id=1><th class='n'> 1\n</th><td>a &amp;b</td> <td></td></TR>\n" * 3 + "</table>y"
+    page = H._Page(plain)
+    assert page.rendered() == ("x\n\n1 | a &b\n1 | a &b\n1 | a &b\ny", 1) and page.runs == {"cell": [], "row": [], "table": []}
+    rng = random.Random(7)
+    bits = "<table> </table> <tr> </tr> <td> </td> <th> </th> <td|y='a> <td|y=\"a>b\"> <td|='q'> <td/> </TD|> a 1|2 | &amp; &copy x|<|y <!--|c|--> <p> </p> <b> <br> <head> <script> </script> <th <tdx>".split(" ")
+    bits = [x.replace("|", " ") for x in bits]
+
+    def flat():
+        cell = lambda: rng.choice(["<td>", "<td class='n'>", "<td a=\"x\" b=1 c>"]) + rng.choice(["", " 1\n", "a b", "&nbsp;&lt"]) + "</td>" + rng.choice(["", " "])
+        return "<table>" + "".join("<tr>" + "".join(cell() for _ in range(rng.randrange(4))) + "</tr>\n" for _ in range(rng.randrange(4))) + "</table>"
+
+    pages = []
+    for _ in range(4000):
+        f = flat()
+        k = rng.randrange(len(f))
+        pages.append("".join(rng.choice([rng.choice(bits), flat()]) for _ in range(rng.randrange(8))) + f[:k] + rng.choice(bits) + f[k + rng.randrange(3) :])
+    got = [H.render(p) for p in pages]
+    assert sum(H._Page(p).flat > 0 for p in pages) > 1000
+    monkeypatch.setattr(H._Page, "flat_table", lambda self: False)
+    assert got == [H.render(p) for p in pages]
+
+
 def test_decoding_falls_back(spark):
     t = spark.createDataFrame([(0, bytearray("é–", "utf-8")), (1, bytearray("é–", "cp1252")), (2, bytearray(b"\x81\xe9")), (3, None)], "i long, content binary")
     assert [r["text"] for r in H.decode(t).orderBy("i").collect()] == ["é–", "é–", "\x81é", None]
