@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundmill.config import Config
-from groundmill.functions.text import stable_id, strip, token_estimate
+from groundmill.functions.text import stable_id, token_estimate
+from groundmill.functions.text import strip_made as strip
 
-from .sections import split_sections, useful_sections
+from .sections import split_sections, useful
 
 EMPTY = "cast(array() as array<string>)"
 
@@ -71,13 +72,15 @@ def fold_tails(pieces: Column, min_chars: int) -> Column:
     return F.aggregate(numbered, F.expr(f"cast(array() as {kind})"), step)
 
 
-def chunk_sections(sections: DataFrame, cfg: Config, key: str = "doc_id") -> DataFrame:
-    """Chunks of sections (key, section_ord, item, name, body), numbered by ``chunk_ord`` along each document.
+def chunk_sections(sections: DataFrame, cfg: Config, key: str = "doc_id", keep: Column | None = None) -> DataFrame:
+    """Chunks of sections (key, section_ord, item, name, body), of those alone that ``keep`` holds for, numbered by ``chunk_ord`` along each document.
 
     ``chunk_id`` depends on item, part and the first 120 characters only, so equal boilerplate of two documents
     has equal ids: join on (key, chunk_ord).
     """
-    packed = sections.withColumn("_p", F.explode(fold_tails(pack_paragraphs(F.col("body"), cfg.max_chunk_chars, cfg.chunk_overlap_chars), cfg.min_chunk_chars)))
+    pieces = fold_tails(pack_paragraphs(F.col("body"), cfg.max_chunk_chars, cfg.chunk_overlap_chars), cfg.min_chunk_chars)
+    # null explodes to no rows; a filter would be moved before the body is made and make it once more for each of its terms
+    packed = sections.withColumn("_p", F.explode(pieces if keep is None else F.when(keep, pieces)))
     chunk_id = stable_id(F.col("item"), F.col("_p.part").cast("string"), F.substring("_p.head", 1, 120))
     rows = packed.select(key, "section_ord", chunk_id.alias("chunk_id"), F.col("item").alias("section_item"), F.col("name").alias("section_name"), F.col("_p.part").alias("part_index"), F.col("_p.text").alias("text"))
     rows = rows.withColumns({"n_chars": F.length("text"), "n_tokens": token_estimate(F.col("text"))})
@@ -86,7 +89,7 @@ def chunk_sections(sections: DataFrame, cfg: Config, key: str = "doc_id") -> Dat
 
 def chunk_documents(docs: DataFrame, cfg: Config, key: str = "doc_id", text: str = "text", drop_low_signal: bool = True) -> DataFrame:
     """Texts to chunks: sections, the useful ones, windows."""
-    return chunk_sections(useful_sections(split_sections(docs, key, text, cfg.form), cfg, drop_low_signal), cfg, key)
+    return chunk_sections(split_sections(docs, key, text, cfg.form), cfg, key, useful(cfg, drop_low_signal))
 
 
 def first_chunks(chunks: DataFrame, most: int | None, key: str | None = "doc_id") -> DataFrame:

@@ -12,6 +12,8 @@ from groundmill.functions.text import SPACE, strip
 HEADING = rf"(?im)^Item{SPACE}+(\p{{Nd}}{{1,2}}[A-Z]?){SPACE}*\.{SPACE}+([^\n|]{{2,120}})$"
 FOOTER = rf"(?im)^.*\|{SPACE}*\p{{Nd}}{{4}}{SPACE}+Form{SPACE}+10-K{SPACE}*\|{SPACE}*\p{{Nd}}+{SPACE}*$"
 VOID = r"(?i)\A(?:none|not applicable|\[reserved\])\.?\z"
+#: The same in a text that was not stripped; it is decided at the text's first characters.
+VOID_INSIDE = VOID.replace(r"\A", rf"\A{SPACE}*+").replace(r"\z", rf"{SPACE}*\z")
 #: Java ends lines at more characters than the line feed unless told not to.
 UNIX_LINES = "(?d)"
 
@@ -32,17 +34,25 @@ def split_sections(docs: DataFrame, key: str = "doc_id", text: str = "text", for
     heads = F.regexp_extract_all(text, F.lit(UNIX_LINES + HEADING), F.lit(0))
     bodies = F.split(text, UNIX_LINES + HEADING, -1)
     known = F.create_map(*[F.lit(x) for kv in FORMS.get(form, {"": ""}).items() for x in kv])
+    # one read of each text: a union of texts with and without headings would search all of them several times
     split = docs.select(key, F.col(text).alias("_text"), heads.alias("_heads"), bodies.alias("_bodies")).where("_text IS NOT NULL")
-    found = split.where(F.size("_heads") > 0).select(key, F.posexplode(F.arrays_zip("_heads", F.slice("_bodies", 2, F.size("_heads")).alias("_after"))).alias("section_ord", "s"))
-    item = F.upper(F.regexp_extract("s._heads", UNIX_LINES + HEADING, 1))
-    title = strip(F.regexp_extract("s._heads", UNIX_LINES + HEADING, 2))
-    found = found.select(key, "section_ord", item.alias("item"), F.coalesce(F.try_element_at(known, item), title).alias("name"), clean_body(F.col("s._after")).alias("body"))
-    whole = split.where(F.size("_heads") == 0).select(key, F.lit(0).alias("section_ord"), F.lit("").alias("item"), F.lit("Full Document").alias("name"), F.col("_text").alias("body"))
-    return found.unionByName(whole)
+    none = F.array(F.struct(F.lit(None).cast("string").alias("_heads"), F.col("_text").alias("_after")))
+    zipped = F.arrays_zip("_heads", F.slice("_bodies", 2, F.size("_heads")).alias("_after"))
+    found = split.select(key, F.posexplode(F.when(F.size("_heads") > 0, zipped).otherwise(none)).alias("section_ord", "s"))
+    head, after = F.col("s._heads"), F.col("s._after")
+    item = F.upper(F.regexp_extract(head, UNIX_LINES + HEADING, 1))
+    title = strip(F.regexp_extract(head, UNIX_LINES + HEADING, 2))
+    name = F.coalesce(F.try_element_at(known, item), title, F.lit("Full Document"))
+    return found.select(key, "section_ord", F.coalesce(item, F.lit("")).alias("item"), name.alias("name"), F.when(head.isNull(), after).otherwise(clean_body(after)).alias("body"))
+
+
+def useful(cfg: Config, drop_low_signal: bool = True) -> Column:
+    """Whether a section (item, body) is not low-signal, short or one that only says that there is nothing."""
+    keep = (F.length("body") >= cfg.min_chunk_chars) & ~F.col("body").rlike(VOID_INSIDE)
+    low = LOW_SIGNAL_BY_FORM.get(cfg.form, ())
+    return ~F.col("item").isin(*low) & keep if drop_low_signal and low else keep
 
 
 def useful_sections(sections: DataFrame, cfg: Config, drop_low_signal: bool = True) -> DataFrame:
     """Without low-signal items, short bodies and bodies that only say that there is nothing."""
-    keep = (F.length("body") >= cfg.min_chunk_chars) & ~strip(F.col("body")).rlike(VOID)
-    low = LOW_SIGNAL_BY_FORM.get(cfg.form, ())
-    return sections.where(keep & ~F.col("item").isin(*low)) if drop_low_signal and low else sections.where(keep)
+    return sections.where(useful(cfg, drop_low_signal))

@@ -98,3 +98,24 @@ def test_line_packing_equals_a_loop(spark, texts):
 def test_config_reads_the_environment_when_asked():
     cfg = Config.from_env({"QA_MAX_CHUNK_CHARS": "123", "QA_MIN_PASSAGE_OVERLAP": "bad"}, max_chunks=2)
     assert (cfg.max_chunk_chars, cfg.min_passage_overlap, cfg.max_chunks) == (123, 0.6, 2)
+
+
+def test_texts_are_searched_once_for_sections(spark, tmp_path):
+    """Headings and footers were searched several times: in each half of a union, and in filters that were moved before the search."""
+    docs(spark, REPORT, " plain ", None).write.parquet(str(tmp_path / "d"))
+    chunks = C.chunk_documents(spark.read.parquet(str(tmp_path / "d")), Config(min_chunk_chars=1))
+    chunks.collect()
+    plan = chunks._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and plan.count("Form[") == 1 and "Union" not in plan
+
+
+def test_short_sections_and_void_ones_with_space_around(spark):
+    bodies = ["None.", " \u2003none\n", "[Reserved]\x85", "not applicable. ", "none of it", "x none", "", "\n \n", None]
+    rows = spark.createDataFrame([(i, "1", b) for i, b in enumerate(bodies)], "k long, item string, body string")
+    assert [r["k"] for r in S.useful_sections(rows, Config(min_chunk_chars=1)).orderBy("k").collect()] == [4, 5, 7]
+
+
+def test_strip_of_a_text_at_hand_equals_strip(spark):
+    texts = ["", " ", "a", " a", "a\u3000", "\x85a b\x1c", "\x1f\u2028", "\u180ea", "\u200ba\n\n", "\U0001f600 \U0001f600", "\U0001f600\xa0", "a\n", None]
+    t = spark.createDataFrame([(x,) for x in texts], "x string")
+    assert [r[0] for r in t.select(T.strip_made(F.col("x"))).collect()] == [r[0] for r in t.select(T.strip(F.col("x"))).collect()]
