@@ -21,13 +21,17 @@ def paragraphs(c: Column) -> Column:
 
 def pack_lines(c: Column, limit: int) -> Column:
     """Lines of a block packed greedily into pieces of at most ``limit`` characters; a longer line stays whole."""
-    start = F.struct(F.lit("").alias("cur"), F.expr(EMPTY).alias("out"))
+    start = F.struct(F.lit("").alias("cur"), F.lit(0).alias("n"), F.expr(EMPTY).alias("out"))
 
     def step(acc: Column, line: Column) -> Column:
-        cur, out = acc["cur"], acc["out"]
-        full = (F.length(cur) + F.length(line) + 1 > limit) & (cur != "")
-        joined = F.when(cur == "", line).otherwise(F.concat(cur, F.lit("\n"), line))
-        return F.struct(F.when(full, line).otherwise(joined).alias("cur"), F.when(full, F.array_append(out, strip(cur))).otherwise(out).alias("out"))
+        cur, n, out = acc["cur"], acc["n"], acc["out"]  # ``n`` is the length of ``cur``, which is dear to count
+        full = (cur != "") & (n + F.length(line) + 1 > limit)
+        begins = (cur == "") | full
+        return F.struct(
+            F.when(begins, line).otherwise(F.concat(cur, F.lit("\n"), line)).alias("cur"),
+            F.when(begins, F.length(line)).otherwise(n + F.length(line) + 1).alias("n"),
+            F.when(full, F.array_append(out, strip(cur))).otherwise(out).alias("out"),
+        )
 
     last = lambda acc: F.when(strip(acc["cur"]) != "", F.array_append(acc["out"], strip(acc["cur"]))).otherwise(acc["out"])
     return F.aggregate(F.split(c, "\n"), start, step, last)

@@ -119,3 +119,22 @@ def test_strip_of_a_text_at_hand_equals_strip(spark):
     texts = ["", " ", "a", " a", "a\u3000", "\x85a b\x1c", "\x1f\u2028", "\u180ea", "\u200ba\n\n", "\U0001f600 \U0001f600", "\U0001f600\xa0", "a\n", None]
     t = spark.createDataFrame([(x,) for x in texts], "x string")
     assert [r[0] for r in t.select(T.strip_made(F.col("x"))).collect()] == [r[0] for r in t.select(T.strip(F.col("x"))).collect()]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text("ab \n \U0001f600", max_size=12), min_size=1, max_size=12))
+def test_packing_of_lines_equals_a_loop(spark, parts):
+    def loop(text, limit=9):
+        cur, out = "", []
+        for line in text.split("\n"):
+            if len(cur) + len(line) + 1 > limit and cur:
+                out, cur = [*out, cur.strip()], line
+            else:
+                cur = f"{cur}\n{line}" if cur else line
+        return [*out, cur.strip()] if cur.strip() else out
+
+    text = "\n".join(parts)
+    packed = C.pack_lines(F.lit(text), 9)
+    assert one(spark, packed) == loop(text)
+    plan = spark.range(1).select(F.concat(F.col("id").cast("string"), F.lit(text)).alias("t")).select(C.pack_lines(F.col("t"), 9))._jdf.queryExecution().analyzed().toString()
+    assert "length(lambda" in plan and ".cur) + length" not in plan  # the piece so far is not counted anew at each line
