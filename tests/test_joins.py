@@ -123,6 +123,20 @@ def test_near_rows_are_sent_once_for_each_group_and_not_for_each_block(spark):
     assert {r["id"]: r["n_links"] for r in near_counts(t, "id", "v", 0.5, 16).collect()} == dict(enumerate(want.tolist()))
 
 
+def test_near_groups_are_written_once_whatever_they_meet(spark):
+    """Vectors without structure: what is shuffled before groups meet is a row for each group, not a copy of each vector for each group that it meets."""
+    x = np.random.default_rng(10).normal(size=(1000, 8))
+    t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    pairs = near_links(t, "id", "v", 0.7, 16, cosines=False).pairs
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert "CartesianProduct" in plan and exchanges and all("rangepartitioning(grp" in line for line in exchanges)
+    packed = _Join(t, "id", "v", 0.7, 16).packed.selectExpr("count(*)", "sum(size(ids))").first()
+    assert packed[0] <= GROUPS + 1 and packed[1] == 1000
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert sorted(map(tuple, pairs.collect())) == [tuple(p) for p in np.argwhere(np.triu(unit @ unit.T >= 0.7, 1)).tolist()]
+
+
 def test_near_links_of_odd_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, [1.0]), (3, [-0.0, 1.0]), (4, [0.0, 1.0]), (5, []), (6, None), (7, [0.0, 0.0]), (8, [float("nan"), 1.0]), (9, [float("inf"), 1.0]), (10, [1e200, 0.0]), (11, [1e-200, 1e-203]), (None, [1.0, 0.0])]
     t = spark.createDataFrame(rows, "id long, v array<double>")
