@@ -1,9 +1,13 @@
 """Joins of passages and chunks, and of vectors, against all pairs."""
 
 import random
+import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from groundmill import catalog
+from groundmill.functions import text as T
 from groundmill.operators.grounding import containing, overlap_join
 from groundmill.operators.near import GROUPS, _Join, near_counts, near_links, near_pairs
 
@@ -147,3 +151,14 @@ def test_near_links_of_odd_vectors(spark):
     assert none.pairs.count() == 0 and none.members.count() == 0 and none.report.first()["n_pairs"] == 0
     words = t.selectExpr("CAST(id AS STRING) AS id", "v").where("id IS NOT NULL")
     assert near_pairs(words, "id", "v", 0.99).where("a < b").count() == 7
+
+
+def test_document_vectors_search_a_text_once_and_keep_the_words_of_its_key(spark):
+    odd = ["What is the a an of", "the, The;THE an-other a1 _a_ to_day", "İs the ſ K thé x", "", None, " \n\t", "how many much manyfold", "été the in 9the the9", "a" * 3000 + " a " * 50]
+    rows = spark.createDataFrame(list(enumerate(odd)), "id long, text string")
+    words = F.filter(T.key_words(F.col("text")), lambda w: ~w.isin("", *T.QUESTION_WORDS))
+    for r in rows.select("text", words.alias("words"), T.question_key(F.col("text")).alias("key")).collect():
+        assert r["words"] == (None if r["text"] is None else [w for w in r["key"].split(" ") if w])
+    vectors = catalog._hashed(rows)
+    assert "regexp_replace" not in vectors._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["id"] for r in vectors.collect()) == [i for i, t in enumerate(odd) if t and set(re.findall("[a-z0-9]+", t.lower())) - set(T.QUESTION_WORDS)]
